@@ -287,26 +287,30 @@ def _segments(spark, sf_dir):
     return piezo.piezo_segments(cleaning.clean_typed(T.piezo_raw(spark, sf_dir)), T.distances(spark, sf_dir))
 
 
+def _written_segments(spark, sf_dir):
+    """Segments as a written table, so that sizing the groups does not compute them once more."""
+    return Scratch(spark).save(_segments(spark, sf_dir), "segments")
+
+
 HEADWAY = ["ID_TREM", "ID_SENSOR_ORIGEM", "ID_SENSOR_DESTINO", "PRESSAO", "DATAHORA_INICIO",
            "DATAHORA_FIM", "VELOCIDADE"]
 
 
 @query
 def lag_previous_end(spark, sf_dir):
-    rows = piezo.with_headway(_segments(spark, sf_dir))
+    rows = piezo.with_headway(_written_segments(spark, sf_dir))
     return _rendered(rows.select(*HEADWAY, "DATAHORA_FIM_ANTERIOR"))
 
 
 @query
 def headway(spark, sf_dir):
-    return _rendered(piezo.with_headway(_segments(spark, sf_dir)).select(*HEADWAY, "HEADWAY"))
+    return _rendered(piezo.with_headway(_written_segments(spark, sf_dir)).select(*HEADWAY, "HEADWAY"))
 
 
 @query
 def headway_sliced(spark, sf_dir):
-    segments = _segments(spark, sf_dir)
     rows = T.table(spark, sf_dir, "events").count()
-    sliced = piezo.with_headway(segments, max_group_rows=0, rows_per_slice=rows // 13)
+    sliced = piezo.with_headway(_segments(spark, sf_dir), max_group_rows=0, rows_per_slice=rows // 13)
     return _rendered(sliced.select(*HEADWAY, "HEADWAY"))
 
 
@@ -343,7 +347,7 @@ def piezo_registry(spark, sf_dir):
 
 @query
 def piezo_client(spark, sf_dir):
-    return piezo.piezo_client(_segments(spark, sf_dir), T.tracks(spark, sf_dir), T.lines(spark, sf_dir))
+    return piezo.piezo_client(_written_segments(spark, sf_dir), T.tracks(spark, sf_dir), T.lines(spark, sf_dir))
 
 
 @query

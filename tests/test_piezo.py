@@ -1,0 +1,109 @@
+import pytest
+
+from railpulse.operators.cleaning import clean_typed, render_times
+from railpulse.plans import piezo
+from railpulse.sources.dumps import dimension_from_rows
+
+SLICED = {"max_group_rows": 0, "rows_per_slice": 2}
+WAYS = pytest.mark.parametrize("sizes", [{}, SLICED], ids=["whole", "sliced"])
+
+
+def events(spark, rows, extra=""):
+    df = spark.createDataFrame(rows, "trem_id int, sensor_id int, pressure_kpa double, at string" + extra)
+    return clean_typed(df.selectExpr("trem_id", "sensor_id", "pressure_kpa",
+                                     "cast(at AS timestamp) AS dataHora", *(["source_file"] if extra else [])))
+
+
+def at(clock):
+    return f"2024-01-01 {clock}"
+
+
+def rows_of(df):
+    return sorted([tuple(r) for r in df.collect()], key=str)
+
+
+@pytest.fixture
+def distances(spark):
+    return dimension_from_rows(spark, [("S6", "S9", 500.0)], "PiezoSensorDistancia")
+
+
+@WAYS
+def test_segments(spark, distances, sizes):
+    df = events(spark, [
+        (1, 6, 10.0, at("10:00:00")), (1, 9, 20.0, at("10:00:50")),   # known edge
+        (1, 9, 1.0, at("10:01:00")), (1, 6, 2.0, at("10:01:00")),     # sorted to 6 -> 9, no time passed
+        (1, 6, 3.0, at("10:02:00")), (1, 6, 5.0, at("10:02:10")),     # one sensor: dropped, not re-paired
+        (1, 6, 3.0, at("10:03:00")), (1, 7, 5.0, at("10:03:10")),     # edge unknown
+        (1, 6, 3.0, at("10:04:00")),                                  # left over
+        (2, 9, 8.0, at("09:00:00")), (2, 6, 9.0, at("09:00:25")),     # edge taken backwards
+    ])
+    got = rows_of(render_times(piezo.piezo_segments(df, distances, **sizes)))
+    assert got == sorted([
+        (1, 6, 9, 15.0, at("10:00:00"), at("10:00:50"), 36.0),
+        (1, 6, 9, 1.5, at("10:01:00"), at("10:01:00"), None),
+        (1, 6, 7, 4.0, at("10:03:00"), at("10:03:10"), None),
+        (2, 9, 6, 8.5, at("09:00:00"), at("09:00:25"), 72.0),
+    ], key=str)
+
+
+@WAYS
+def test_an_edge_stored_both_ways_doubles_the_segment(spark, sizes):
+    both = dimension_from_rows(spark, [("S6", "S9", 500.0), ("S9", "S6", 500.0)], "PiezoSensorDistancia")
+    df = events(spark, [(1, 6, 1.0, at("10:00:00")), (1, 9, 1.0, at("10:00:50"))])
+    assert piezo.piezo_segments(df, both, **sizes).count() == 2
+
+
+@WAYS
+def test_pairs_stay_within_a_file(spark, sizes):
+    df = events(spark, [
+        (1, 6, 1.0, at("10:00:00"), "a"), (1, 9, 1.0, at("10:00:10"), "b"),
+        (1, 7, 1.0, at("10:00:20"), "a"), (1, 5, 1.0, at("10:00:30"), "b")], ", source_file string")
+    pairs = piezo.pair_events(df, **sizes).select("source_file", "ID_SENSOR_ORIGEM", "ID_SENSOR_DESTINO")
+    assert rows_of(pairs) == [("a", 6, 7), ("b", 9, 5)]
+
+
+@WAYS
+def test_headway_is_per_origin_and_may_be_negative(spark, distances, sizes):
+    df = events(spark, [
+        (1, 6, 1.0, at("10:00:00")), (1, 9, 1.0, at("10:00:50")),
+        (2, 6, 1.0, at("10:00:30")), (2, 9, 1.0, at("10:01:30")),
+        (3, 6, 1.0, at("10:05:00")), (3, 9, 1.0, at("10:06:00")),
+        (4, 9, 1.0, at("10:07:00")), (4, 6, 1.0, at("10:08:00"))])
+    rows = piezo.with_headway(piezo.piezo_segments(df, distances), **sizes)
+    assert rows_of(rows.select("ID_TREM", "HEADWAY")) == [(1, None), (2, -20), (3, 210), (4, None)]
+
+
+def test_client_headers_and_unknown_tracks(spark, distances):
+    tracks = dimension_from_rows(spark, [("S6", "R7-1", "7")], "Trilho")
+    lines = dimension_from_rows(spark, [("7", "Rubi")], "Linha")
+    df = events(spark, [(1, 6, 1.0, at("10:00:00")), (1, 9, 1.0, at("10:00:50")),
+                        (2, 9, 1.0, at("10:00:00")), (2, 6, 1.0, at("10:00:50"))])
+    segments = piezo.piezo_segments(df, distances)
+    client = piezo.piezo_client(segments, tracks, lines)
+    assert client.columns == [
+        "Trem ID", "Sensor ID - Origem", "Sensor ID - Destino", "Pressão (kPa)", "Data hora - Inicio",
+        "Data hora - Fim", "Velocidade (km/h)", "Headway(s)", "Trilho", "Linha"]
+    assert rows_of(client) == [
+        (1, 6, 9, 1.0, at("10:00:00"), at("10:00:50"), 36.0, None, "R7-1", "7 - Rubi")]
+    assert [r.sensor_id for r in piezo.unknown_origins(segments, tracks).collect()] == ["S9"]
+
+
+def test_pairing_takes_one_shuffle_and_no_join(spark):
+    df = events(spark, [(1, 6, 1.0, at("10:00:00"))])
+    plan = piezo.pair_events(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_distances_beyond_the_broadcast_threshold_are_merged_with_the_same_result(spark, distances, scratch):
+    edges = scratch.save(distances, "edges")
+    df = events(spark, [(1, 6, 1.0, at("10:00:00")), (1, 9, 1.0, at("10:00:50"))])
+    small = piezo.piezo_segments(df, edges)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = piezo.piezo_segments(df, edges)
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(large) == rows_of(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,0 +1,106 @@
+import json
+import os
+
+import pytest
+
+from railpulse.schemas import dimension_schema
+from railpulse.sources.dumps import load_dimensions, read_dimensions, read_typed_dump
+from railpulse.sources.readings import read_optical, read_readings, row_count, with_arrival
+
+
+def put(path, text, encoding="utf-8"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as out:
+        out.write(text.encode(encoding))
+    return str(path)
+
+
+PIEZO = "trem_id,sensor_id,pressure_kpa,dataHora\n1,6,10.5,2024-01-01 10:00:00\n"
+
+
+def test_types_come_from_the_contract(spark, tmp_path):
+    df = read_readings(spark, put(f"{tmp_path}/a.csv", PIEZO), "piezo")
+    assert df.dtypes == [("trem_id", "int"), ("sensor_id", "int"), ("pressure_kpa", "double"),
+                         ("dataHora", "timestamp")]
+    assert row_count(df).first().rows_read == 1
+
+
+def test_columns_go_by_name_and_extra_ones_are_kept_as_text(spark, tmp_path):
+    path = put(f"{tmp_path}/a.csv",
+               "dataHora,note,pressure_kpa,sensor_id,trem_id\n2024-01-01 10:00:00,T1,10.5,6,1\n")
+    row = read_readings(spark, path, "piezo").first()
+    assert (row.trem_id, row.sensor_id, row.pressure_kpa, row.note) == (1, 6, 10.5, "T1")
+
+
+def test_a_missing_column_is_named(spark, tmp_path):
+    with pytest.raises(ValueError, match="dataHora"):
+        read_readings(spark, put(f"{tmp_path}/a.csv", "trem_id,sensor_id,pressure_kpa\n1,6,1\n"), "piezo")
+
+
+def test_a_file_with_another_header_fails_instead_of_shifting_columns(spark, tmp_path):
+    put(f"{tmp_path}/in/a.csv", PIEZO)
+    put(f"{tmp_path}/in/b.csv", "sensor_id,trem_id,pressure_kpa,dataHora\n6,1,10.5,2024-01-01 10:00:00\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_readings(spark, f"{tmp_path}/in", "piezo").collect()
+
+
+def test_values_that_do_not_fit_become_null(spark, tmp_path):
+    path = put(f"{tmp_path}/a.csv", PIEZO + "x,6,high,yesterday\n")
+    assert [tuple(r) for r in read_readings(spark, path, "piezo").filter("trem_id IS NULL").collect()] == [
+        (None, 6, None, None)]
+
+
+def test_optical_files_take_any_header_and_keep_ids_as_text(spark, tmp_path):
+    path = put(f"{tmp_path}/o.csv", "trem_id,NUM_CARRO,level,at\nT1,7,0.5,2024-01-01 10:00:00\n")
+    assert read_optical(spark, path).dtypes == [
+        ("trem_id", "string"), ("NUM_CARRO", "string"), ("level", "double"), ("at", "timestamp")]
+
+
+def test_arrival_orders_rows_as_written(spark, tmp_path):
+    text = "trem_id,sensor_id,pressure_kpa,dataHora\n" + "".join(
+        f"1,6,{i}.0,2024-01-01 10:00:00\n" for i in range(20))
+    df = with_arrival(read_readings(spark, put(f"{tmp_path}/a.csv", text), "piezo"))
+    rows = df.orderBy("source_time", "source_file", "source_block", "source_row").collect()
+    assert [r.pressure_kpa for r in rows] == [float(i) for i in range(20)]
+    assert rows[0].source_file.endswith("/a.csv")
+
+
+METADATA = {"Items": [
+    {"sensor_id": {"S": "S2"}, "trem_id": {"S": "T1"}, "carro_id": {"S": "C1"}},
+    {"sensor_id": {"S": "S9"}}], "Count": 2, "ConsumedCapacity": None}
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "utf-16-le", "utf-16"])
+def test_dump_encodings(spark, tmp_path, encoding):
+    path = put(f"{tmp_path}/m.json", json.dumps(METADATA, indent=2), encoding)
+    rows = read_typed_dump(spark, path, "SensorMetadata").collect()
+    assert [tuple(r) for r in rows] == [("S2", "T1", "C1"), ("S9", None, None)]
+
+
+def test_dump_numbers_and_empty_dumps(spark, tmp_path):
+    edge = {"Items": [{"sensor_id": {"S": "S6"}, "sensor_id_2": {"S": "S9"}, "distancia": {"N": "500.5"}}]}
+    path = put(f"{tmp_path}/d.json", json.dumps(edge))
+    assert tuple(read_typed_dump(spark, path, "PiezoSensorDistancia").first()) == ("S6", "S9", 500.5)
+    for text in ('{"Items": []}', '{"Count": 0}'):
+        empty = read_typed_dump(spark, put(f"{tmp_path}/e.json", text), "Linha")
+        assert empty.count() == 0 and empty.schema == dimension_schema("Linha")
+
+
+def test_dimensions_are_loaded_from_a_folder_of_dumps(spark, tmp_path):
+    dumps, tables = f"{tmp_path}/dumps", f"{tmp_path}/tables"
+    put(f"{dumps}/sensor_metadata_dump.json", json.dumps(METADATA), "utf-8-sig")
+    put(f"{dumps}/circuito_dump.json", json.dumps({"Items": [
+        {"sensor_id": {"S": "S2"}, "circuito_id": {"S": "CC1"}, "modelo": {"S": "m"},
+         "categoria": {"S": "c"}, "prioridade": {"N": "1"}}]}))
+    put(f"{dumps}/piezo_sensor_distancia_dump.json", '{"Items": []}')
+    put(f"{dumps}/linha_dump.json", json.dumps({"Items": [{"linha_id": {"S": "7"}, "cor": {"S": "Rubi"}}]}))
+    load_dimensions(spark, dumps, tables)
+    assert sorted(os.listdir(tables)) == ["Circuito", "Linha", "PiezoSensorDistancia", "SensorMetadata"]
+    put(f"{dumps}/trilho_dump.json", json.dumps(
+        {"Items": [{"sensor_id": {"S": "S2"}, "trilho_id": {"S": "R7-1"}, "linha_id": {"S": "7"}}]}))
+    load_dimensions(spark, dumps, tables)
+    dims = read_dimensions(spark, tables)
+    assert dims.metadata.count() == 2
+    assert dims.circuits.first().prioridade == 1.0
+    assert dims.distances.count() == 0
+    assert dims.tracks.join(dims.lines, "linha_id").first().cor == "Rubi"
