@@ -3,9 +3,8 @@
 ``Window.partitionBy(group)`` puts a whole group in one task. A line has few sensors and a busy
 train or sensor may hold a third of all rows, so that task would not end at scale. Groups of a
 checked size take the plain window. Beyond it the rows are range-cut by (group, order) into
-slices of bounded size, each slice is numbered by itself, and a table with one row per
-(group, slice) carries the running count and the last row from slice to slice. Both ways give
-the same result.
+slices of bounded size, each slice is numbered by itself, and one extra row per (group, slice)
+carries the running count and the last row on from slice to slice. Both ways give the same result.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ MAX_GROUP_ROWS = 10_000_000
 ROWS_PER_SLICE = 10_000_000
 MAX_SLICES = 50_000
 
-TIE, SLICE, POS = "_tie", "_slice", "_pos"
+TIE, SLICE, POS, REAL, BEFORE = "_tie", "_slice", "_pos", "_real", "_before"
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -37,6 +36,7 @@ def number_and_lag(
     lag: dict[str, str] | None = None,
     number: str | None = None,
     scratch: Scratch | None = None,
+    written: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
@@ -44,14 +44,16 @@ def number_and_lag(
     row's ``old`` as ``new`` (null on the first row of a group).
 
     ``order`` should name enough columns to tell rows apart; rows equal in all of them are taken
-    in any order. One job counts the group sizes; with ``max_group_rows=0`` that is skipped and
-    the sliced way is taken.
+    in any order. One job counts the group sizes, so ``df`` should be a written table where it is
+    dear to compute. With ``max_group_rows=0`` that job is skipped and the sliced way is taken.
+    ``written`` says that ``df`` reads straight from files and need not be written once more.
     """
     lag = lag or {}
     if max_group_rows and largest_group(df, keys) <= max_group_rows:
         return _whole_groups(df, keys, order, lag, number)
     scratch = scratch or Scratch(df.sparkSession)
-    return _sliced(df, keys, order, lag, number, scratch, rows_per_slice)
+    rows = df if written else scratch.save(df, "rows")
+    return _sliced(rows, keys, order, lag, number, scratch, rows_per_slice)
 
 
 def _whole_groups(df, keys, order, lag, number):
@@ -62,33 +64,25 @@ def _whole_groups(df, keys, order, lag, number):
     return df.select("*", *added)
 
 
-def _sliced(df, keys, order, lag, number, scratch, rows_per_slice):
-    cut = cut_in_slices(df, keys, order, scratch, rows_per_slice)
-    edges = _edges(cut, keys, lag, scratch)
+def _sliced(rows, keys, order, lag, number, scratch, rows_per_slice):
+    cut = cut_in_slices(rows, keys, order, scratch, rows_per_slice)
+    with_edges = cut.withColumn(REAL, F.lit(True)).unionByName(
+        _edges(cut, keys, sorted(set(lag.values()))), allowMissingColumns=True)
 
-    added = [F.col(c) for c in df.columns]
-    if lag:
-        inside = Window.partitionBy(*keys, SLICE).orderBy(POS)
-        cut = cut.select("*", *[F.lag(old).over(inside).alias(new) for new, old in lag.items()])
-        first = F.col(POS) == F.col("_from")
-        added += [F.when(first, F.col(f"_edge_{new}")).otherwise(F.col(new)).alias(new)
-                  for new in lag]
+    inside = Window.partitionBy(*keys, SLICE).orderBy(POS, REAL)
+    added = [F.lag(old).over(inside).alias(new) for new, old in lag.items()]
     if number:
-        added.append((F.col("_before") + F.col(POS) - F.col("_from") + 1).alias(number))
+        before = F.first(BEFORE).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        added.append((before + F.row_number().over(inside) - 1).alias(number))
+    return with_edges.select("*", *added).filter(REAL).drop(SLICE, POS, REAL, BEFORE)
 
-    edges = edges.withColumnsRenamed({k: f"_k_{k}" for k in [*keys, SLICE]})
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    same.append(F.col(SLICE) == F.col(f"_k_{SLICE}"))
-    return cut.join(edges, same, "left").select(*added)
 
-
-def cut_in_slices(df, keys, order, scratch, rows_per_slice) -> DataFrame:
+def cut_in_slices(rows, keys, order, scratch, rows_per_slice) -> DataFrame:
     """The rows in range slices over (keys, order), with slice and position written down.
 
     The tie column lets even copies of one row spread over slices. It numbers rows of written
     files, so a repeated task numbers them the same way again.
     """
-    rows = scratch.save(df, "rows")
     slices = min(MAX_SLICES, max(2, math.ceil(rows.count() / rows_per_slice)))
     cut = (
         rows.withColumn(TIE, F.monotonically_increasing_id())
@@ -101,21 +95,21 @@ def cut_in_slices(df, keys, order, scratch, rows_per_slice) -> DataFrame:
     return scratch.save(cut, "slices")
 
 
-def _edges(cut, keys, lag, scratch) -> DataFrame:
-    """One row per (group, slice): rows before it, its first position, the row ahead of it."""
+def _edges(cut, keys, carried) -> DataFrame:
+    """One row ahead of each (group, slice): the count of the group's rows before the slice, and
+    the carried values of the last of them.
+
+    It is placed at the slice's first position, ahead of the real row there, so that the slice's
+    window finds it as the row before its first. A group has one such row per slice it spans.
+    """
     heads = cut.groupBy(*keys, SLICE).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_from"), F.max(POS).alias("_to"))
-    if lag:
-        heads = scratch.save(heads, "heads")
-        last = cut.select(F.col(POS).alias("_to"),
-                          *[F.col(old).alias(f"_last_{new}") for new, old in lag.items()])
-        heads = last.join(heads, "_to")
+        F.count(F.lit(1)).alias("_n"), F.min(POS).alias(POS),
+        *[F.max_by(c, POS).alias(c) for c in carried])
     along = Window.partitionBy(*keys).orderBy(SLICE)
     before = F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    edges = heads.select(
-        *keys, SLICE, "_from", F.coalesce(before, F.lit(0)).alias("_before"),
-        *[F.lag(f"_last_{new}").over(along).alias(f"_edge_{new}") for new in lag])
-    return scratch.save(edges, "edges")
+    return heads.select(
+        *keys, SLICE, POS, F.lit(False).alias(REAL), F.coalesce(before, F.lit(0)).alias(BEFORE),
+        *[F.lag(c).over(along).alias(c) for c in carried])
 
 
 def latest_by_key(df: DataFrame, keys: list[str], sequence: list) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from railpulse.plans.dht11 import run_dht11
 from railpulse.plans.dps import run_dps
@@ -16,12 +17,15 @@ from railpulse.sources.readings import read_readings, with_arrival
 
 
 def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones, batch: int,
-               scratch_folder: str | None = None, **options) -> None:
+               scratch_folder: str | None = None, **options) -> int:
     """Clean a batch of readings and write its trusted rows, fact rows and client extract.
 
-    Only the trusted write reads the raw files; the rest starts from the trusted rows. Running a
-    batch number again replaces what it wrote before.
+    Only the trusted write reads the raw files, and it counts their rows on the way; the rest
+    starts from the trusted rows. Running a batch number again replaces what it wrote before.
+    Returns the rows read.
     """
+    counted = Observation()
+    readings = readings.observe(counted, F.count(F.lit(1)).alias("rows_read"))
     with Scratch(readings.sparkSession, scratch_folder) as scratch:
         if family == "tof":
             run_tof(readings, dims.metadata, zones, batch, scratch)
@@ -35,9 +39,10 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
             run_passthrough(readings, family, zones, batch)
         else:
             raise ValueError(f"no such family: {family}")
+    return counted.get["rows_read"]
 
 
 def run_files(spark: SparkSession, family: str, path: str | list[str], dims: Dimensions, zones: Zones,
-              batch: int, **options) -> None:
+              batch: int, **options) -> int:
     """``run_family`` over raw files."""
-    run_family(family, with_arrival(read_readings(spark, path, family)), dims, zones, batch, **options)
+    return run_family(family, with_arrival(read_readings(spark, path, family)), dims, zones, batch, **options)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from railpulse.functions.routing import key_within, route_family
 from railpulse.schemas import readings_schema
 
 
@@ -76,3 +79,11 @@ def arrival_columns(df: DataFrame) -> list[str]:
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows_read"))
+
+
+def raw_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """``path``, ``key`` and routed ``family`` of the files below a folder; their content is not
+    read. Files that belong to no family have a null there."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+             .select("path", key_within(F.col("path"), urlparse(folder.rstrip("/")).path).alias("key")))
+    return files.withColumn("family", route_family(F.col("key")))

@@ -48,7 +48,7 @@ def test_tof(spark, dims, zones, tmp_path):
     head = "sensor_id,timestamp,y,x,dist_mm\n"
     points = "".join(f"1,2024-01-01 10:00:00,{y},{x},{1750 if x == 0 else 1000}\n" for y in range(4) for x in range(8))
     path = put(f"{tmp_path}/tof.csv", head + points + "3,2024-01-01 10:00:00,-1,0,10\n,2024-01-01 10:00:00,0,0,1\n")
-    run_files(spark, "tof", path, dims, zones, 1)
+    assert run_files(spark, "tof", path, dims, zones, 1) == 34
     assert csv(spark, zones.occupancy()) == (
         ["sensor_id", "trem_id", "carro_id", "datahora", "ocupacao_media"],
         [("S1", "T1", "C1", "2024-01-01 10:00:00", "87.5"), ("S3", None, None, "2024-01-01 10:00:00", "100.0")])

@@ -5,7 +5,7 @@ import pytest
 
 from railpulse.schemas import dimension_schema
 from railpulse.sources.dumps import load_dimensions, read_dimensions, read_typed_dump
-from railpulse.sources.readings import read_optical, read_readings, row_count, with_arrival
+from railpulse.sources.readings import raw_keys, read_optical, read_readings, row_count, with_arrival
 
 
 def put(path, text, encoding="utf-8"):
@@ -65,6 +65,14 @@ def test_arrival_orders_rows_as_written(spark, tmp_path):
     assert rows[0].source_file.endswith("/a.csv")
 
 
+def test_raw_files_are_listed_by_family(spark, tmp_path):
+    for name in ("tof_1.csv", "piezo/a.csv", "readme.txt"):
+        put(f"{tmp_path}/in/{name}", "x")
+    rows = raw_keys(spark, f"{tmp_path}/in").select("key", "family").collect()
+    assert sorted((tuple(r) for r in rows), key=str) == [
+        ("/piezo/a.csv", "piezo"), ("/readme.txt", None), ("/tof_1.csv", "tof")]
+
+
 METADATA = {"Items": [
     {"sensor_id": {"S": "S2"}, "trem_id": {"S": "T1"}, "carro_id": {"S": "C1"}},
     {"sensor_id": {"S": "S9"}}], "Count": 2, "ConsumedCapacity": None}
