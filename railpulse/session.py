@@ -34,6 +34,8 @@ def build_session(name: str = "railpulse", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split hot sensors even where the next join on the same key then shuffles anew.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         **conf,
     }
     for key, value in settings.items():

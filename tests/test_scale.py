@@ -1,0 +1,69 @@
+"""Plans that must hold when dimensions outgrow a broadcast or one sensor holds a third of all rows."""
+
+import contextlib
+
+from pyspark.sql import functions as F
+
+from railpulse.plans.dps import dps_client
+from railpulse.plans.tof import tof_block_map, tof_occupancy
+from railpulse.sinks.keyed import put_batch, read_latest
+from railpulse.sources.dumps import dimension_from_rows
+
+
+@contextlib.contextmanager
+def settings(spark, **conf):
+    conf = {f"spark.sql.{k.replace('__', '.')}": v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_a_hot_sensor_is_split_when_dimensions_are_too_large_to_broadcast(spark, scratch):
+    sensors = [f"S{i}" for i in range(50)]
+    meta = scratch.save(dimension_from_rows(spark, [(s, "T1", "C1") for s in sensors], "SensorMetadata"), "meta")
+    circ = scratch.save(dimension_from_rows(spark, [(s, "CC1", "m", "c", 1.0) for s in sensors], "Circuito"), "circ")
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("int").alias("sensor_id"),
+        F.lit("OK").alias("statusDPS"), F.col("id").cast("double").alias("picoTensao_kV"),
+        F.rand(1).alias("correnteSurto_kA"), F.timestamp_seconds("id").alias("dataHora"))
+    rows = scratch.save(rows, "rows")
+    small = dps_client(rows, meta, circ)
+    want = small.agg(F.count("*"), F.sum(F.hash(*small.columns).cast("long"))).first()
+    assert "BroadcastHashJoin" in final_plan(small)
+    with settings(spark, autoBroadcastJoinThreshold="-1",
+                  adaptive__advisoryPartitionSizeInBytes="20kb",
+                  adaptive__skewJoin__skewedPartitionThresholdInBytes="40kb",
+                  adaptive__skewJoin__skewedPartitionFactor="2"):
+        large = dps_client(rows, meta, circ)
+        hot = F.count_if(F.col("picoTensao_kV") % 3 == 0).alias("hot")
+        parts = large.groupBy(F.spark_partition_id()).agg(hot, F.sum(F.hash(*large.columns).cast("long")))
+        assert max(r.hot for r in parts.collect()) < 20000 / 3
+        assert final_plan(parts).count("SortMergeJoin(skew=true)") == 2
+        assert large.agg(F.count("*"), F.sum(F.hash(*large.columns).cast("long"))).first() == want
+
+
+def test_aggregates_are_combined_before_the_shuffle(spark):
+    meta = dimension_from_rows(spark, [("S1", "T1", "C1")], "SensorMetadata")
+    points = spark.range(10).select(
+        F.lit(1).alias("sensor_id"), F.timestamp_seconds(F.lit(0)).alias("timestamp"),
+        F.col("id").cast("int").alias("y"), F.col("id").cast("int").alias("x"), F.lit(1.0).alias("dist_mm"))
+    assert "partial_sum" in final_plan(tof_occupancy(points, meta))
+    assert "partial_avg" in final_plan(tof_block_map(points, meta))
+
+
+def test_a_key_range_of_a_fact_table_prunes_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame([("S1", "2024-01-01 00:00:00", 1.0), ("S1", "2024-02-01 00:00:00", 2.0)],
+                                 "sensor_id string, datahora string, ocupacao double")
+    put_batch(rows, f"{tmp_path}/t", 1, ["sensor_id", "datahora"])
+    late = read_latest(spark, f"{tmp_path}/t", ["sensor_id", "datahora"]).filter("datahora >= '2024-01-15'")
+    assert "GreaterThanOrEqual(datahora,2024-01-15)" in final_plan(late)
+    assert [r.ocupacao for r in late.collect()] == [2.0]
