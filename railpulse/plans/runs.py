@@ -22,7 +22,7 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
 
     Only the trusted write reads the raw files, and it counts their rows on the way; the rest
     starts from the trusted rows. Running a batch number again replaces what it wrote before.
-    Returns the rows read.
+    Options go to the piezo run. Returns the rows read.
     """
     counted = Observation()
     readings = readings.observe(counted, F.count(F.lit(1)).alias("rows_read"))

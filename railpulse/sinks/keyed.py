@@ -34,11 +34,16 @@ def put_batch(df: DataFrame, table: str, batch: int, keys: list[str],
     folded.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch:09d}")
 
 
-def read_latest(spark: SparkSession, table: str, keys: list[str]) -> DataFrame:
-    """The latest row per key over all batches."""
+def read_latest(spark: SparkSession, table: str, keys: list[str],
+                sequence: list | None = None) -> DataFrame:
+    """The row that wins per key over all batches: by default that of the batch run last.
+
+    Naming a ``sequence``, such as an event time, lets the highest value win instead. A filter on
+    key columns reaches the scan.
+    """
     rows = spark.read.option("basePath", table).parquet(table)
     rows = rows.withColumn(BATCH, F.col(BATCH).cast("long"))
-    return latest_by_key(rows, keys, [BATCH]).drop(BATCH)
+    return latest_by_key(rows, keys, [*(sequence or []), BATCH]).drop(BATCH)
 
 
 def compact(spark: SparkSession, table: str, into: str, keys: list[str]) -> None:

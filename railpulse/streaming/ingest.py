@@ -42,18 +42,37 @@ def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
     )
 
 
+def start_all(spark: SparkSession, in_dir: str, dims: Dimensions, zones: Zones, checkpoint: str,
+              optical_schema=None, **options) -> dict[str, StreamingQuery]:
+    """One ingest per family, side by side, each with a checkpoint folder of its own.
+
+    Optical files are taken when their schema is given.
+    """
+    schemas = {family: None for family in MARK_OF}
+    if optical_schema is None:
+        del schemas["optical"]
+    else:
+        schemas["optical"] = optical_schema
+    return {
+        family: start_ingest(spark, in_dir, family, dims, zones, f"{checkpoint.rstrip('/')}/{family}",
+                             schema, **options)
+        for family, schema in schemas.items()
+    }
+
+
 def start_ingest(spark: SparkSession, in_dir: str, family: str, dims: Dimensions, zones: Zones,
                  checkpoint: str, schema=None, files_per_batch: int = FILES_PER_BATCH,
-                 **options) -> StreamingQuery:
+                 first_batch: int = 0, **options) -> StreamingQuery:
     """Run the family's plan on every micro-batch until no new file is left.
 
     The checkpoint remembers which files are done. A micro-batch that is repeated after a failure
-    keeps its number and so replaces its own output.
+    keeps its number and so replaces its own output. Numbers start at ``first_batch``: raise it
+    over those already written when the ingest starts on a new checkpoint.
     """
 
     def run(rows: DataFrame, batch: int) -> None:
         numbered = rows.withColumn("source_row", F.monotonically_increasing_id())
-        run_family(family, numbered, dims, zones, batch, **options)
+        run_family(family, numbered, dims, zones, first_batch + batch, **options)
 
     return (
         file_stream(spark, in_dir, family, schema, files_per_batch).writeStream

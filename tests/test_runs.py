@@ -13,7 +13,7 @@ from railpulse.session import Scratch, shared_folder
 from railpulse.sinks.files import Zones
 from railpulse.sinks.keyed import compact, put_batch, read_latest, upsert_latest
 from railpulse.sources.dumps import Dimensions, dimension_from_rows
-from railpulse.streaming.ingest import start_ingest
+from railpulse.streaming.ingest import start_all, start_ingest
 from tests.test_sources import put
 
 
@@ -166,6 +166,35 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, dims, zones, tmp_pa
     assert spark.read.parquet(zones.trusted("piezo")).count() == 6
 
 
+def test_all_families_side_by_side(spark, dims, zones, tmp_path):
+    inbox = f"{tmp_path}/in"
+    put(f"{inbox}/piezo.csv", PIEZO)
+    put(f"{inbox}/dht11.csv", "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n"
+                              "1,18,24,2024-01-01 10:00:00,20.5,40\n")
+    put(f"{inbox}/dps.csv", "sensor_id,statusDPS,picoTensao_kV,correnteSurto_kA,dataHora\n"
+                            "1,OK,7.76,7.54,2024-01-01 10:00:00\n")
+    put(f"{inbox}/tof.csv", "sensor_id,timestamp,y,x,dist_mm\n1,2024-01-01 10:00:00,0,0,10\n")
+    put(f"{inbox}/omron.csv", "y,x,valor-matriz,plataforma\n0,1,0.4,2\n")
+    put(f"{inbox}/optical.csv", "trem_id,level\nT1,0.5\n")
+    streams = start_all(spark, inbox, dims, zones, f"{tmp_path}/state", "trem_id string, level double")
+    assert sorted(streams) == ["dht11", "dps", "omron", "optical", "piezo", "tof"]
+    assert all(s.awaitTermination(300) for s in streams.values())
+    assert latest(spark, zones, "PiezoData") == SEGMENTS
+    assert [latest(spark, zones, n)[0][-1] for n in ("DHT11Data", "DpsData", "TofData")] == [40.0, "S1", 100.0]
+    assert csv(spark, zones.client("optical", 0))[1] == [("T1", "0.5")]
+    assert csv(spark, zones.client("omron", 0))[1] == [("0", "1", "0.4", "2")]
+
+
+def test_the_file_written_last_wins_or_the_latest_event(spark, dims, zones, tmp_path):
+    early = PIEZO.splitlines()[0] + "\n" + BACK.replace("11:00", "09:00")
+    first, last = put(f"{tmp_path}/piezo_a.csv", PIEZO), put(f"{tmp_path}/piezo_b.csv", early)
+    os.utime(first, (1_700_000_000, 1_700_000_000))
+    run_files(spark, "piezo", [first, last], dims, zones, 1, strict=False)
+    assert latest(spark, zones, "PiezoData")[0][:3] == ("T1", "S9", "S6")
+    run_files(spark, "piezo", [first, last], dims, zones, 1, strict=False, by_event_time=True)
+    assert latest(spark, zones, "PiezoData") == SEGMENTS
+
+
 # Keyed tables
 
 def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
@@ -179,6 +208,8 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
     put_batch(batch((1, 10), (1, 11), (2, 20)), table, 1, keys)
     want = [(1, 5), (2, 20)]
     assert sorted(tuple(r) for r in read_latest(spark, table, keys).collect()) == want
+    by_value = read_latest(spark, table, keys, ["v"])
+    assert sorted(tuple(r) for r in by_value.collect()) == [(1, 11), (2, 20)]
     compact(spark, table, f"{tmp_path}/t2", keys)
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == want
     put_batch(batch((2, 1)), f"{tmp_path}/t2", 3, keys)
