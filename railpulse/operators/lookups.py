@@ -36,12 +36,16 @@ def symmetric(distances: DataFrame) -> DataFrame:
 
 
 def with_distance(pairs: DataFrame, distances: DataFrame) -> DataFrame:
-    """Add ``distancia`` between origin and destination, null where the edge is unknown."""
+    """Add ``distancia`` between origin and destination, null where the edge is unknown.
+
+    The sensor numbers of readings are compared with those behind the prefix in the edges, as
+    numbers; an edge whose ids are no numbers fits no reading.
+    """
     both_ways = symmetric(distances).select(
-        bare_sensor("sensor_id").alias("_from"), bare_sensor("sensor_id_2").alias("_to"),
-        "distancia")
-    here = (F.col("ID_SENSOR_ORIGEM").cast("string") == F.col("_from")) & (
-        F.col("ID_SENSOR_DESTINO").cast("string") == F.col("_to"))
+        bare_sensor("sensor_id").try_cast("bigint").alias("_from"),
+        bare_sensor("sensor_id_2").try_cast("bigint").alias("_to"), "distancia")
+    here = (F.col("ID_SENSOR_ORIGEM").cast("bigint") == F.col("_from")) & (
+        F.col("ID_SENSOR_DESTINO").cast("bigint") == F.col("_to"))
     return pairs.join(both_ways, here, "left").drop("_from", "_to")
 
 

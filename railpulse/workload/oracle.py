@@ -84,7 +84,8 @@ lagged AS (
                           ORDER BY t1, ID_TREM, t2, ID_SENSOR_DESTINO, PRESSAO, VELOCIDADE) AS prev_end
   FROM segments),
 headways AS (
-  SELECT *, CAST(epoch(t1) AS BIGINT) - CAST(epoch(prev_end) AS BIGINT) AS HEADWAY FROM lagged)"""
+  SELECT *, CAST(CAST(epoch(t1) AS BIGINT) - CAST(epoch(prev_end) AS BIGINT) AS DOUBLE) AS HEADWAY
+  FROM lagged)"""
 
 TOF_CLEAN = """
 tof AS (
@@ -174,13 +175,14 @@ def oracle() -> dict[str, str]:
                  ocupacao_media FROM shares"""
 
     sql = {
-        "csv_scan": f"""SELECT user_id AS trem_id, event_id % 30 AS sensor_id, value AS pressure_kpa,
+        "csv_scan": f"""SELECT CAST(user_id AS INTEGER) AS trem_id,
+                        CAST(event_id % 30 AS INTEGER) AS sensor_id, value AS pressure_kpa,
                         {shown('ts')} AS dataHora FROM events""",
         "csv_roundtrip": f"""{dht} SELECT CAST(sensor_id AS VARCHAR) AS sensor_id,
             CAST("min" AS VARCHAR) AS "min", CAST("max" AS VARCHAR) AS "max", "timestamp",
             CAST(temperature_c AS VARCHAR) AS temperature_c,
             CAST(humidity_percent AS VARCHAR) AS humidity_percent FROM dht""",
-        "optical_scan": "SELECT * FROM customer",
+        "optical_scan": "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey) FROM customer",
         "row_count": "SELECT count(*) AS rows_read FROM events",
         "typed_attr_unwrap": """SELECT 'S' || c_custkey AS sensor_id,
             CASE WHEN c_acctbal >= 0 THEN 'S' || c_nationkey END AS sensor_id_2,
@@ -291,9 +293,12 @@ def oracle() -> dict[str, str]:
             END AS family FROM named""",
         "route_reject": f"""{with_(ROUTE_KEYS)} SELECT event_id, "key", asked FROM named
             WHERE NOT contains("key", CASE asked WHEN 'dht11' THEN 'dht' ELSE asked END)""",
-        "file_stream_ingest": f"""{pairs} SELECT trem_id, sensor_id, pressure_kpa,
+        "file_stream_ingest": f"""{pairs} SELECT CAST(trem_id AS INTEGER) AS trem_id,
+            CAST(sensor_id AS INTEGER) AS sensor_id, pressure_kpa,
             {shown('t')} AS dataHora FROM piezo""",
     }
     registry = with_(piezo_clean(), DISTANCES, WITH_DISTANCE, REGISTRY)
-    sql["upsert_latest_by_key"] = sql["stream_upsert"] = f"{registry}{LATEST}"
+    sql["upsert_latest_by_key"] = f"{registry}{LATEST}"
+    sql["stream_upsert"] = f"""{sql['dht11_registry']} QUALIFY row_number() OVER (
+        PARTITION BY d.sensor_id, d."timestamp" ORDER BY d.temperature_c DESC) = 1"""
     return sql

@@ -179,6 +179,10 @@ def lookup_missing(spark, sf_dir):
                            T.metadata(spark, sf_dir), "sensor_id")
 
 
+# The way for groups too large for one task, with slices small enough that test tables fill several.
+SLICED = {"max_group_rows": 0, "rows_per_slice": 1500}
+
+
 def _pairs(spark, sf_dir, **sizes):
     return piezo.pair_events(cleaning.clean_typed(T.piezo_raw(spark, sf_dir)), **sizes)
 
@@ -193,9 +197,7 @@ def pair_lag(spark, sf_dir):
 
 @query
 def pair_sliced(spark, sf_dir):
-    """The pairs again, by slices as for groups too large for one task."""
-    rows = T.table(spark, sf_dir, "events").count()
-    return _rendered(_pairs(spark, sf_dir, max_group_rows=0, rows_per_slice=rows // 7))
+    return _rendered(_pairs(spark, sf_dir, **SLICED))
 
 
 @query
@@ -280,7 +282,7 @@ def row_number_per_train(spark, sf_dir):
 @query
 def row_number_sliced(spark, sf_dir):
     rows = cleaning.clean_typed(T.piezo_raw(spark, sf_dir))
-    return _rendered(piezo.number_events(rows, max_group_rows=0, rows_per_slice=rows.count() // 7))
+    return _rendered(piezo.number_events(rows, **SLICED))
 
 
 def _segments(spark, sf_dir):
@@ -296,6 +298,12 @@ HEADWAY = ["ID_TREM", "ID_SENSOR_ORIGEM", "ID_SENSOR_DESTINO", "PRESSAO", "DATAH
            "DATAHORA_FIM", "VELOCIDADE"]
 
 
+def _headways(segments, **sizes):
+    """Whole numbers that may be null are compared as doubles, the one form all readers share."""
+    rows = piezo.with_headway(segments, **sizes)
+    return _rendered(rows.select(*HEADWAY, F.col("HEADWAY").cast("double").alias("HEADWAY")))
+
+
 @query
 def lag_previous_end(spark, sf_dir):
     rows = piezo.with_headway(_written_segments(spark, sf_dir))
@@ -304,14 +312,12 @@ def lag_previous_end(spark, sf_dir):
 
 @query
 def headway(spark, sf_dir):
-    return _rendered(piezo.with_headway(_written_segments(spark, sf_dir)).select(*HEADWAY, "HEADWAY"))
+    return _headways(_written_segments(spark, sf_dir))
 
 
 @query
 def headway_sliced(spark, sf_dir):
-    rows = T.table(spark, sf_dir, "events").count()
-    sliced = piezo.with_headway(_segments(spark, sf_dir), max_group_rows=0, rows_per_slice=rows // 13)
-    return _rendered(sliced.select(*HEADWAY, "HEADWAY"))
+    return _headways(_segments(spark, sf_dir), **SLICED)
 
 
 @query
@@ -347,7 +353,8 @@ def piezo_registry(spark, sf_dir):
 
 @query
 def piezo_client(spark, sf_dir):
-    return piezo.piezo_client(_written_segments(spark, sf_dir), T.tracks(spark, sf_dir), T.lines(spark, sf_dir))
+    client = piezo.piezo_client(_written_segments(spark, sf_dir), T.tracks(spark, sf_dir), T.lines(spark, sf_dir))
+    return client.withColumn("Headway(s)", F.col("Headway(s)").cast("double"))
 
 
 @query
@@ -391,7 +398,7 @@ def optical_passthrough(spark, sf_dir):
 @query
 def upsert_latest_by_key(spark, sf_dir):
     """Segments that start before mid-January put over by the later ones."""
-    rows = piezo.piezo_registry(_segments(spark, sf_dir))
+    rows = piezo.piezo_registry(_written_segments(spark, sf_dir))
     early = F.col("datahora_inicio") < "2024-01-15"
     return upsert_latest(rows.filter(early), rows.filter(~early), FACT_KEYS["PiezoData"],
                          ["datahora_inicio", "sensor_id_origem", "sensor_id_destino", "pressao", "velocidade"])
@@ -410,11 +417,11 @@ def route_reject(spark, sf_dir):
     return rejected(T.route_keys(spark, sf_dir), "key", "asked")
 
 
-def _piezo_files(spark, sf_dir, scratch) -> str:
-    """Raw piezo files with each train in one of them."""
+def _raw_files(spark, df, time, family, scratch) -> str:
+    """Raw files of a family, by day."""
     folder = scratch.place("raw")
-    rows = T.piezo_raw(spark, sf_dir).repartition(3, "trem_id")
-    write_csv(rows, f"{folder}/piezo")
+    days = df.withColumn("day", F.to_date(time))
+    days.write.partitionBy("day").option("header", True).csv(f"{folder}/{family}")
     return folder
 
 
@@ -422,8 +429,9 @@ def _piezo_files(spark, sf_dir, scratch) -> str:
 def file_stream_ingest(spark, sf_dir):
     """Raw files streamed, cleaned and written to the trusted zone."""
     scratch = Scratch(spark)
-    rows = file_stream(spark, _piezo_files(spark, sf_dir, scratch), "piezo")
-    cleaned = cleaning.clean(rows.drop("source_time", "source_file", "source_block"))
+    raw = _raw_files(spark, T.piezo_raw(spark, sf_dir), "dataHora", "piezo", scratch)
+    rows = file_stream(spark, raw, "piezo").drop("source_time", "source_file", "source_block")
+    cleaned = cleaning.clean(rows)
     out = scratch.place("trusted")
     stream = (cleaned.writeStream.format("parquet").option("checkpointLocation", scratch.place("state"))
               .trigger(availableNow=True).start(out))
@@ -433,14 +441,14 @@ def file_stream_ingest(spark, sf_dir):
 
 @query
 def stream_upsert(spark, sf_dir):
-    """The piezo plan on each micro-batch; the fact table it leaves."""
+    """The DHT11 plan on each micro-batch of files; the fact table it leaves."""
     scratch = Scratch(spark)
     zones = Zones(scratch.place("zones"))
-    stream = start_ingest(spark, _piezo_files(spark, sf_dir, scratch), "piezo",
-                          T.dimensions(spark, sf_dir), zones, scratch.place("state"),
-                          files_per_batch=2, strict=False)
+    raw = _raw_files(spark, T.dht11_raw(spark, sf_dir), "timestamp", "dht11", scratch)
+    stream = start_ingest(spark, raw, "dht11", T.dimensions(spark, sf_dir), zones, scratch.place("state"),
+                          files_per_batch=20)
     _finish(stream)
-    return read_latest(spark, zones.table("PiezoData"), FACT_KEYS["PiezoData"])
+    return read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"])
 
 
 def _finish(stream, seconds=600):

@@ -46,6 +46,14 @@ def test_segments(spark, distances, sizes):
     ], key=str)
 
 
+def test_edges_match_by_number(spark):
+    edges = dimension_from_rows(spark, [("S06", "9", 500.0), ("SX", "S7", 1.0)], "PiezoSensorDistancia")
+    df = events(spark, [(1, 6, 1.0, at("10:00:00")), (1, 9, 1.0, at("10:00:50")),
+                        (1, 6, 1.0, at("10:01:00")), (1, 7, 1.0, at("10:01:50"))])
+    speeds = piezo.piezo_segments(df, edges).select("ID_SENSOR_DESTINO", "VELOCIDADE")
+    assert rows_of(speeds) == [(7, None), (9, 36.0)]
+
+
 @WAYS
 def test_an_edge_stored_both_ways_doubles_the_segment(spark, sizes):
     both = dimension_from_rows(spark, [("S6", "S9", 500.0), ("S9", "S6", 500.0)], "PiezoSensorDistancia")
