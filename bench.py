@@ -16,7 +16,7 @@ HEADLINE = [
     "dht11_registry", "dht11_client", "dps_registry", "dps_client", "pair_lag", "pair_self_join",
     "pair_sliced", "piezo_segments", "piezo_registry", "headway", "headway_sliced", "piezo_client",
     "upsert_latest_by_key", "omron_passthrough", "route_family", "csv_scan", "file_stream_ingest",
-    "stream_upsert",
+    "stream_upsert", "tof_run", "dps_run", "piezo_run",
 ]
 
 

@@ -11,7 +11,7 @@ from railpulse.operators.lookups import with_dimension
 from railpulse.schemas import FACT_KEYS
 from railpulse.sinks.files import Zones, write_client, write_trusted
 from railpulse.sinks.keyed import put_batch
-from railpulse.sources.readings import arrival_columns
+from railpulse.sources.readings import arrival_columns, without_arrival
 
 
 def dht11_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -34,5 +34,5 @@ def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int
     trusted = write_trusted(clean_typed(readings), zones, "dht11", batch)
     put_batch(dht11_registry(trusted, metadata), zones.table("DHT11Data"), batch,
               FACT_KEYS["DHT11Data"])
-    client = dht11_client(trusted.drop(*arrival_columns(trusted)), metadata)
+    client = dht11_client(without_arrival(trusted), metadata)
     write_client(client, zones, "dht11", batch)

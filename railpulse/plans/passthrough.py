@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from railpulse.operators.cleaning import clean, clean_typed
 from railpulse.sinks.files import Zones, write_client, write_trusted
-from railpulse.sources.readings import arrival_columns
+from railpulse.sources.readings import without_arrival
 
 
 def passthrough(df: DataFrame) -> DataFrame:
@@ -15,4 +15,4 @@ def passthrough(df: DataFrame) -> DataFrame:
 
 def run_passthrough(readings: DataFrame, family: str, zones: Zones, batch: int) -> None:
     trusted = write_trusted(clean_typed(readings), zones, family, batch)
-    write_client(trusted.drop(*arrival_columns(trusted)), zones, family, batch)
+    write_client(without_arrival(trusted), zones, family, batch)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -54,8 +54,23 @@ def read_optical(spark: SparkSession, path: str | list[str], schema: StructType
     )
 
 
-# Where a row came from, in the order it was written: file, then place within the file.
-ARRIVAL = ["source_time", "source_file", "source_block", "source_row"]
+# The file a row came from, by its time and a 128-bit hash of its path: rows are grouped by these,
+# and whole paths would be carried through every shuffle.
+FILE_KEY = ["source_time", "source_id", "source_id2"]
+# With the place within the file: the order in which rows were written.
+ARRIVAL = [*FILE_KEY, "source_block", "source_row"]
+
+
+def file_columns() -> list[Column]:
+    """The columns that name a row's file; for plain file reads and file streams."""
+    path = F.col("_metadata.file_path")
+    return [
+        path.alias("source_file"),
+        F.unix_micros("_metadata.file_modification_time").alias("source_time"),
+        F.xxhash64(path).alias("source_id"),
+        F.xxhash64(F.lit(1), path).alias("source_id2"),
+        F.col("_metadata.file_block_start").alias("source_block"),
+    ]
 
 
 def with_arrival(df: DataFrame) -> DataFrame:
@@ -64,19 +79,17 @@ def with_arrival(df: DataFrame) -> DataFrame:
     Pairing and headway then stay within a file, and of two rows for one key the one written
     last wins. ``df`` must be a plain file read.
     """
-    return df.select(
-        "*",
-        F.unix_micros("_metadata.file_modification_time").alias("source_time"),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("source_block"),
-        F.monotonically_increasing_id().alias("source_row"),
-    )
+    return df.select("*", *file_columns(), F.monotonically_increasing_id().alias("source_row"))
 
 
 def arrival_columns(df: DataFrame) -> list[str]:
     return [c for c in ARRIVAL if c in df.columns]
 
 
+def without_arrival(df: DataFrame) -> DataFrame:
+    return df.drop(*ARRIVAL, "source_file")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows_read"))
 

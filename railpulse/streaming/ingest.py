@@ -13,6 +13,7 @@ from railpulse.plans.runs import run_family
 from railpulse.schemas import readings_schema
 from railpulse.sinks.files import Zones
 from railpulse.sources.dumps import Dimensions
+from railpulse.sources.readings import file_columns
 
 FILES_PER_BATCH = 1000
 
@@ -28,16 +29,13 @@ def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
     in_dir = in_dir.rstrip("/")
     if schema is None:
         schema = readings_schema(family)
-    key = key_within(F.col("_metadata.file_path"), urlparse(in_dir).path)
+    key = key_within(F.col("source_file"), urlparse(in_dir).path)
     return (
         spark.readStream.schema(schema)
         .option("header", True).option("enforceSchema", False)
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
         .csv(f"{in_dir}/*{MARK_OF[family]}*")
-        .select("*",
-                F.unix_micros("_metadata.file_modification_time").alias("source_time"),
-                F.col("_metadata.file_path").alias("source_file"),
-                F.col("_metadata.file_block_start").alias("source_block"))
+        .select("*", *file_columns())
         .filter(route_family(key) == family)
     )
 

@@ -298,7 +298,10 @@ def oracle() -> dict[str, str]:
             {shown('t')} AS dataHora FROM piezo""",
     }
     registry = with_(piezo_clean(), DISTANCES, WITH_DISTANCE, REGISTRY)
-    sql["upsert_latest_by_key"] = f"{registry}{LATEST}"
+    sql["upsert_latest_by_key"] = sql["piezo_run"] = f"{registry}{LATEST}"
+    sql["tof_run"] = f"SELECT * RENAME (ocupacao_media AS ocupacao) FROM ({sql['tof_occupancy']})"
+    sql["dps_run"] = f"""{sql['dps_registry']} QUALIFY row_number() OVER (
+        PARTITION BY sensor_id, dataHora ORDER BY picoTensao_kV DESC) = 1"""
     sql["stream_upsert"] = f"""{sql['dht11_registry']} QUALIFY row_number() OVER (
         PARTITION BY d.sensor_id, d."timestamp" ORDER BY d.temperature_c DESC) = 1"""
     return sql

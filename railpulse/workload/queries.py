@@ -11,12 +11,13 @@ from railpulse.functions import columns as C
 from railpulse.functions.routing import rejected, route_family
 from railpulse.operators import cleaning, lookups
 from railpulse.plans import dht11, dps, passthrough, piezo, tof
+from railpulse.plans.runs import run_family
 from railpulse.schemas import FACT_KEYS, dimension_schema
 from railpulse.session import Scratch
 from railpulse.sinks.files import Zones, write_csv
 from railpulse.sinks.keyed import read_latest, upsert_latest
 from railpulse.sources.dumps import dump_schema, unwrap_items
-from railpulse.sources.readings import read_optical, read_readings, row_count
+from railpulse.sources.readings import read_optical, read_readings, row_count, without_arrival
 from railpulse.streaming.ingest import file_stream, start_ingest
 from railpulse.workload import tables as T
 
@@ -393,6 +394,33 @@ def optical_passthrough(spark, sf_dir):
     return passthrough.passthrough(T.table(spark, sf_dir, "customer"))
 
 
+# Whole runs from raw CSV to fact table
+
+def _run(spark, sf_dir, family, raw, table):
+    scratch = Scratch(spark)
+    zones = Zones(scratch.place("zones"))
+    readings = read_readings(spark, csv_of(spark, raw(spark, sf_dir), family), family)
+    options = {"strict": False} if family == "piezo" else {}
+    run_family(family, readings, T.dimensions(spark, sf_dir), zones, 1, **options)
+    return read_latest(spark, zones.table(table), FACT_KEYS[table])
+
+
+@query
+def tof_run(spark, sf_dir):
+    return _run(spark, sf_dir, "tof", T.tof_raw, "TofData")
+
+
+@query
+def dps_run(spark, sf_dir):
+    return _run(spark, sf_dir, "dps", T.dps_raw, "DpsData")
+
+
+@query
+def piezo_run(spark, sf_dir):
+    """Without file columns, so trains are paired over all files."""
+    return _run(spark, sf_dir, "piezo", T.piezo_raw, "PiezoData")
+
+
 # Keyed tables, routing, streams
 
 @query
@@ -430,8 +458,7 @@ def file_stream_ingest(spark, sf_dir):
     """Raw files streamed, cleaned and written to the trusted zone."""
     scratch = Scratch(spark)
     raw = _raw_files(spark, T.piezo_raw(spark, sf_dir), "dataHora", "piezo", scratch)
-    rows = file_stream(spark, raw, "piezo").drop("source_time", "source_file", "source_block")
-    cleaned = cleaning.clean(rows)
+    cleaned = cleaning.clean(without_arrival(file_stream(spark, raw, "piezo")))
     out = scratch.place("trusted")
     stream = (cleaned.writeStream.format("parquet").option("checkpointLocation", scratch.place("state"))
               .trigger(availableNow=True).start(out))

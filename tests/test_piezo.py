@@ -11,7 +11,7 @@ WAYS = pytest.mark.parametrize("sizes", [{}, SLICED], ids=["whole", "sliced"])
 def events(spark, rows, extra=""):
     df = spark.createDataFrame(rows, "trem_id int, sensor_id int, pressure_kpa double, at string" + extra)
     return clean_typed(df.selectExpr("trem_id", "sensor_id", "pressure_kpa",
-                                     "cast(at AS timestamp) AS dataHora", *(["source_file"] if extra else [])))
+                                     "cast(at AS timestamp) AS dataHora", *(["source_id"] if extra else [])))
 
 
 def at(clock):
@@ -65,8 +65,8 @@ def test_an_edge_stored_both_ways_doubles_the_segment(spark, sizes):
 def test_pairs_stay_within_a_file(spark, sizes):
     df = events(spark, [
         (1, 6, 1.0, at("10:00:00"), "a"), (1, 9, 1.0, at("10:00:10"), "b"),
-        (1, 7, 1.0, at("10:00:20"), "a"), (1, 5, 1.0, at("10:00:30"), "b")], ", source_file string")
-    pairs = piezo.pair_events(df, **sizes).select("source_file", "ID_SENSOR_ORIGEM", "ID_SENSOR_DESTINO")
+        (1, 7, 1.0, at("10:00:20"), "a"), (1, 5, 1.0, at("10:00:30"), "b")], ", source_id string")
+    pairs = piezo.pair_events(df, **sizes).select("source_id", "ID_SENSOR_ORIGEM", "ID_SENSOR_DESTINO")
     assert rows_of(pairs) == [("a", 6, 7), ("b", 9, 5)]
 
 

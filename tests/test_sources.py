@@ -5,7 +5,7 @@ import pytest
 
 from railpulse.schemas import dimension_schema
 from railpulse.sources.dumps import load_dimensions, read_dimensions, read_typed_dump
-from railpulse.sources.readings import raw_keys, read_optical, read_readings, row_count, with_arrival
+from railpulse.sources.readings import ARRIVAL, raw_keys, read_optical, read_readings, row_count, with_arrival
 
 
 def put(path, text, encoding="utf-8"):
@@ -60,7 +60,7 @@ def test_arrival_orders_rows_as_written(spark, tmp_path):
     text = "trem_id,sensor_id,pressure_kpa,dataHora\n" + "".join(
         f"1,6,{i}.0,2024-01-01 10:00:00\n" for i in range(20))
     df = with_arrival(read_readings(spark, put(f"{tmp_path}/a.csv", text), "piezo"))
-    rows = df.orderBy("source_time", "source_file", "source_block", "source_row").collect()
+    rows = df.orderBy(*ARRIVAL).collect()
     assert [r.pressure_kpa for r in rows] == [float(i) for i in range(20)]
     assert rows[0].source_file.endswith("/a.csv")
 
