@@ -44,6 +44,20 @@ def drop_nulls(df: DataFrame) -> DataFrame:
     return df.filter(present)
 
 
+def rounded(column: Column, places: int) -> Column:
+    """``round``, half up on the digits a double prints, without its cost where nothing changes.
+
+    Spark rounds a double by way of its text. A double that equals a whole number of units of the
+    last place is its own result: below 1e9 and up to six places its digits cannot lie nearer to
+    another unit. Adding zero turns -0.0 into 0.0, as ``round`` does.
+    """
+    if places > 6:
+        return F.round(column, places)
+    units = F.lit(10.0**places)
+    settled = (F.abs(column) < 1e9) & (column == F.rint(column * units) / units)
+    return F.when(settled, column + F.lit(0.0)).otherwise(F.round(column, places))
+
+
 def parse_date_text(name: str) -> Column:
     """Date text as a timestamp, or null when no format fits.
 
@@ -72,7 +86,7 @@ def _clean(df: DataFrame, places: int, zone: str, time_form) -> DataFrame:
     def settle(field: StructField) -> Column:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, DoubleType):
-            column = F.round(column, places)
+            column = rounded(column, places)
         elif isinstance(field.dataType, TIME_TYPES):
             column = time_form(column)
         elif is_date_text(field):

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from railpulse.functions.columns import rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed, render_times
 from railpulse.operators.lookups import with_dimension
-from railpulse.schemas import FACT_KEYS
 from railpulse.sinks.files import Zones, write_client, write_trusted
-from railpulse.sinks.keyed import put_batch
-from railpulse.sources.readings import arrival_columns, without_arrival
+from railpulse.sinks.keyed import last_written, put_batch
+from railpulse.sources.readings import without_arrival
 
 
 def dht11_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -19,8 +18,7 @@ def dht11_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
     keyed = df.withColumn("sensor_id", sensor_key("sensor_id"))
     return with_dimension(keyed, metadata, "sensor_id").select(
         "trem_id", rendered("timestamp").alias("datahora"), "carro_id", "sensor_id",
-        F.col("temperature_c").alias("temperatura"), F.col("humidity_percent").alias("umidade"),
-        *arrival_columns(df))
+        F.col("temperature_c").alias("temperatura"), F.col("humidity_percent").alias("umidade"))
 
 
 def dht11_client(df: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -32,7 +30,7 @@ def dht11_client(df: DataFrame, metadata: DataFrame) -> DataFrame:
 
 def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int) -> None:
     trusted = write_trusted(clean_typed(readings), zones, "dht11", batch)
-    put_batch(dht11_registry(trusted, metadata), zones.table("DHT11Data"), batch,
-              FACT_KEYS["DHT11Data"])
+    latest = last_written(trusted, ["sensor_id", "timestamp"])
+    put_batch(dht11_registry(latest, metadata), zones.table("DHT11Data"), batch)
     client = dht11_client(without_arrival(trusted), metadata)
     write_client(client, zones, "dht11", batch)

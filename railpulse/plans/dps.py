@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from railpulse.functions.columns import rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed
 from railpulse.operators.lookups import known, with_dimension
-from railpulse.schemas import FACT_KEYS
 from railpulse.sinks.files import Zones, write_client, write_trusted
-from railpulse.sinks.keyed import put_batch
-from railpulse.sources.readings import arrival_columns
+from railpulse.sinks.keyed import last_written, put_batch
 
 
 def dps_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -19,8 +17,7 @@ def dps_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
     keyed = df.withColumn("sensor_id", sensor_key("sensor_id"))
     return known(keyed, metadata, "sensor_id").select(
         F.col("statusDPS").alias("status"), rendered("dataHora").alias("datahora"),
-        F.col("picoTensao_kV").alias("tensao"), F.col("correnteSurto_kA").alias("corrente"), "sensor_id",
-        *arrival_columns(df))
+        F.col("picoTensao_kV").alias("tensao"), F.col("correnteSurto_kA").alias("corrente"), "sensor_id")
 
 
 def dps_client(df: DataFrame, metadata: DataFrame, circuits: DataFrame) -> DataFrame:
@@ -37,6 +34,6 @@ def dps_client(df: DataFrame, metadata: DataFrame, circuits: DataFrame) -> DataF
 
 def run_dps(readings: DataFrame, metadata: DataFrame, circuits: DataFrame, zones: Zones, batch: int) -> None:
     trusted = write_trusted(clean_typed(readings), zones, "dps", batch)
-    put_batch(dps_registry(trusted, metadata), zones.table("DpsData"), batch,
-              FACT_KEYS["DpsData"])
+    latest = last_written(trusted, ["sensor_id", "dataHora"])
+    put_batch(dps_registry(latest, metadata), zones.table("DpsData"), batch)
     write_client(dps_client(trusted, metadata, circuits), zones, "dps", batch)

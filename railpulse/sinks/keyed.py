@@ -21,17 +21,20 @@ def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], sequence: lis
     return latest_by_key(old.unionByName(new), keys, sequence)
 
 
-def put_batch(df: DataFrame, table: str, batch: int, keys: list[str],
-              sequence: list | None = None) -> None:
-    """Write one batch, folded to its latest row per key.
+def last_written(df: DataFrame, keys: list[str], sequence: list | None = None) -> DataFrame:
+    """One row per key: the highest in ``sequence``, by default the one written last to the raw
+    files. Rows that do not carry where they came from are told apart by their values.
 
-    Without a ``sequence`` the row that was written last to the raw file wins, where the rows
-    still carry that; rows that do not are told apart by their values.
+    To be used on numbers and timestamps, before ids and times are rendered as text.
     """
-    arrival = arrival_columns(df)
-    values = [c for c in df.columns if c not in [*keys, *arrival]]
-    folded = latest_by_key(df, keys, [*(sequence or arrival), *values]).drop(*arrival)
-    folded.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch:09d}")
+    values = [c for c in df.columns if c not in keys]
+    return latest_by_key(df, keys, sequence or arrival_columns(df) or values)
+
+
+def put_batch(df: DataFrame, table: str, batch: int) -> None:
+    """Write one batch of rows that are unique by key."""
+    rows = df.drop(*arrival_columns(df))
+    rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch:09d}")
 
 
 def read_latest(spark: SparkSession, table: str, keys: list[str],

@@ -298,7 +298,10 @@ def oracle() -> dict[str, str]:
             {shown('t')} AS dataHora FROM piezo""",
     }
     registry = with_(piezo_clean(), DISTANCES, WITH_DISTANCE, REGISTRY)
-    sql["upsert_latest_by_key"] = sql["piezo_run"] = f"{registry}{LATEST}"
+    sql["upsert_latest_by_key"] = f"{registry}{LATEST}"
+    sql["piezo_run"] = registry.replace("FROM segments)", """FROM segments
+        QUALIFY row_number() OVER (PARTITION BY ID_TREM ORDER BY t1 DESC, ID_SENSOR_ORIGEM DESC,
+            ID_SENSOR_DESTINO DESC, PRESSAO DESC, VELOCIDADE DESC NULLS LAST) = 1)""") + "SELECT * FROM registry"
     sql["tof_run"] = f"SELECT * RENAME (ocupacao_media AS ocupacao) FROM ({sql['tof_occupancy']})"
     sql["dps_run"] = f"""{sql['dps_registry']} QUALIFY row_number() OVER (
         PARTITION BY sensor_id, dataHora ORDER BY picoTensao_kV DESC) = 1"""

@@ -1,7 +1,9 @@
 import datetime as dt
+import math
+import random
 
 from railpulse.functions.columns import block_of, km_per_hour, as_decimal, bare_sensor, below
-from railpulse.operators.cleaning import clean, clean_typed, drop_nulls, render_times
+from railpulse.operators.cleaning import clean, clean_typed, drop_nulls, render_times, rounded
 from pyspark.sql import functions as F
 
 
@@ -34,6 +36,20 @@ def test_doubles_round_half_up_to_five_places_and_other_numbers_stay(spark):
     assert abs(row.e - 0.1234567) < 1e-8
 
 
+def test_rounding_equals_round_bit_for_bit(spark):
+    rng = random.Random(3)
+    values = [0.0, -0.0, 1e-9, -1e-9, 1e9, 999999999.99999, 1e9 + 1e-5, 1e15, 1e300, 5e-6, 1.5e-5, 2.5e-5,
+              -1.000005, 0.1 + 0.2, float("inf"), float("-inf"), float("nan"), None]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-8, 17) for _ in range(20000)]
+    values += [rng.randint(-10**14, 10**14) / 10**rng.randint(0, 7) for _ in range(20000)]
+    values += [math.nextafter(rng.randint(-10**9, 10**9) / 10**5, rng.choice([-1e9, 1e9])) for _ in range(20000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for places in (0, 2, 5):
+        same = F.hex(F.round("x", places).cast("string").cast("binary")).eqNullSafe(
+            F.hex(rounded(F.col("x"), places).cast("string").cast("binary")))
+        assert df.filter(~same).count() == 0
+
+
 def test_dates_and_timestamps_of_every_type_become_text(spark):
     df = spark.sql("SELECT DATE'2024-03-01' AS d, TIMESTAMP'2024-03-01 10:20:30.987' AS t, "
                    "TIMESTAMP_NTZ'2024-03-01 10:20:30.987' AS n")

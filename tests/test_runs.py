@@ -11,7 +11,7 @@ from railpulse.plans.runs import run_family, run_files
 from railpulse.schemas import FACT_KEYS
 from railpulse.session import Scratch, shared_folder
 from railpulse.sinks.files import Zones
-from railpulse.sinks.keyed import compact, put_batch, read_latest, upsert_latest
+from railpulse.sinks.keyed import compact, last_written, put_batch, read_latest, upsert_latest
 from railpulse.sources.dumps import Dimensions, dimension_from_rows
 from railpulse.streaming.ingest import start_all, start_ingest
 from tests.test_sources import put
@@ -203,16 +203,17 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
     def batch(*rows):
         return spark.createDataFrame(list(rows), "k int, v int")
 
-    put_batch(batch((1, 10), (1, 11), (2, 20)), table, 1, keys)
-    put_batch(batch((1, 5)), table, 2, keys)
-    put_batch(batch((1, 10), (1, 11), (2, 20)), table, 1, keys)
+    first = last_written(batch((1, 10), (1, 11), (2, 20)), keys)
+    put_batch(first, table, 1)
+    put_batch(batch((1, 5)), table, 2)
+    put_batch(first, table, 1)
     want = [(1, 5), (2, 20)]
     assert sorted(tuple(r) for r in read_latest(spark, table, keys).collect()) == want
     by_value = read_latest(spark, table, keys, ["v"])
     assert sorted(tuple(r) for r in by_value.collect()) == [(1, 11), (2, 20)]
     compact(spark, table, f"{tmp_path}/t2", keys)
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == want
-    put_batch(batch((2, 1)), f"{tmp_path}/t2", 3, keys)
+    put_batch(batch((2, 1)), f"{tmp_path}/t2", 3)
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == [(1, 5), (2, 1)]
 
 

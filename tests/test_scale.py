@@ -63,7 +63,7 @@ def test_aggregates_are_combined_before_the_shuffle(spark):
 def test_a_key_range_of_a_fact_table_prunes_the_scan(spark, tmp_path):
     rows = spark.createDataFrame([("S1", "2024-01-01 00:00:00", 1.0), ("S1", "2024-02-01 00:00:00", 2.0)],
                                  "sensor_id string, datahora string, ocupacao double")
-    put_batch(rows, f"{tmp_path}/t", 1, ["sensor_id", "datahora"])
+    put_batch(rows, f"{tmp_path}/t", 1)
     late = read_latest(spark, f"{tmp_path}/t", ["sensor_id", "datahora"]).filter("datahora >= '2024-01-15'")
     assert "GreaterThanOrEqual(datahora,2024-01-15)" in final_plan(late)
     assert [r.ocupacao for r in late.collect()] == [2.0]
