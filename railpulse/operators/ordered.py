@@ -49,6 +49,8 @@ def number_and_lag(
     ``written`` says that ``df`` reads straight from files and need not be written once more.
     """
     lag = lag or {}
+    if set(lag.values()) & set(keys):
+        raise ValueError("a group's keys are the same on the previous row")
     if max_group_rows and largest_group(df, keys) <= max_group_rows:
         return _whole_groups(df, keys, order, lag, number)
     scratch = scratch or Scratch(df.sparkSession)

@@ -18,10 +18,10 @@ READINGS = {
     "tof": "sensor_id int, timestamp timestamp, y int, x int, dist_mm double",
 }
 
-# Attributes of the dimension tables; double marks a number attribute.
+# Attributes of the dimension tables; int and double mark number attributes.
 DIMENSIONS = {
     "Circuito": "sensor_id string, circuito_id string, modelo string, categoria string, "
-                "prioridade double",
+                "prioridade int",
     "Linha": "linha_id string, cor string",
     "PiezoSensorDistancia": "sensor_id string, sensor_id_2 string, distancia double",
     "SensorMetadata": "sensor_id string, trem_id string, carro_id string",

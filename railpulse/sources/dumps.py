@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, NumericType, StringType, StructField, StructType
 
 from railpulse.schemas import DIMENSIONS, dimension_schema
 
@@ -31,11 +31,11 @@ def dump_schema(flat: StructType) -> StructType:
 
 
 def unwrap_items(df: DataFrame, flat: StructType) -> DataFrame:
-    """``Items`` as flat rows: numbers as doubles, missing attributes null, no items no rows."""
+    """``Items`` as flat rows: numbers typed, missing attributes null, no items no rows."""
 
     def value(field):
-        if isinstance(field.dataType, DoubleType):
-            return F.col(f"item.{field.name}.N").cast("double").alias(field.name)
+        if isinstance(field.dataType, NumericType):
+            return F.col(f"item.{field.name}.N").cast("double").cast(field.dataType).alias(field.name)
         return F.col(f"item.{field.name}.S").alias(field.name)
 
     return df.select(F.explode("Items").alias("item")).select(*[value(f) for f in flat])

@@ -37,7 +37,7 @@ meta AS (
 CIRCUITS = """
 circ AS (
   SELECT 'S' || (p_partkey * 2) AS sensor_id, 'CC' || p_partkey AS circuito_id, p_type AS modelo,
-         p_brand AS categoria, CAST(p_size AS DOUBLE) AS prioridade
+         p_brand AS categoria, p_size AS prioridade
   FROM part)"""
 
 TRACKS = """

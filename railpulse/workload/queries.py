@@ -181,7 +181,7 @@ def lookup_missing(spark, sf_dir):
 
 
 # The way for groups too large for one task, with slices small enough that test tables fill several.
-SLICED = {"max_group_rows": 0, "rows_per_slice": 1500}
+SLICED = {"max_group_rows": 0, "rows_per_slice": 2500}
 
 
 def _pairs(spark, sf_dir, **sizes):

@@ -103,7 +103,7 @@ def circuits(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("S"), F.col("p_partkey") * 2).alias("sensor_id"),
         F.concat(F.lit("CC"), F.col("p_partkey")).alias("circuito_id"),
         F.col("p_type").alias("modelo"), F.col("p_brand").alias("categoria"),
-        F.col("p_size").cast("double").alias("prioridade"))
+        F.col("p_size").alias("prioridade"))
 
 
 def distances(spark, sf_dir) -> DataFrame:

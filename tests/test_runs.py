@@ -24,7 +24,7 @@ def dims(spark):
 
     return Dimensions(
         table("SensorMetadata", ("S1", "T1", "C1"), ("S2", None, None)),
-        table("Circuito", ("S1", "CC1", "m", "c", 1.0)),
+        table("Circuito", ("S1", "CC1", "m", "c", 1)),
         table("PiezoSensorDistancia", ("S6", "S9", 500.0)),
         table("Trilho", ("S6", "R7-1", "7")),
         table("Linha", ("7", "Rubi")))
@@ -86,7 +86,7 @@ def test_dps(spark, dims, zones, tmp_path):
     assert csv(spark, zones.client("dps", 1)) == (
         ["ID_CIRCUITO", "MODELO", "CATEGORIA", "PRIORIDADE", "STATUS", "NUM_CARRO", "NUM_TREM", "DATAHORA",
          "picoTensao_kV", "correnteSurto_kA"],
-        [("CC1", "m", "c", "1.0", "OK", "C1", "T1", "2024-01-01 10:00:00", "7.76", "7.54")])
+        [("CC1", "m", "c", "1", "OK", "C1", "T1", "2024-01-01 10:00:00", "7.76", "7.54")])
 
 
 def test_omron_and_optical_pass_through(spark, dims, zones, tmp_path):

@@ -30,7 +30,7 @@ def final_plan(df):
 def test_a_hot_sensor_is_split_when_dimensions_are_too_large_to_broadcast(spark, scratch):
     sensors = [f"S{i}" for i in range(50)]
     meta = scratch.save(dimension_from_rows(spark, [(s, "T1", "C1") for s in sensors], "SensorMetadata"), "meta")
-    circ = scratch.save(dimension_from_rows(spark, [(s, "CC1", "m", "c", 1.0) for s in sensors], "Circuito"), "circ")
+    circ = scratch.save(dimension_from_rows(spark, [(s, "CC1", "m", "c", 1) for s in sensors], "Circuito"), "circ")
     rows = spark.range(0, 60000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("int").alias("sensor_id"),
         F.lit("OK").alias("statusDPS"), F.col("id").cast("double").alias("picoTensao_kV"),

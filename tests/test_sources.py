@@ -109,6 +109,6 @@ def test_dimensions_are_loaded_from_a_folder_of_dumps(spark, tmp_path):
     load_dimensions(spark, dumps, tables)
     dims = read_dimensions(spark, tables)
     assert dims.metadata.count() == 2
-    assert dims.circuits.first().prioridade == 1.0
+    assert dims.circuits.first().prioridade == 1
     assert dims.distances.count() == 0
     assert dims.tracks.join(dims.lines, "linha_id").first().cor == "Rubi"
