@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# For runs over many terabytes. Shuffles start out in many small partitions and AQE merges them to
-# the advised size, so a small run is not slowed by the count; larger scan splits keep the number
-# of map tasks, and with it the number of shuffle blocks, within bounds.
+# For runs over many terabytes. Shuffles start out in many partitions, which AQE merges to the
+# advised size; larger scan splits keep the number of map tasks, and with it that of shuffle blocks,
+# within bounds.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

@@ -13,16 +13,6 @@ from pyspark.sql.types import ArrayType, NumericType, StringType, StructField, S
 
 from railpulse.schemas import DIMENSIONS, dimension_schema
 
-# Dump file by table.
-DUMP_FILES = {
-    "Circuito": "circuito_dump.json",
-    "Linha": "linha_dump.json",
-    "PiezoSensorDistancia": "piezo_sensor_distancia_dump.json",
-    "SensorMetadata": "sensor_metadata_dump.json",
-    "Trilho": "trilho_dump.json",
-}
-
-
 def dump_schema(flat: StructType) -> StructType:
     """The nested schema of a dump that holds the attributes of ``flat``."""
     value = StructType([StructField("S", StringType()), StructField("N", StringType())])
@@ -48,14 +38,11 @@ def read_typed_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
     return unwrap_items(raw, flat)
 
 
-def load_dimensions(spark: SparkSession, dump_dir: str, table_dir: str) -> None:
-    """Turn a folder of dumps into one dimension table each. Absent dumps are passed over."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for table, file_name in DUMP_FILES.items():
-        file = jvm.org.apache.hadoop.fs.Path(f"{dump_dir.rstrip('/')}/{file_name}")
-        if file.getFileSystem(conf).exists(file):
-            dump = read_typed_dump(spark, file.toString(), table)
-            dump.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{table}")
+def load_dimensions(spark: SparkSession, dumps: dict[str, str], table_dir: str) -> None:
+    """Turn dumps, given by table name, into one dimension table each, replacing those there."""
+    for table, path in dumps.items():
+        dump = read_typed_dump(spark, path, table)
+        dump.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{table}")
 
 
 @dataclass(frozen=True)

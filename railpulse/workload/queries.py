@@ -230,15 +230,14 @@ def line_label(spark, sf_dir):
 
 @query
 def sql_scalar_subquery(spark, sf_dir):
-    T.table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey AS ID_SENSOR", "c_nationkey AS ID_TRILHO").createOrReplaceTempView("SENSOR")
-    T.table(spark, sf_dir, "nation").selectExpr(
-        "n_nationkey AS ID_TRILHO", "n_name AS NUM_IDENTIFICACAO",
-        "n_regionkey AS ID_LINHA").createOrReplaceTempView("TRILHO")
-    T.table(spark, sf_dir, "region").selectExpr(
-        "r_regionkey AS ID_LINHA", "r_regionkey + 1 AS NUMERO",
-        "r_name AS COR_IDENTIFICACAO").createOrReplaceTempView("LINHA")
-    return piezo.track_line_sql(spark, "(SELECT max(ID_SENSOR) FROM SENSOR)")
+    """The track and line of the sensor with the highest id."""
+    sensors = T.table(spark, sf_dir, "customer").selectExpr("c_custkey AS ID_SENSOR", "c_nationkey AS ID_TRILHO")
+    tracks = T.table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS ID_TRILHO", "n_name AS NUM_IDENTIFICACAO", "n_regionkey AS ID_LINHA")
+    lines = T.table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey AS ID_LINHA", "r_regionkey + 1 AS NUMERO", "r_name AS COR_IDENTIFICACAO")
+    last = sensors.agg(F.max("ID_SENSOR")).first()[0]
+    return piezo.track_line_sql(spark, tracks, lines, sensors, last)
 
 
 # Aggregations

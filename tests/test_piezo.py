@@ -96,6 +96,26 @@ def test_client_headers_and_unknown_tracks(spark, distances):
     assert [r.sensor_id for r in piezo.unknown_origins(segments, tracks).collect()] == ["S9"]
 
 
+def test_both_forms_of_pairing_agree_within_files(spark):
+    df = events(spark, [(t, s, float(s), at(f"10:{m:02d}:00"), f) for f in "ab" for t in (1, 2)
+                        for s, m in ((6, 1), (9, 2), (7, 3), (6, 3), (6, 4))], ", source_id string")
+    assert rows_of(piezo.pair_by_self_join(df)) == rows_of(piezo.pair_events(df)) != []
+
+
+def test_the_sql_form_of_the_track_lookup(spark):
+    tracks = spark.createDataFrame([(1, "R1", 7), (2, "R2", 8)], "ID_TRILHO int, NUM_IDENTIFICACAO string, ID_LINHA int")
+    lines = spark.createDataFrame([(7, 7, "Rubi")], "ID_LINHA int, NUMERO int, COR_IDENTIFICACAO string")
+    sensors = spark.createDataFrame([(5, 1), (6, 2), (8, 1), (8, 2)], "ID_SENSOR int, ID_TRILHO int")
+
+    def look_up(sensor):
+        return rows_of(piezo.track_line_sql(spark, tracks, lines, sensors, sensor))
+
+    assert look_up(5) == [("R1", "7 - Rubi")]
+    assert look_up(6) == look_up(99) == []
+    with pytest.raises(Exception, match="(?i)scalar_subquery"):
+        look_up(8)
+
+
 def test_pairing_takes_one_shuffle_and_no_join(spark):
     df = events(spark, [(1, 6, 1.0, at("10:00:00"))])
     plan = piezo.pair_events(df)._jdf.queryExecution().executedPlan().toString()

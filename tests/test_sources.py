@@ -94,19 +94,20 @@ def test_dump_numbers_and_empty_dumps(spark, tmp_path):
         assert empty.count() == 0 and empty.schema == dimension_schema("Linha")
 
 
-def test_dimensions_are_loaded_from_a_folder_of_dumps(spark, tmp_path):
-    dumps, tables = f"{tmp_path}/dumps", f"{tmp_path}/tables"
-    put(f"{dumps}/sensor_metadata_dump.json", json.dumps(METADATA), "utf-8-sig")
-    put(f"{dumps}/circuito_dump.json", json.dumps({"Items": [
-        {"sensor_id": {"S": "S2"}, "circuito_id": {"S": "CC1"}, "modelo": {"S": "m"},
-         "categoria": {"S": "c"}, "prioridade": {"N": "1"}}]}))
-    put(f"{dumps}/piezo_sensor_distancia_dump.json", '{"Items": []}')
-    put(f"{dumps}/linha_dump.json", json.dumps({"Items": [{"linha_id": {"S": "7"}, "cor": {"S": "Rubi"}}]}))
-    load_dimensions(spark, dumps, tables)
+def test_dimensions_are_loaded_from_dumps(spark, tmp_path):
+    def dump(name, *items):
+        return put(f"{tmp_path}/{name}.json", json.dumps({"Items": list(items)}), "utf-8-sig")
+
+    tables = f"{tmp_path}/tables"
+    load_dimensions(spark, {
+        "SensorMetadata": dump("m", *METADATA["Items"]),
+        "Circuito": dump("c", {"sensor_id": {"S": "S2"}, "circuito_id": {"S": "CC1"}, "modelo": {"S": "m"},
+                               "categoria": {"S": "c"}, "prioridade": {"N": "1"}}),
+        "PiezoSensorDistancia": dump("d"),
+        "Linha": dump("l", {"linha_id": {"S": "7"}, "cor": {"S": "Rubi"}})}, tables)
     assert sorted(os.listdir(tables)) == ["Circuito", "Linha", "PiezoSensorDistancia", "SensorMetadata"]
-    put(f"{dumps}/trilho_dump.json", json.dumps(
-        {"Items": [{"sensor_id": {"S": "S2"}, "trilho_id": {"S": "R7-1"}, "linha_id": {"S": "7"}}]}))
-    load_dimensions(spark, dumps, tables)
+    load_dimensions(spark, {"Trilho": dump("t", {
+        "sensor_id": {"S": "S2"}, "trilho_id": {"S": "R7-1"}, "linha_id": {"S": "7"}})}, tables)
     dims = read_dimensions(spark, tables)
     assert dims.metadata.count() == 2
     assert dims.circuits.first().prioridade == 1
