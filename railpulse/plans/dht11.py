@@ -28,9 +28,10 @@ def dht11_client(df: DataFrame, metadata: DataFrame) -> DataFrame:
     return render_times(with_dimension(keyed, dim, "_key").drop("_key"))
 
 
-def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int) -> None:
-    trusted = write_trusted(clean_typed(readings), zones, "dht11", batch)
+def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int) -> int:
+    trusted, kept = write_trusted(clean_typed(readings), zones, "dht11", batch)
     latest = last_written(trusted, ["sensor_id", "timestamp"])
     put_batch(dht11_registry(latest, metadata), zones.table("DHT11Data"), batch)
     client = dht11_client(without_arrival(trusted), metadata)
     write_client(client, zones, "dht11", batch)
+    return kept

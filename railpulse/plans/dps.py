@@ -32,8 +32,9 @@ def dps_client(df: DataFrame, metadata: DataFrame, circuits: DataFrame) -> DataF
         "picoTensao_kV", "correnteSurto_kA")
 
 
-def run_dps(readings: DataFrame, metadata: DataFrame, circuits: DataFrame, zones: Zones, batch: int) -> None:
-    trusted = write_trusted(clean_typed(readings), zones, "dps", batch)
+def run_dps(readings: DataFrame, metadata: DataFrame, circuits: DataFrame, zones: Zones, batch: int) -> int:
+    trusted, kept = write_trusted(clean_typed(readings), zones, "dps", batch)
     latest = last_written(trusted, ["sensor_id", "dataHora"])
     put_batch(dps_registry(latest, metadata), zones.table("DpsData"), batch)
     write_client(dps_client(trusted, metadata, circuits), zones, "dps", batch)
+    return kept

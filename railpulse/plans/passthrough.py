@@ -13,6 +13,7 @@ def passthrough(df: DataFrame) -> DataFrame:
     return clean(df)
 
 
-def run_passthrough(readings: DataFrame, family: str, zones: Zones, batch: int) -> None:
-    trusted = write_trusted(clean_typed(readings), zones, family, batch)
+def run_passthrough(readings: DataFrame, family: str, zones: Zones, batch: int) -> int:
+    trusted, kept = write_trusted(clean_typed(readings), zones, family, batch)
     write_client(without_arrival(trusted), zones, family, batch)
+    return kept

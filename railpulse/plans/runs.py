@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,33 +18,40 @@ from railpulse.sources.dumps import Dimensions
 from railpulse.sources.readings import read_readings, with_arrival
 
 
+class RowCounts(NamedTuple):
+    """Rows read from the raw files, and those left by cleaning."""
+
+    read: int
+    kept: int
+
+
 def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones, batch: int,
-               scratch_folder: str | None = None, **options) -> int:
+               scratch_folder: str | None = None, **options) -> RowCounts:
     """Clean a batch of readings and write its trusted rows, fact rows and client extract.
 
     Only the trusted write reads the raw files, and it counts their rows on the way; the rest
     starts from the trusted rows. Running a batch number again replaces what it wrote before.
-    Options go to the piezo run. Returns the rows read.
+    Options go to the piezo run.
     """
     counted = Observation()
     readings = readings.observe(counted, F.count(F.lit(1)).alias("rows_read"))
     with Scratch(readings.sparkSession, scratch_folder) as scratch:
         if family == "tof":
-            run_tof(readings, dims.metadata, zones, batch, scratch)
+            kept = run_tof(readings, dims.metadata, zones, batch, scratch)
         elif family == "dht11":
-            run_dht11(readings, dims.metadata, zones, batch)
+            kept = run_dht11(readings, dims.metadata, zones, batch)
         elif family == "dps":
-            run_dps(readings, dims.metadata, dims.circuits, zones, batch)
+            kept = run_dps(readings, dims.metadata, dims.circuits, zones, batch)
         elif family == "piezo":
-            run_piezo(readings, dims, zones, batch, scratch, **options)
+            kept = run_piezo(readings, dims, zones, batch, scratch, **options)
         elif family in ("omron", "optical"):
-            run_passthrough(readings, family, zones, batch)
+            kept = run_passthrough(readings, family, zones, batch)
         else:
             raise ValueError(f"no such family: {family}")
-    return counted.get["rows_read"]
+    return RowCounts(counted.get["rows_read"], kept)
 
 
 def run_files(spark: SparkSession, family: str, path: str | list[str], dims: Dimensions, zones: Zones,
-              batch: int, **options) -> int:
+              batch: int, **options) -> RowCounts:
     """``run_family`` over raw files."""
     return run_family(family, with_arrival(read_readings(spark, path, family)), dims, zones, batch, **options)

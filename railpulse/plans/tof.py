@@ -84,10 +84,11 @@ def tof_records(occupancy: DataFrame) -> DataFrame:
     return occupancy.withColumnRenamed("ocupacao_media", "ocupacao")
 
 
-def run_tof(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int, scratch: Scratch) -> None:
-    trusted = write_trusted(clean_typed(readings), zones, "tof", batch)
+def run_tof(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int, scratch: Scratch) -> int:
+    trusted, kept = write_trusted(clean_typed(readings), zones, "tof", batch)
     sums = scratch.save(tof_block_sums(trusted), "tof-blocks")
     occupancy = scratch.save(_occupancy(frame_counts_from_blocks(sums), metadata), "tof-occupancy")
     write_csv(occupancy, zones.occupancy())
     put_batch(tof_records(occupancy), zones.table("TofData"), batch)
     write_client(by_block(_block_map(sums, metadata)), zones, "tof", batch)
+    return kept

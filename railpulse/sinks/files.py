@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from railpulse.schemas import TIME_FORMAT
 
@@ -48,11 +49,14 @@ def _batch(folder: str, batch: int | None) -> str:
     return folder if batch is None else f"{folder}/batch={batch:09d}"
 
 
-def write_trusted(df: DataFrame, zones: Zones, family: str, batch: int) -> DataFrame:
-    """Cleaned rows as parquet; returns them as read back, with the timestamps still typed."""
+def write_trusted(df: DataFrame, zones: Zones, family: str, batch: int) -> tuple[DataFrame, int]:
+    """Cleaned rows as parquet; returns them as read back, with the timestamps still typed, and
+    their number."""
     path = zones.trusted(family, batch)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    counted = Observation()
+    (df.observe(counted, F.count(F.lit(1)).alias("rows_kept"))
+       .write.mode("overwrite").parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows_kept"]
 
 
 def write_client(df: DataFrame, zones: Zones, family: str, batch: int) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from railpulse.functions.routing import accepted, key_within, rejected, route_family
 from railpulse.plans.piezo import UnknownTrack
-from railpulse.plans.runs import run_family, run_files
+from railpulse.plans.runs import RowCounts, run_family, run_files
 from railpulse.schemas import FACT_KEYS
 from railpulse.session import Scratch, shared_folder
 from railpulse.sinks.files import Zones
@@ -48,7 +48,7 @@ def test_tof(spark, dims, zones, tmp_path):
     head = "sensor_id,timestamp,y,x,dist_mm\n"
     points = "".join(f"1,2024-01-01 10:00:00,{y},{x},{1750 if x == 0 else 1000}\n" for y in range(4) for x in range(8))
     path = put(f"{tmp_path}/tof.csv", head + points + "3,2024-01-01 10:00:00,-1,0,10\n,2024-01-01 10:00:00,0,0,1\n")
-    assert run_files(spark, "tof", path, dims, zones, 1) == 34
+    assert run_files(spark, "tof", path, dims, zones, 1) == RowCounts(read=34, kept=33)
     assert csv(spark, zones.occupancy()) == (
         ["sensor_id", "trem_id", "carro_id", "datahora", "ocupacao_media"],
         [("S1", "T1", "C1", "2024-01-01 10:00:00", "87.5"), ("S3", None, None, "2024-01-01 10:00:00", "100.0")])
@@ -91,7 +91,7 @@ def test_dps(spark, dims, zones, tmp_path):
 
 def test_omron_and_optical_pass_through(spark, dims, zones, tmp_path):
     path = put(f"{tmp_path}/omron.csv", "y,x,valor-matriz,plataforma\n0,1,0.4030712,2\n1,1,,2\n")
-    run_files(spark, "omron", path, dims, zones, 1)
+    assert run_files(spark, "omron", path, dims, zones, 1) == RowCounts(read=2, kept=1)
     assert csv(spark, zones.client("omron", 1)) == (["y", "x", "valor-matriz", "plataforma"], [("0", "1", "0.40307", "2")])
     path = put(f"{tmp_path}/optical.csv", "trem_id,level,at\nT1,0.1234567,2024-01-01 10:00:00\n")
     run_files(spark, "optical", path, dims, zones, 1)
