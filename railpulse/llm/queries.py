@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from railpulse.llm import simhash
+from railpulse.llm import bpe, mixing, oracle, simhash, toxicity
 from railpulse.llm.common import query_scratch, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), query_scratch(spark))
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"), query_scratch(spark))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), query_scratch(spark))
 
 
-QUERIES = {f.__name__: f for f in [op3_simhash_near_dedup]}
-ORACLE_SQL: dict[str, str] = {}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in [op1_toxicity, op2_mix_sources, op3_simhash_near_dedup, op10_byte_bpe]}
+ORACLE_SQL = {"op2_mix_sources": oracle.MIX}

@@ -1,0 +1,68 @@
+"""Byte-level BPE against the tiktoken library, and the round trip."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from railpulse.llm import bpe
+from railpulse.llm.common import table
+from railpulse.llm.queries import op10_byte_bpe
+from tests.conftest import SF
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe._ranks(PATH), special_tokens={})
+
+
+def test_documents_against_the_library(spark, library):
+    got = {r.doc_id: r for r in op10_byte_bpe(spark, SF).collect()}
+    rows = table(spark, SF, "documents").select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for row in rows:
+        ids = library.encode_ordinary(row.text or "")
+        one = got[row.doc_id]
+        assert one.n_tokens == len(ids)
+        assert one.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert one.decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
+
+
+def odd_texts():
+    rng = random.Random(3)
+    bits = ["a", "The", " ", "  ", "\n", "\n\n\n", "\t", "'re", "'", "don't", "12", "99999", "é", "ß", "日本語", "😀", ".", "...", " x", " ", "\x1c", "\x85"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 400))) for _ in range(60)]
+    return texts + ["", None, "x" * 700, " " * 500, "a" + " " * 300 + "b", "word " * 200, "z" * 150 + " end of it " * 20 + "y" * 333]
+
+
+@pytest.mark.parametrize("chunk,overlap", [(40, 20), (64, 11), (100, 60), (65_536, 1_024)])
+def test_chunks_are_stitched_exactly(spark, library, chunk, overlap):
+    texts = odd_texts()
+    docs = spark.createDataFrame([(i, t, "extra", i) for i, t in enumerate([*texts, *texts[:5]])], "doc_id long, text string, ids_of string, key long")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode(docs.repartition(3), PATH, PATTERN, chunk, overlap).collect()}
+    assert got == {i: library.encode_ordinary(t or "") for i, t in enumerate([*texts, *texts[:5]])}
+
+
+def test_every_character_is_classed_alike(library):
+    chars = [chr(c) for c in range(0x2FFFF) if not 0xD800 <= c < 0xE000]
+    wrong = []
+    for i in range(0, len(chars), 64):
+        text = "".join(f"a{c}1{c}. {c}{c} " for c in chars[i:i + 64])
+        if np.frombuffer(bpe.encode_text(text, PATH, PATTERN), "<u4").tolist() != library.encode_ordinary(text):
+            wrong += chars[i:i + 64]
+    assert not wrong
+
+
+def test_repeated_rows_long_texts_and_an_empty_table(spark, library):
+    text = "Some words, " * 30_000
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (None, None)], "doc_id long, text string")
+    rows = bpe.report(docs, PATH, PATTERN).collect()
+    n = len(library.encode_ordinary(text))
+    assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("1", n), ("1", n), ("None", 0), ("None", n)]
+    assert {r.decoded_sha256 for r in rows} == {hashlib.sha256(t.encode()).hexdigest() for t in (text, "")}
+    assert bpe.report(docs.limit(0), PATH, PATTERN).collect() == []
