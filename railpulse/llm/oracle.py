@@ -1,5 +1,7 @@
 """The queries of this subpackage in DuckDB's SQL, where SQL can express them."""
 
+from railpulse.llm.licences import LEAST, TEMPLATES
+
 # Seats are dealt one by one to the highest quotients, where the operator only settles the last few.
 MIX = r"""
 WITH sized AS (
@@ -56,3 +58,64 @@ counted AS (
   FROM ends)
 SELECT doc_id, size, source_size, target, sum(part)::BIGINT AS taken FROM counted GROUP BY ALL
 """
+
+URLS = r"""
+WITH parsed AS (
+  SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS raw,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+lowered AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parsed),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+numbered AS (SELECT *, row_number() OVER () AS rn FROM lowered),
+best AS (
+  SELECT rn, arg_max(h || p, length(h) * 1000 + length(p)) AS rule, arg_max(verdict, length(h) * 1000 + length(p)) AS verdict
+  FROM numbered JOIN rules ON (host = h OR host LIKE '%.' || h) AND starts_with(path, p) GROUP BY rn)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM numbered LEFT JOIN best USING (rn)
+"""
+
+TOP_K = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|image>|audio>|document>)', '\1\\\2\3', 'g') AS content FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(3 + length(role) + CASE WHEN role = 'assistant' THEN 7 ELSE 6 END + length(content) + 4)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
+def licences() -> str:
+    """Every unit against every template; the template texts are the operator's."""
+    values = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, texts in TEMPLATES.items() for text in texts)
+    grams = "list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(list_zip(w[:-2], w[2:]), lambda p: p[1] || ' ' || p[2]) END)"
+    return rf"""
+WITH templates AS (SELECT licence, {grams} AS t FROM (SELECT licence, regexp_extract_all(lower(x), '[\p{{L}}\p{{N}}]+') AS w FROM (VALUES {values}) AS v(licence, x))),
+units AS (
+  SELECT doc_id, 'line' AS kind, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit_no, unnest(string_split(text, chr(10))) AS unit FROM documents
+  UNION ALL SELECT doc_id, 'text', 0, text FROM documents WHERE contains(text, chr(10))
+  UNION ALL SELECT doc_id, 'paragraph', generate_subscripts(p, 1) - 1, unnest(p)
+            FROM (SELECT doc_id, regexp_split_to_array(text, '
+[ 	]*
+') AS p FROM documents WHERE regexp_matches(text, '
+[ 	]*
+'))),
+grams AS (SELECT doc_id, kind, unit_no, {grams} AS g FROM (SELECT *, regexp_extract_all(lower(unit), '[\p{{L}}\p{{N}}]+') AS w FROM units)),
+scored AS (SELECT doc_id, kind, unit_no, licence, 2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice
+           FROM grams JOIN templates ON len(g) BETWEEN len(t) / 4 AND len(t) * 4)
+SELECT doc_id, kind, unit_no::INT AS unit_no, licence, dice FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, kind, unit_no ORDER BY dice DESC, licence) AS r FROM scored WHERE dice >= {LEAST}) WHERE r = 1
+"""
