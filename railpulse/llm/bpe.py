@@ -29,7 +29,7 @@ from pyspark.sql.types import BinaryType
 CHUNK = 65_536
 OVERLAP = 1_024
 MARGIN = 8
-CACHED = 400_000
+CACHED = 100_000
 IDS = np.dtype("<u4")
 
 
@@ -76,8 +76,11 @@ def encode_text(text: str | None, path: str, pattern: str) -> bytes:
 
 def encode_udf(path: str, pattern: str):
     @F.pandas_udf(BinaryType())
-    def encode(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: encode_text(text, path, pattern))
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda text: encode_text(text, path, pattern))
+        # An idle worker keeps no pieces.
+        _coder(path, pattern)[1].clear()
 
     return encode
 

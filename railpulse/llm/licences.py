@@ -39,9 +39,11 @@ TEMPLATES = {
 
 def bigrams(text: Column) -> Column:
     """The set of word bigrams of a text; a single word is its own bigram."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0))
-    return F.array_distinct(F.when(F.size(words) < 2, words).otherwise(
+    found = F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0))
+    # Through a list of one, so that the words are looked for once.
+    pairs = F.transform(F.array(found), lambda words: F.when(F.size(words) < 2, words).otherwise(
         F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))))
+    return F.array_distinct(pairs[0])
 
 
 def _known(session, templates: dict[str, list[str]]) -> list[tuple[str, int, list[str]]]:
@@ -51,12 +53,18 @@ def _known(session, templates: dict[str, list[str]]) -> list[tuple[str, int, lis
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """``doc_id, kind, unit_no, unit``: the lines, paragraphs and whole texts, each text only once per kind needed."""
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.lit("line").alias("kind"), i.alias("unit_no"), x.alias("unit")))
+    """``doc_id, kind, unit_no, grams`` of the lines, paragraphs and whole texts.
+
+    Bigrams are made before the units become rows, so that no later filter makes them again.
+    """
+    def unit(kind: str, no: Column, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), no.alias("unit_no"), bigrams(text).alias("grams"))
+
+    lines = F.transform(F.split("text", "\n"), lambda x, i: unit("line", i, x))
     paragraphs = F.when(F.col("text").rlike(r"\n[ \t\r]*\n"), F.transform(
-        F.split("text", r"\n[ \t\r]*\n"), lambda x, i: F.struct(F.lit("paragraph").alias("kind"), i.alias("unit_no"), x.alias("unit"))))
-    whole = F.when(F.contains("text", F.lit("\n")), F.array(F.struct(F.lit("text").alias("kind"), F.lit(0).alias("unit_no"), F.col("text").alias("unit"))))
-    none = F.array().cast("array<struct<kind:string,unit_no:int,unit:string>>")
+        F.split("text", r"\n[ \t\r]*\n"), lambda x, i: unit("paragraph", i, x)))
+    whole = F.when(F.contains("text", F.lit("\n")), F.transform(F.array("text"), lambda x, i: unit("text", i, x)))
+    none = F.array().cast("array<struct<kind:string,unit_no:int,grams:array<string>>>")
     return docs.where("text is not null").select("doc_id", F.inline(F.concat(lines, F.coalesce(paragraphs, none), F.coalesce(whole, none))))
 
 
@@ -73,7 +81,7 @@ def scan(docs: DataFrame, least: float = LEAST, templates: dict[str, list[str]]
     low, high = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
     any_ = sorted({g for _, _, grams in known for g in grams})
     held = F.array(*[F.struct(F.lit(name).alias("licence"), F.array(*map(F.lit, grams)).alias("grams")) for name, _, grams in known])
-    seen = units(docs).withColumn("grams", bigrams(F.col("unit"))).drop("unit").withColumn("n", F.size("grams"))
+    seen = units(docs).withColumn("n", F.size("grams"))
     seen = seen.where((F.col("n") >= low) & (F.col("n") <= high)).where(F.exists("grams", lambda g: g.isin(any_)))
     fits = F.filter(held, lambda t: (F.col("n") >= F.size(t["grams"]) * least / (2 - least)) & (F.col("n") <= F.size(t["grams"]) * (2 - least) / least))
     scored = F.transform(fits, lambda t: F.struct(
