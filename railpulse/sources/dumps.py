@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType, StringType, StructField, StructType
 
@@ -31,18 +31,42 @@ def unwrap_items(df: DataFrame, flat: StructType) -> DataFrame:
     return df.select(F.explode("Items").alias("item")).select(*[value(f) for f in flat])
 
 
+def last_of_each_key(df: DataFrame, flat: StructType) -> DataFrame:
+    """``Items`` with one item per key (the table's first attribute), the last of the dump."""
+    key = F.col(f"item.{flat[0].name}.S")
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("place")))
+    items = df.select(F.posexplode("Items").alias("place", "item")).withColumn("turn", turn).where("turn = 1")
+    return items.select(F.array("item").alias("Items"))
+
+
 def read_typed_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A dump file. Its encoding (UTF-8 or UTF-16, with or without mark) is detected."""
+    """A dump file. Its encoding (UTF-8 or UTF-16, with or without mark) is detected.
+
+    A damaged file fails the read.
+    """
     flat = dimension_schema(table)
-    raw = spark.read.option("multiLine", True).schema(dump_schema(flat)).json(path)
-    return unwrap_items(raw, flat)
+    return unwrap_items(_read_raw(spark, path, flat), flat)
+
+
+def _read_raw(spark: SparkSession, path: str, flat: StructType) -> DataFrame:
+    return spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(dump_schema(flat)).json(path)
 
 
 def load_dimensions(spark: SparkSession, dumps: dict[str, str], table_dir: str) -> None:
-    """Turn dumps, given by table name, into one dimension table each, replacing those there."""
+    """Turn dumps, given by table name, into one dimension table each, replacing those there.
+
+    A key that a dump repeats keeps its last item. A table is written beside the old one and only
+    then takes its place, so a damaged dump leaves the old table as it is.
+    """
+    jvm = spark.sparkContext._jvm
     for table, path in dumps.items():
-        dump = read_typed_dump(spark, path, table)
-        dump.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{table}")
+        flat, place = dimension_schema(table), f"{table_dir.rstrip('/')}/{table}"
+        dump = unwrap_items(last_of_each_key(_read_raw(spark, path, flat), flat), flat)
+        dump.write.mode("overwrite").parquet(f"{place}.new")
+        old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (place, f"{place}.new"))
+        store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.delete(old, True)
+        store.rename(new, old)
 
 
 @dataclass(frozen=True)

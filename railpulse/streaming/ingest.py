@@ -16,6 +16,8 @@ from railpulse.sources.dumps import Dimensions
 from railpulse.sources.readings import file_columns
 
 FILES_PER_BATCH = 1000
+# A file is new however old it is. The price: the checkpoint remembers every file ever taken.
+MAX_FILE_AGE = "36500d"
 
 
 def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
@@ -34,6 +36,7 @@ def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
         spark.readStream.schema(schema)
         .option("header", True).option("enforceSchema", False)
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .csv(f"{in_dir}/*{MARK_OF[family]}*")
         .select("*", *file_columns())
         .filter(route_family(key) == family)

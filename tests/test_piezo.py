@@ -135,3 +135,12 @@ def test_distances_beyond_the_broadcast_threshold_are_merged_with_the_same_resul
         assert rows_of(large) == rows_of(small)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_segments_on_tracks_of_unknown_lines_are_set_aside(spark):
+    from railpulse.plans.piezo import unknown_origins
+
+    segments = spark.createDataFrame([(1,), (2,), (3,)], "ID_SENSOR_ORIGEM int")
+    tracks = spark.createDataFrame([("S1", "T1", "L1"), ("S2", "T2", "L9")], "sensor_id string, trilho_id string, linha_id string")
+    lines = spark.createDataFrame([("L1", "Azul")], "linha_id string, cor string")
+    assert sorted(r.ID_SENSOR_ORIGEM for r in unknown_origins(segments, tracks, lines).collect()) == [2, 3]

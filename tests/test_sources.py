@@ -113,3 +113,17 @@ def test_dimensions_are_loaded_from_dumps(spark, tmp_path):
     assert dims.circuits.first().prioridade == 1
     assert dims.distances.count() == 0
     assert dims.tracks.join(dims.lines, "linha_id").first().cor == "Rubi"
+
+
+def test_damaged_and_repeating_dumps(spark, tmp_path):
+    from railpulse.sources.dumps import load_dimensions
+
+    dump, tables = tmp_path / "lines.json", str(tmp_path / "dims")
+    items = [{"linha_id": {"S": "L1"}, "cor": {"S": c}} for c in ("Azul", "Verde")]
+    dump.write_text(json.dumps({"Items": items}))
+    load_dimensions(spark, {"Linha": str(dump)}, tables)
+    assert [tuple(r) for r in spark.read.parquet(f"{tables}/Linha").collect()] == [("L1", "Verde")]
+    dump.write_text(json.dumps({"Items": items})[:40])
+    with pytest.raises(Exception):
+        load_dimensions(spark, {"Linha": str(dump)}, tables)
+    assert [tuple(r) for r in spark.read.parquet(f"{tables}/Linha").collect()] == [("L1", "Verde")]
