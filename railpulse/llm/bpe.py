@@ -20,16 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 CHUNK = 65_536
 OVERLAP = 1_024
 MARGIN = 8
-CACHED = 100_000
+CACHED = 50_000
 IDS = np.dtype("<u4")
 
 
@@ -75,27 +76,40 @@ def encode_text(text: str | None, path: str, pattern: str) -> bytes:
 
 
 def encode_udf(path: str, pattern: str):
-    @F.pandas_udf(BinaryType())
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield texts.map(lambda text: encode_text(text, path, pattern))
-        # An idle worker keeps no pieces.
-        _coder(path, pattern)[1].clear()
+    @F.arrow_udf(BinaryType())
+    def encode(texts: pa.Array) -> pa.Array:
+        return pa.array((encode_text(text.as_py(), path, pattern) for text in texts), pa.binary())
 
     return encode
 
 
-def decode_udf(path: str):
+def decode_ids(ids: bytes | None, path: str) -> bytes:
     """Bytes of the ids; an id that is not in the vocabulary fails."""
+    table = _bytes_of(path)
+    return b"".join(map(table.__getitem__, np.frombuffer(ids or b"", IDS).tolist()))
+
 
-    @F.pandas_udf(BinaryType())
-    def decode(ids: pd.Series) -> pd.Series:
-        table = _bytes_of(path)
-        return ids.map(lambda x: b"".join(map(table.__getitem__, np.frombuffer(x or b"", IDS).tolist())))
+def decode_udf(path: str):
+    @F.arrow_udf(BinaryType())
+    def decode(ids: pa.Array) -> pa.Array:
+        return pa.array((decode_ids(own.as_py(), path) for own in ids), pa.binary())
 
     return decode
 
 
+def with_decoded_udf(path: str):
+    """The ids and what they decode to. As the ids are handed on, the function that makes them and
+    this one run in one Python worker."""
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def with_decoded(ids: pa.Array) -> pa.Array:
+        ids = ids.cast(pa.binary())
+        decoded = pa.array((decode_ids(own.as_py(), path) for own in ids), pa.binary())
+        return pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+    return with_decoded
+
+
 def _cut(chunk: int, overlap: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -154,9 +168,9 @@ def encode_long(texts: DataFrame, path: str, pattern: str, chunk: int = CHUNK, o
     joined = pieces.groupBy("key", "piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["own"]), "").alias("text"))
     coded = joined.repartition(n, "key", "piece").select("key", F.struct("piece", encode_udf(path, pattern)("text").alias("ids")).alias("part"))
 
-    @F.pandas_udf(BinaryType())
-    def join_ids(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda own: b"".join(own))
+    @F.arrow_udf(BinaryType())
+    def join_ids(parts: pa.Array) -> pa.Array:
+        return pa.array((b"".join(own.as_py()) for own in parts), pa.binary())
 
     ordered = coded.groupBy("key").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     return ordered.select("key", join_ids(F.transform("parts", lambda p: p["ids"])).alias("ids"))
@@ -177,9 +191,18 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     return short.unionByName(keyed.join(coded, key).drop(key))
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``docs`` without ``text``, with ``coded``: a struct of the ``ids`` of each text and the bytes they decode to."""
+    coded = encode(docs, path, pattern, chunk, overlap)
+    return coded.select(*[c for c in docs.columns if c != "text"], with_decoded_udf(path)("ids").alias("coded"))
+
+
+def token_count(ids: Column) -> Column:
+    return (F.octet_length(ids) / IDS.itemsize).cast("long")
+
+
 def report(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row of ``docs(doc_id, text)``."""
-    coded = encode(docs.select("doc_id", "text"), path, pattern, chunk, overlap).select("doc_id", "ids")
-    return coded.withColumn("decoded", decode_udf(path)("ids")).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = encode_and_decode(docs.select("doc_id", "text"), path, pattern, chunk, overlap)
+    return both.select("doc_id", token_count(F.col("coded.ids")).alias("n_tokens"), F.sha2("coded.ids", 256).alias("ids_sha256"),
+                       F.sha2("coded.decoded", 256).alias("decoded_sha256"))

@@ -61,9 +61,9 @@ def simhash(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf(LongType())
-def simhash_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(simhash).astype("int64")
+@F.arrow_udf(LongType())
+def simhash_udf(texts: pa.Array) -> pa.Array:
+    return pa.array((simhash(text.as_py()) for text in texts), pa.int64())
 
 
 def bits(words: np.ndarray) -> np.ndarray:
