@@ -34,9 +34,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return coded.select("doc_id", "lang", "source", "n_chars", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-                        F.sha2(bpe.decode_udf(path)("ids"), 256).alias("decoded_sha256"))
+    both = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN)
+    return both.select("doc_id", "lang", "source", "n_chars", bpe.token_count(F.col("coded.ids")).alias("n_tokens"), "coded.ids",
+                       F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", toxic_out), ("near_dedup", one_of_each_group), ("mix", mixed), ("encode", encoded)]
