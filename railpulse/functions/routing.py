@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The text that marks a family in a file key, in order of precedence.
@@ -38,7 +40,22 @@ def rejected(df: DataFrame, key: str, family: str) -> DataFrame:
     return df.filter(~F.coalesce(names_family(F.col(key), F.col(family)), F.lit(False)))
 
 
-def key_within(path: Column, folder: str) -> Column:
-    """The file key below ``folder``: marks in the folder's own name do not count."""
-    at = F.instr(path, folder)
-    return F.when(at > 0, F.substr(path, at + F.lit(len(folder)))).otherwise(path)
+# Scheme and bucket or host of a path.
+STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def key_within(path: Column, root: str) -> Column:
+    """The file key below ``root``: marks in the names of the store and the root do not count.
+
+    Both may be qualified or not; they must be encoded alike.
+    """
+    root = re.sub(STORE, "", root).rstrip("/")
+    below = F.regexp_replace(path, STORE, "")
+    return F.when(F.startswith(below, F.lit(root + "/")), F.substr(below, F.lit(len(root) + 1))).otherwise(below)
+
+
+def root_of(spark: SparkSession, folder: str, encoded: bool = True) -> str:
+    """The full path of a folder in its store; ``encoded`` as in ``_metadata.file_path``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getRawPath() if encoded else uri.getPath()

@@ -7,17 +7,21 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from railpulse.functions.routing import MARK_OF
 from railpulse.plans.dht11 import run_dht11
 from railpulse.plans.dps import run_dps
 from railpulse.plans.passthrough import run_passthrough
 from railpulse.plans.piezo import run_piezo
 from railpulse.plans.tof import run_tof
 from railpulse.session import Scratch
-from railpulse.sinks.files import Zones
+from railpulse.sinks.files import Zones, claim_batch
 from railpulse.sources.dumps import Dimensions
 from railpulse.sources.readings import read_readings, with_arrival
 
 
+UTC = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+
+
 class RowCounts(NamedTuple):
     """Rows read from the raw files, and those left by cleaning."""
 
@@ -26,16 +30,23 @@ class RowCounts(NamedTuple):
 
 
 def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones, batch: int,
-               scratch_folder: str | None = None, **options) -> RowCounts:
+               scratch_folder: str | None = None, owner: str = "batch run", **options) -> RowCounts:
     """Clean a batch of readings and write its trusted rows, fact rows and client extract.
 
     Only the trusted write reads the raw files, and it counts their rows on the way; the rest
-    starts from the trusted rows. Running a batch number again replaces what it wrote before.
+    starts from the trusted rows. Running a batch number again replaces what the same ``owner``
+    wrote before; a number of another owner's raises. The session's zone must be UTC.
     Options go to the piezo run.
     """
+    spark = readings.sparkSession
+    if spark.conf.get("spark.sql.session.timeZone") not in UTC:
+        raise ValueError("set spark.sql.session.timeZone to UTC: event times are read and shown in it")
+    if family not in MARK_OF:
+        raise ValueError(f"no such family: {family}")
+    claim_batch(spark, zones, family, batch, owner)
     counted = Observation()
     readings = readings.observe(counted, F.count(F.lit(1)).alias("rows_read"))
-    with Scratch(readings.sparkSession, scratch_folder) as scratch:
+    with Scratch(spark, scratch_folder) as scratch:
         if family == "tof":
             kept = run_tof(readings, dims.metadata, zones, batch, scratch)
         elif family == "dht11":
@@ -44,10 +55,8 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
             kept = run_dps(readings, dims.metadata, dims.circuits, zones, batch)
         elif family == "piezo":
             kept = run_piezo(readings, dims, zones, batch, scratch, **options)
-        elif family in ("omron", "optical"):
-            kept = run_passthrough(readings, family, zones, batch)
         else:
-            raise ValueError(f"no such family: {family}")
+            kept = run_passthrough(readings, family, zones, batch)
     return RowCounts(counted.get["rows_read"], kept)
 
 

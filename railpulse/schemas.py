@@ -9,13 +9,13 @@ from pyspark.sql.types import StructType
 
 # Raw columns by family. Optical files may carry any header.
 READINGS = {
-    "dht11": "sensor_id int, min int, max int, timestamp timestamp, "
+    "dht11": "sensor_id bigint, min double, max double, timestamp timestamp, "
              "temperature_c double, humidity_percent double",
-    "dps": "sensor_id int, statusDPS string, picoTensao_kV double, "
+    "dps": "sensor_id bigint, statusDPS string, picoTensao_kV double, "
            "correnteSurto_kA double, dataHora timestamp",
-    "omron": "y int, x int, `valor-matriz` double, plataforma int",
-    "piezo": "trem_id int, sensor_id int, pressure_kpa double, dataHora timestamp",
-    "tof": "sensor_id int, timestamp timestamp, y int, x int, dist_mm double",
+    "omron": "y int, x int, `valor-matriz` double, plataforma bigint",
+    "piezo": "trem_id bigint, sensor_id bigint, pressure_kpa double, dataHora timestamp",
+    "tof": "sensor_id bigint, timestamp timestamp, y int, x int, dist_mm double",
 }
 
 # Attributes of the dimension tables; int and double mark number attributes.

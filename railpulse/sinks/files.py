@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.schemas import TIME_FORMAT
@@ -44,6 +44,59 @@ class Zones:
     def rejects(self, family: str, batch: int) -> str:
         return _batch(f"{self.root}/rejects/{family}", batch)
 
+    def owner(self, family: str, batch: int | None = None) -> str:
+        """The small file that says who wrote a batch."""
+        return _batch(f"{self.root}/owners/{family}", batch)
+
+
+class BatchTaken(ValueError):
+    """The number of a batch belongs to another writer."""
+
+
+def claim_batch(spark: SparkSession, zones: Zones, family: str, batch: int, owner: str) -> None:
+    """Take a batch number for ``owner``, or raise if another one has it: only the writer of a
+    batch may replace it."""
+    place = zones.owner(family, batch)
+    holder = read_note(spark, place)
+    if holder is None:
+        write_note(spark, place, owner)
+    elif holder != owner:
+        raise BatchTaken(f"batch {batch} of {family} was written by {holder}, not by {owner}")
+
+
+def next_batch(spark: SparkSession, zones: Zones, family: str) -> int:
+    """The number after the highest that any writer of the family has taken."""
+    folder, store = _stored(spark, zones.owner(family))
+    if not store.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    return max((int(name.partition("=")[2]) + 1 for name in names if name.startswith("batch=")), default=0)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None where there is none."""
+    place, store = _stored(spark, path)
+    if not store.exists(place):
+        return None
+    stream = store.open(place)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file; fails if it is there."""
+    place, store = _stored(spark, path)
+    stream = store.create(place, False)
+    stream.writeUTF(text)
+    stream.close()
+
+
+def _stored(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
 def _batch(folder: str, batch: int | None) -> str:
     return folder if batch is None else f"{folder}/batch={batch:09d}"

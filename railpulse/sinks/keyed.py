@@ -49,7 +49,12 @@ def read_latest(spark: SparkSession, table: str, keys: list[str],
     return latest_by_key(rows, keys, [*(sequence or []), BATCH]).drop(BATCH)
 
 
-def compact(spark: SparkSession, table: str, into: str, keys: list[str]) -> None:
-    """Write the latest rows as the first batch of a new table folder, for readers to move to."""
-    latest = read_latest(spark, table, keys)
-    latest.write.mode("errorifexists").parquet(f"{into}/{BATCH}={0:09d}")
+def compact(spark: SparkSession, table: str, into: str, keys: list[str], sequence: list | None = None) -> None:
+    """Write the winning rows to a new table folder, for readers to move to.
+
+    ``sequence`` is that of the table's readers. The rows take the number of the last batch folded,
+    so later batches come after them and none that a new ingest starts with replaces them.
+    """
+    folded = spark.read.option("basePath", table).parquet(table).agg(F.max(F.col(BATCH).cast("long"))).first()[0]
+    latest = read_latest(spark, table, keys, sequence)
+    latest.write.mode("errorifexists").parquet(f"{into}/{BATCH}={folded or 0:09d}")

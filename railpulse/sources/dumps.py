@@ -53,18 +53,23 @@ def _read_raw(spark: SparkSession, path: str, flat: StructType) -> DataFrame:
 
 
 def load_dimensions(spark: SparkSession, dumps: dict[str, str], table_dir: str) -> None:
-    """Turn dumps, given by table name, into one dimension table each, replacing those there.
+    """Put dumps, given by table name, into one dimension table each, by the table's key.
 
-    A key that a dump repeats keeps its last item. A table is written beside the old one and only
+    An item replaces the row of its key; rows of other keys stay. A key that a dump repeats keeps
+    its last item. A table is written beside the old one and only
     then takes its place, so a damaged dump leaves the old table as it is.
     """
     jvm = spark.sparkContext._jvm
     for table, path in dumps.items():
         flat, place = dimension_schema(table), f"{table_dir.rstrip('/')}/{table}"
         dump = unwrap_items(last_of_each_key(_read_raw(spark, path, flat), flat), flat)
-        dump.write.mode("overwrite").parquet(f"{place}.new")
         old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (place, f"{place}.new"))
         store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if store.exists(old):
+            key = flat[0].name
+            rest = spark.read.schema(flat).parquet(place).join(dump.select(key), key, "left_anti")
+            dump = dump.unionByName(rest)
+        dump.write.mode("overwrite").parquet(f"{place}.new")
         store.delete(old, True)
         store.rename(new, old)
 

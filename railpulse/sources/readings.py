@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, NumericType, StringType, StructField, StructType, TimestampType
 
-from railpulse.functions.routing import key_within, route_family
-from railpulse.schemas import readings_schema
+from railpulse.functions.routing import key_within, root_of, route_family
+from railpulse.schemas import TIME_FORMAT, readings_schema
 
 
 def typed_header(header: list[str], family: str) -> StructType:
@@ -41,16 +39,21 @@ def looks_like_id(name: str) -> bool:
     return name == "id" or name.endswith("_id") or name.startswith(("id_", "num_"))
 
 
-def read_optical(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
-    """Files with any header. Without a schema the types are inferred, in one more scan of the
-    files; ids stay text, as Spark would take ``T1`` for a timestamp."""
-    reader = spark.read.option("header", True)
+def read_optical(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
+                 time_columns: tuple[str, ...] = (), time_format: str = TIME_FORMAT) -> DataFrame:
+    """Files with any header. Without a schema one more scan of the files finds which columns hold
+    numbers: all of them doubles, so that batches with and without fractions fit together. Times
+    are never guessed, as Spark would take ``T1`` for one: those named in ``time_columns`` are
+    read by ``time_format``. All else, and every id, is text."""
     if schema is None:
-        found = reader.option("inferSchema", True).csv(path).schema
+        found = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+        number = {f.name for f in found if isinstance(f.dataType, NumericType) and not looks_like_id(f.name)}
         schema = StructType([
-            StructField(f.name, StringType()) if looks_like_id(f.name) else f for f in found])
+            StructField(f.name, TimestampType() if f.name in time_columns else DoubleType() if f.name in number else StringType())
+            for f in found])
     return (
-        spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+        spark.read.option("header", True).option("enforceSchema", False).option("timestampFormat", time_format)
+        .schema(schema).csv(path)
     )
 
 
@@ -98,5 +101,5 @@ def raw_keys(spark: SparkSession, folder: str) -> DataFrame:
     """``path``, ``key`` and routed ``family`` of the files below a folder; their content is not
     read. Files that belong to no family have a null there."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-             .select("path", key_within(F.col("path"), urlparse(folder.rstrip("/")).path).alias("key")))
+             .select("path", key_within(F.col("path"), root_of(spark, folder, encoded=False)).alias("key")))
     return files.withColumn("family", route_family(F.col("key")))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from railpulse.functions.routing import MARK_OF, key_within, route_family
+from railpulse.functions.routing import MARK_OF, key_within, root_of, route_family
 from railpulse.plans.runs import run_family
 from railpulse.schemas import readings_schema
-from railpulse.sinks.files import Zones
+from railpulse.sinks.files import Zones, next_batch, read_note, write_note
 from railpulse.sources.dumps import Dimensions
 from railpulse.sources.readings import file_columns
 
@@ -22,22 +22,23 @@ MAX_FILE_AGE = "36500d"
 
 def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
                 files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """New files of one family below ``in_dir``.
+    """New files of one family, at any depth below ``in_dir``.
 
-    Files, or folders of files, whose name carries the family's mark are read. A key that carries
-    several marks belongs to the family that comes first in the routing order. Optical files have
-    no fixed header, so their ``schema`` is to be given.
+    A file whose key below ``in_dir`` carries the family's mark is read, in its own name or in that
+    of a folder. A key with several marks belongs to the family that comes first in the
+    routing order. The test is on the path alone, so Spark drops the files of other families
+    before it opens them; ``files_per_batch`` counts them all. Optical files have no fixed header,
+    so their ``schema`` is to be given.
     """
-    in_dir = in_dir.rstrip("/")
     if schema is None:
         schema = readings_schema(family)
-    key = key_within(F.col("source_file"), urlparse(in_dir).path)
+    key = key_within(F.col("source_file"), root_of(spark, in_dir))
     return (
         spark.readStream.schema(schema)
         .option("header", True).option("enforceSchema", False)
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", MAX_FILE_AGE)
-        .csv(f"{in_dir}/*{MARK_OF[family]}*")
+        .csv(in_dir)
         .select("*", *file_columns())
         .filter(route_family(key) == family)
     )
@@ -63,20 +64,32 @@ def start_all(spark: SparkSession, in_dir: str, dims: Dimensions, zones: Zones,
 
 def start_ingest(spark: SparkSession, in_dir: str, family: str, dims: Dimensions, zones: Zones,
                  checkpoint: str, schema=None, files_per_batch: int = FILES_PER_BATCH,
-                 first_batch: int = 0, **options) -> StreamingQuery:
-    """Run the family's plan on every micro-batch until no new file is left.
-
-    The checkpoint remembers which files are done. A micro-batch that is repeated after a failure
-    keeps its number and so replaces its own output. Numbers start at ``first_batch``: raise it
-    over those already written when the ingest starts on a new checkpoint.
+                 trigger: dict | None = None, **options) -> StreamingQuery:
+    """Run the family's plan on every micro-batch: until no new file is left, or by another
+    ``trigger``, such as ``{"processingTime": "1 minute"}``.
+
+    The checkpoint remembers which files are done. On a new checkpoint numbers start after the
+    highest batch of the family in the zones. Both that number and the ingest's name are
+    kept in the checkpoint, so a micro-batch that is repeated after a failure replaces its own
+    output and no other.
     """
+    first_batch, owner = _place(spark, family, zones, checkpoint)
 
     def run(rows: DataFrame, batch: int) -> None:
         numbered = rows.withColumn("source_row", F.monotonically_increasing_id())
-        run_family(family, numbered, dims, zones, first_batch + batch, **options)
+        run_family(family, numbered, dims, zones, first_batch + batch, owner=owner, **options)
 
     return (
         file_stream(spark, in_dir, family, schema, files_per_batch).writeStream
         .foreachBatch(run).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def _place(spark: SparkSession, family: str, zones: Zones, checkpoint: str) -> tuple[int, str]:
+    """The first batch number of the ingest on this checkpoint, and its name."""
+    note = f"{checkpoint.rstrip('/')}/railpulse-ingest"
+    if read_note(spark, note) is None:
+        write_note(spark, note, f"{next_batch(spark, zones, family)} ingest {uuid.uuid4().hex}")
+    first, _, owner = read_note(spark, note).partition(" ")
+    return int(first), owner

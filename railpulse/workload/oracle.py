@@ -175,14 +175,15 @@ def oracle() -> dict[str, str]:
                  ocupacao_media FROM shares"""
 
     sql = {
-        "csv_scan": f"""SELECT CAST(user_id AS INTEGER) AS trem_id,
-                        CAST(event_id % 30 AS INTEGER) AS sensor_id, value AS pressure_kpa,
+        "csv_scan": f"""SELECT CAST(user_id AS BIGINT) AS trem_id,
+                        CAST(event_id % 30 AS BIGINT) AS sensor_id, value AS pressure_kpa,
                         {shown('ts')} AS dataHora FROM events""",
         "csv_roundtrip": f"""{dht} SELECT CAST(sensor_id AS VARCHAR) AS sensor_id,
             CAST("min" AS VARCHAR) AS "min", CAST("max" AS VARCHAR) AS "max", "timestamp",
             CAST(temperature_c AS VARCHAR) AS temperature_c,
             CAST(humidity_percent AS VARCHAR) AS humidity_percent FROM dht""",
-        "optical_scan": "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey) FROM customer",
+        "optical_scan": """SELECT * REPLACE (CAST(c_custkey AS DOUBLE) AS c_custkey, CAST(c_nationkey AS DOUBLE) AS c_nationkey)
+            FROM customer""",
         "row_count": "SELECT count(*) AS rows_read FROM events",
         "typed_attr_unwrap": """SELECT 'S' || c_custkey AS sensor_id,
             CASE WHEN c_acctbal >= 0 THEN 'S' || c_nationkey END AS sensor_id_2,
@@ -227,11 +228,8 @@ def oracle() -> dict[str, str]:
             l.linha_id || ' - ' || l.cor AS linha
             FROM events e JOIN track t ON t.sensor_id = 'S' || (e.event_id % 30)
             JOIN line l ON l.linha_id = t.linha_id""",
-        "sql_scalar_subquery": """SELECT n.n_name AS "TRILHO",
-            (r.r_regionkey + 1) || ' - ' || r.r_name AS "LINHA"
-            FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
-            WHERE n.n_nationkey = (SELECT c_nationkey FROM customer
-                                   WHERE c_custkey = (SELECT max(c_custkey) FROM customer))""",
+        "sql_scalar_subquery": f"""{with_(TRACKS)} SELECT t.sensor_id, t.trilho_id, l.linha_id || ' - ' || l.cor AS linha
+            FROM track t LEFT JOIN line l ON l.linha_id = t.linha_id AND l.cor <> 'ASIA'""",
         "tof_frame_counts": counts,
         "tof_counts_from_blocks": counts,
         "tof_occupancy": f"""{with_(TOF_CLEAN, METADATA)} SELECT 'S' || s.sensor_id AS sensor_id, m.trem_id,
@@ -265,6 +263,12 @@ def oracle() -> dict[str, str]:
         "piezo_unknown_tracks": f"""{with_(piezo_clean(), DISTANCES, WITH_DISTANCE, TRACKS)}
             SELECT {PAIR_COLUMNS}, VELOCIDADE, 'S' || ID_SENSOR_ORIGEM AS sensor_id FROM segments
             WHERE 'S' || ID_SENSOR_ORIGEM NOT IN (SELECT sensor_id FROM track)""",
+        "piezo_unknown_lines": f"""{with_(piezo_clean(), DISTANCES, WITH_DISTANCE, TRACKS)}
+            SELECT {PAIR_COLUMNS}, VELOCIDADE, 'S' || ID_SENSOR_ORIGEM AS sensor_id FROM segments
+            WHERE 'S' || ID_SENSOR_ORIGEM NOT IN (
+                SELECT t.sensor_id FROM track t JOIN line l ON l.linha_id = t.linha_id AND l.cor <> 'ASIA')""",
+        "batch_then_stream": """SELECT user_id AS sensor_id, 3 * count(*) AS rows_written FROM events
+            WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL GROUP BY user_id""",
         "dht11_registry": f"""{with_(DHT11_CLEAN, METADATA)} SELECT m.trem_id, d."timestamp" AS datahora,
             m.carro_id, d.sensor_id, d.temperature_c AS temperatura, d.humidity_percent AS umidade
             FROM dht_keyed d JOIN meta m ON m.sensor_id = d.sensor_id""",
@@ -293,8 +297,8 @@ def oracle() -> dict[str, str]:
             END AS family FROM named""",
         "route_reject": f"""{with_(ROUTE_KEYS)} SELECT event_id, "key", asked FROM named
             WHERE NOT contains("key", CASE asked WHEN 'dht11' THEN 'dht' ELSE asked END)""",
-        "file_stream_ingest": f"""{pairs} SELECT CAST(trem_id AS INTEGER) AS trem_id,
-            CAST(sensor_id AS INTEGER) AS sensor_id, pressure_kpa,
+        "file_stream_ingest": f"""{pairs} SELECT CAST(trem_id AS BIGINT) AS trem_id,
+            CAST(sensor_id AS BIGINT) AS sensor_id, pressure_kpa,
             {shown('t')} AS dataHora FROM piezo""",
     }
     registry = with_(piezo_clean(), DISTANCES, WITH_DISTANCE, REGISTRY)
@@ -307,4 +311,5 @@ def oracle() -> dict[str, str]:
         PARTITION BY sensor_id, dataHora ORDER BY picoTensao_kV DESC) = 1"""
     sql["stream_upsert"] = f"""{sql['dht11_registry']} QUALIFY row_number() OVER (
         PARTITION BY d.sensor_id, d."timestamp" ORDER BY d.temperature_c DESC) = 1"""
+    sql["stream_nested_keys"] = sql["file_stream_ingest"]
     return sql

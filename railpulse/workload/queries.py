@@ -11,7 +11,7 @@ from railpulse.functions import columns as C
 from railpulse.functions.routing import rejected, route_family
 from railpulse.operators import cleaning, lookups
 from railpulse.plans import dht11, dps, passthrough, piezo, tof
-from railpulse.plans.runs import run_family
+from railpulse.plans.runs import run_family, run_files
 from railpulse.schemas import FACT_KEYS, dimension_schema
 from railpulse.session import Scratch
 from railpulse.sinks.files import Zones, write_csv
@@ -230,14 +230,8 @@ def line_label(spark, sf_dir):
 
 @query
 def sql_scalar_subquery(spark, sf_dir):
-    """The track and line of the sensor with the highest id."""
-    sensors = T.table(spark, sf_dir, "customer").selectExpr("c_custkey AS ID_SENSOR", "c_nationkey AS ID_TRILHO")
-    tracks = T.table(spark, sf_dir, "nation").selectExpr(
-        "n_nationkey AS ID_TRILHO", "n_name AS NUM_IDENTIFICACAO", "n_regionkey AS ID_LINHA")
-    lines = T.table(spark, sf_dir, "region").selectExpr(
-        "r_regionkey AS ID_LINHA", "r_regionkey + 1 AS NUMERO", "r_name AS COR_IDENTIFICACAO")
-    last = sensors.agg(F.max("ID_SENSOR")).first()[0]
-    return piezo.track_line_sql(spark, tracks, lines, sensors, last)
+    """Tracks with their line's label; one line is not in the register."""
+    return piezo.labelled_tracks(spark, T.tracks(spark, sf_dir), T.lines_without_asia(spark, sf_dir))
 
 
 # Aggregations
@@ -362,6 +356,12 @@ def piezo_unknown_tracks(spark, sf_dir):
     return _rendered(piezo.unknown_origins(_segments(spark, sf_dir), T.tracks(spark, sf_dir)))
 
 
+@query
+def piezo_unknown_lines(spark, sf_dir):
+    """Segments without a track, or on a track whose line is not in the register."""
+    return _rendered(piezo.unknown_origins(_segments(spark, sf_dir), T.tracks(spark, sf_dir), T.lines_without_asia(spark, sf_dir)))
+
+
 @query
 def dht11_registry(spark, sf_dir):
     return dht11.dht11_registry(cleaning.clean_typed(T.dht11_raw(spark, sf_dir)), T.metadata(spark, sf_dir))
@@ -477,6 +477,36 @@ def stream_upsert(spark, sf_dir):
     return read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"])
 
 
+@query
+def batch_then_stream(spark, sf_dir):
+    """Rows of a batch run and of two ingests into the same zones, none of which replaces another."""
+    scratch = Scratch(spark)
+    zones, dims = Zones(scratch.place("zones")), T.dimensions(spark, sf_dir)
+    rows = T.dht11_raw(spark, sf_dir)
+    run_files(spark, "dht11", csv_of(spark, rows, "dht11"), dims, zones, 0)
+    for _ in range(2):
+        _finish(start_ingest(spark, _raw_files(spark, rows, "timestamp", "dht11", scratch), "dht11", dims, zones, scratch.place("state")))
+    trusted = spark.read.parquet(zones.trusted("dht11"))
+    return trusted.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("rows_written"))
+
+
+@query
+def stream_nested_keys(spark, sf_dir):
+    """Raw files streamed whose family stands at several depths of their keys, beside files of another family."""
+    scratch = Scratch(spark)
+    rows = T.piezo_raw(spark, sf_dir)
+    root = scratch.place("dht-inbox")
+    depths = {0: "2024/01/piezo", 1: "piezo/2024", 2: "a/b/c/d/e/piezo_night"}
+    for rest, key in depths.items():
+        rows.where(F.pmod(F.xxhash64("trem_id", "dataHora"), F.lit(3)) == rest).write.option("header", True).csv(f"{root}/{key}")
+    T.dps_raw(spark, sf_dir).write.option("header", True).csv(f"{root}/2024/01/dps")
+    cleaned = cleaning.clean(without_arrival(file_stream(spark, root, "piezo")))
+    out = scratch.place("trusted")
+    _finish(cleaned.writeStream.format("parquet").option("checkpointLocation", scratch.place("state"))
+            .trigger(availableNow=True).start(out))
+    return spark.read.schema(cleaned.schema).parquet(out)
+
+
 def _finish(stream, seconds=600):
     try:
         if not stream.awaitTermination(seconds):

@@ -127,6 +127,11 @@ def lines(spark, sf_dir) -> DataFrame:
         F.col("r_regionkey").cast("string").alias("linha_id"), F.col("r_name").alias("cor"))
 
 
+def lines_without_asia(spark, sf_dir) -> DataFrame:
+    """A register in which one line is missing."""
+    return lines(spark, sf_dir).where("cor <> 'ASIA'")
+
+
 def dimensions(spark, sf_dir) -> Dimensions:
     return Dimensions(metadata(spark, sf_dir), circuits(spark, sf_dir), distances(spark, sf_dir),
                       tracks(spark, sf_dir), lines(spark, sf_dir))

@@ -102,18 +102,10 @@ def test_both_forms_of_pairing_agree_within_files(spark):
     assert rows_of(piezo.pair_by_self_join(df)) == rows_of(piezo.pair_events(df)) != []
 
 
-def test_the_sql_form_of_the_track_lookup(spark):
-    tracks = spark.createDataFrame([(1, "R1", 7), (2, "R2", 8)], "ID_TRILHO int, NUM_IDENTIFICACAO string, ID_LINHA int")
-    lines = spark.createDataFrame([(7, 7, "Rubi")], "ID_LINHA int, NUMERO int, COR_IDENTIFICACAO string")
-    sensors = spark.createDataFrame([(5, 1), (6, 2), (8, 1), (8, 2)], "ID_SENSOR int, ID_TRILHO int")
-
-    def look_up(sensor):
-        return rows_of(piezo.track_line_sql(spark, tracks, lines, sensors, sensor))
-
-    assert look_up(5) == [("R1", "7 - Rubi")]
-    assert look_up(6) == look_up(99) == []
-    with pytest.raises(Exception, match="(?i)scalar_subquery"):
-        look_up(8)
+def test_tracks_are_labelled_in_sql(spark):
+    tracks = spark.createDataFrame([("S6", "R7-1", "7"), ("S9", "R8-1", "8")], "sensor_id string, trilho_id string, linha_id string")
+    lines = spark.createDataFrame([("7", "Rubi"), ("7", "Rubi")], "linha_id string, cor string")
+    assert rows_of(piezo.labelled_tracks(spark, tracks, lines)) == [("S6", "R7-1", "7 - Rubi"), ("S9", "R8-1", None)]
 
 
 def test_pairing_takes_one_shuffle_and_no_join(spark):

@@ -10,7 +10,7 @@ from railpulse.plans.piezo import UnknownTrack
 from railpulse.plans.runs import RowCounts, run_family, run_files
 from railpulse.schemas import FACT_KEYS
 from railpulse.session import Scratch, shared_folder
-from railpulse.sinks.files import Zones
+from railpulse.sinks.files import BatchTaken, Zones
 from railpulse.sinks.keyed import compact, last_written, put_batch, read_latest, upsert_latest
 from railpulse.sources.dumps import Dimensions, dimension_from_rows
 from railpulse.streaming.ingest import start_all, start_ingest
@@ -73,7 +73,7 @@ def test_dht11_last_written_row_wins(spark, dims, zones, tmp_path):
     columns, rows = csv(spark, zones.client("dht11", 1))
     assert columns == ["sensor_id", "min", "max", "timestamp", "temperature_c", "humidity_percent",
                        "trem_id", "carro_id"]
-    assert ("1", "18", "24", "2024-01-01 10:00:00", "30.12346", "50.0", "T1", "C1") in rows and len(rows) == 3
+    assert ("1", "18.0", "24.0", "2024-01-01 10:00:00", "30.12346", "50.0", "T1", "C1") in rows and len(rows) == 3
 
 
 def test_dps(spark, dims, zones, tmp_path):
@@ -195,6 +195,42 @@ def test_the_file_written_last_wins_or_the_latest_event(spark, dims, zones, tmp_
     assert latest(spark, zones, "PiezoData") == SEGMENTS
 
 
+def test_files_at_any_depth_however_old_below_a_folder_with_a_mark(spark, dims, zones, tmp_path):
+    inbox = f"{tmp_path}/dht in"
+
+    def ingest():
+        stream = start_ingest(spark, inbox, "piezo", dims, zones, f"{tmp_path}/state", strict=False)
+        assert stream.awaitTermination(300)
+        return spark.read.parquet(zones.trusted("piezo")).count()
+
+    put(f"{inbox}/2024/01/piezo_b.csv", PIEZO)
+    put(f"{inbox}/2024/01/other.csv", "a,b\n1,2\n")
+    assert ingest() == 4
+    old = put(f"{inbox}/piezo/deep/er/x.csv", PIEZO.splitlines()[0] + "\n" + BACK)
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    assert ingest() == 6
+
+
+def test_batches_and_ingests_do_not_replace_each_other(spark, dims, zones, tmp_path):
+    path = put(f"{tmp_path}/in/piezo.csv", PIEZO)
+    run_files(spark, "piezo", path, dims, zones, 1)
+    for state in "ab":
+        assert start_ingest(spark, f"{tmp_path}/in", "piezo", dims, zones, f"{tmp_path}/{state}").awaitTermination(300)
+    assert spark.read.parquet(zones.trusted("piezo")).count() == 12
+    with pytest.raises(BatchTaken):
+        run_files(spark, "piezo", path, dims, zones, 2)
+
+
+def test_another_time_zone_is_refused(spark, dims, zones, tmp_path):
+    path = put(f"{tmp_path}/piezo.csv", PIEZO)
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            run_files(spark, "piezo", path, dims, zones, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 # Keyed tables
 
 def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
@@ -213,6 +249,8 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
     assert sorted(tuple(r) for r in by_value.collect()) == [(1, 11), (2, 20)]
     compact(spark, table, f"{tmp_path}/t2", keys)
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == want
+    compact(spark, table, f"{tmp_path}/t3", keys, ["v"])
+    assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t3", keys, ["v"]).collect()) == [(1, 11), (2, 20)]
     put_batch(batch((2, 1)), f"{tmp_path}/t2", 3)
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == [(1, 5), (2, 1)]
 
@@ -226,6 +264,11 @@ def test_upsert(spark):
 
 # Routing
 
+def test_the_name_of_a_bucket_does_not_count(spark):
+    df = spark.createDataFrame([("s3a://rail-optical-raw/piezo_1.csv",)], "p string")
+    assert df.select(route_family(key_within(F.col("p"), "s3a://rail-optical-raw/"))).first()[0] == "piezo"
+
+
 def test_routes(spark):
     keys = [("dht_tof.csv", "dht11"), ("tof/1.csv", "tof"), ("a/optical.csv", "optical"), ("x.csv", None),
             ("omron-dps", "dps"), ("TOF.csv", None)]

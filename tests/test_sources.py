@@ -20,7 +20,7 @@ PIEZO = "trem_id,sensor_id,pressure_kpa,dataHora\n1,6,10.5,2024-01-01 10:00:00\n
 
 def test_types_come_from_the_contract(spark, tmp_path):
     df = read_readings(spark, put(f"{tmp_path}/a.csv", PIEZO), "piezo")
-    assert df.dtypes == [("trem_id", "int"), ("sensor_id", "int"), ("pressure_kpa", "double"),
+    assert df.dtypes == [("trem_id", "bigint"), ("sensor_id", "bigint"), ("pressure_kpa", "double"),
                          ("dataHora", "timestamp")]
     assert row_count(df).first().rows_read == 1
 
@@ -53,7 +53,33 @@ def test_values_that_do_not_fit_become_null(spark, tmp_path):
 def test_optical_files_take_any_header_and_keep_ids_as_text(spark, tmp_path):
     path = put(f"{tmp_path}/o.csv", "trem_id,NUM_CARRO,level,at\nT1,7,0.5,2024-01-01 10:00:00\n")
     assert read_optical(spark, path).dtypes == [
-        ("trem_id", "string"), ("NUM_CARRO", "string"), ("level", "double"), ("at", "timestamp")]
+        ("trem_id", "string"), ("NUM_CARRO", "string"), ("level", "double"), ("at", "string")]
+    assert read_optical(spark, path, time_columns=("at",)).dtypes[-1] == ("at", "timestamp")
+
+
+def test_optical_numbers_fit_over_batches_and_texts_like_hours_stay(spark, tmp_path):
+    first = put(f"{tmp_path}/1.csv", "trem,carro,level\nT1,C1,1\n")
+    second = put(f"{tmp_path}/2.csv", "trem,carro,level\nT2,C2,1.5\n")
+    for n, path in enumerate((first, second)):
+        read_optical(spark, path).write.parquet(f"{tmp_path}/out/batch={n}")
+    rows = spark.read.parquet(f"{tmp_path}/out").orderBy("batch").select("trem", "level").collect()
+    assert [tuple(r) for r in rows] == [("T1", 1.0), ("T2", 1.5)]
+
+
+def test_large_ids_and_fractions_are_kept(spark, tmp_path):
+    path = put(f"{tmp_path}/a.csv", PIEZO + "3000000000,6,1,2024-01-01 10:00:00\n")
+    assert read_readings(spark, path, "piezo").where("trem_id = 3000000000").count() == 1
+    path = put(f"{tmp_path}/d.csv", "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n1,18.5,24,2024-01-01 10:00:00,1,1\n")
+    assert read_readings(spark, path, "dht11").first()["min"] == 18.5
+
+
+def test_a_second_dump_adds_and_corrects(spark, tmp_path):
+    tables = f"{tmp_path}/dims"
+    for n, lines in enumerate(({"L1": "Azul", "L2": "Verde"}, {"L2": "Rubi", "L3": "Prata"})):
+        items = [{"linha_id": {"S": k}, "cor": {"S": v}} for k, v in lines.items()]
+        load_dimensions(spark, {"Linha": put(f"{tmp_path}/{n}.json", json.dumps({"Items": items}))}, tables)
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tables}/Linha").collect()) == [
+        ("L1", "Azul"), ("L2", "Rubi"), ("L3", "Prata")]
 
 
 def test_arrival_orders_rows_as_written(spark, tmp_path):
