@@ -11,22 +11,24 @@ from railpulse.functions.routing import MARK_OF
 from railpulse.plans.dht11 import run_dht11
 from railpulse.plans.dps import run_dps
 from railpulse.plans.passthrough import run_passthrough
-from railpulse.plans.piezo import run_piezo
+from railpulse.plans.piezo import UnknownTrack, run_piezo
 from railpulse.plans.tof import run_tof
 from railpulse.session import Scratch
 from railpulse.sinks.files import Zones, claim_batch
 from railpulse.sources.dumps import Dimensions
-from railpulse.sources.readings import read_readings, with_arrival
+from railpulse.sources.readings import MISFIT, read_readings, with_arrival
 
 
 UTC = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
 
 
 class RowCounts(NamedTuple):
-    """Rows read from the raw files, and those left by cleaning."""
+    """Rows read from the raw files, those left by cleaning, and those set aside because a value
+    does not fit its type. The others held a null."""
 
     read: int
     kept: int
+    misfits: int = 0
 
 
 def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones, batch: int,
@@ -45,7 +47,18 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
         raise ValueError(f"no such family: {family}")
     claim_batch(spark, zones, family, batch, owner)
     counted = Observation()
-    readings = readings.observe(counted, F.count(F.lit(1)).alias("rows_read"))
+    misfits = F.count(MISFIT) if MISFIT in readings.columns else F.sum(F.lit(0))
+    raw, readings = readings, readings.observe(counted, F.count(F.lit(1)).alias("rows_read"), misfits.alias("misfits"))
+    if MISFIT in readings.columns:
+        readings = readings.where(F.col(MISFIT).isNull()).drop(MISFIT)
+
+    def set_aside() -> int:
+        """Rows that do not fit; only where there are any are the raw files read once more."""
+        found = counted.get["misfits"] or 0
+        if found:
+            raw.where(F.col(MISFIT).isNotNull()).write.mode("overwrite").parquet(zones.misfits(family, batch))
+        return found
+
     with Scratch(spark, scratch_folder) as scratch:
         if family == "tof":
             kept = run_tof(readings, dims.metadata, zones, batch, scratch)
@@ -54,13 +67,17 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
         elif family == "dps":
             kept = run_dps(readings, dims.metadata, dims.circuits, zones, batch)
         elif family == "piezo":
-            kept = run_piezo(readings, dims, zones, batch, scratch, **options)
+            try:
+                kept = run_piezo(readings, dims, zones, batch, scratch, **options)
+            except UnknownTrack:
+                set_aside()
+                raise
         else:
             kept = run_passthrough(readings, family, zones, batch)
-    return RowCounts(counted.get["rows_read"], kept)
+    return RowCounts(counted.get["rows_read"], kept, set_aside())
 
 
 def run_files(spark: SparkSession, family: str, path: str | list[str], dims: Dimensions, zones: Zones,
               batch: int, **options) -> RowCounts:
     """``run_family`` over raw files."""
-    return run_family(family, with_arrival(read_readings(spark, path, family)), dims, zones, batch, **options)
+    return run_family(family, with_arrival(read_readings(spark, path, family, misfits=True)), dims, zones, batch, **options)

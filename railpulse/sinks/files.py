@@ -44,6 +44,10 @@ class Zones:
     def rejects(self, family: str, batch: int) -> str:
         return _batch(f"{self.root}/rejects/{family}", batch)
 
+    def misfits(self, family: str, batch: int | None = None) -> str:
+        """Rows with values that do not fit the family's types."""
+        return _batch(f"{self.root}/misfits/{family}", batch)
+
     def owner(self, family: str, batch: int | None = None) -> str:
         """The small file that says who wrote a batch."""
         return _batch(f"{self.root}/owners/{family}", batch)

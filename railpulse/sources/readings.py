@@ -10,6 +10,10 @@ from railpulse.functions.routing import key_within, root_of, route_family
 from railpulse.schemas import TIME_FORMAT, readings_schema
 
 
+# The line of a row whose values do not fit the contract; null for all others.
+MISFIT = "_misfit"
+
+
 def typed_header(header: list[str], family: str) -> StructType:
     """The header's columns in file order, typed by the family's contract; others are text."""
     contract = {f.name: f for f in readings_schema(family)}
@@ -19,18 +23,25 @@ def typed_header(header: list[str], family: str) -> StructType:
     return StructType([contract.get(name, StructField(name, StringType())) for name in header])
 
 
-def read_readings(spark: SparkSession, path: str | list[str], family: str) -> DataFrame:
+def with_misfits(schema: StructType) -> StructType:
+    """A schema with a column for the line of a row whose values do not fit their types."""
+    return StructType([*schema, StructField(MISFIT, StringType())])
+
+
+def read_readings(spark: SparkSession, path: str | list[str], family: str, misfits: bool = False) -> DataFrame:
     """Files of one family. Columns go by name; their order is that of the first header.
 
     Types come from the contract, so the data is not scanned for them. A file whose header
-    differs from the first one fails the read: its columns would land in the wrong places.
+    differs from the first one fails the read: its columns would land in the wrong places. With
+    ``misfits`` the column ``MISFIT`` holds the lines of rows that do not fit.
     """
     if family == "optical":
         return read_optical(spark, path)
     header = spark.read.option("header", True).csv(path).columns
+    schema = typed_header(header, family)
     return (
-        spark.read.option("header", True).option("enforceSchema", False)
-        .schema(typed_header(header, family)).csv(path)
+        spark.read.option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", MISFIT)
+        .schema(with_misfits(schema) if misfits else schema).csv(path)
     )
 
 

@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from railpulse.functions.routing import MARK_OF, key_within, root_of, route_family
 from railpulse.plans.runs import run_family
 from railpulse.schemas import readings_schema
 from railpulse.sinks.files import Zones, next_batch, read_note, write_note
 from railpulse.sources.dumps import Dimensions
-from railpulse.sources.readings import file_columns
+from railpulse.sources.readings import MISFIT, file_columns, with_misfits
 
 FILES_PER_BATCH = 1000
 # A file is new however old it is. The price: the checkpoint remembers every file ever taken.
@@ -21,7 +22,7 @@ MAX_FILE_AGE = "36500d"
 
 
 def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
-                files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+                files_per_batch: int = FILES_PER_BATCH, misfits: bool = False) -> DataFrame:
     """New files of one family, at any depth below ``in_dir``.
 
     A file whose key below ``in_dir`` carries the family's mark is read, in its own name or in that
@@ -32,12 +33,14 @@ def file_stream(spark: SparkSession, in_dir: str, family: str, schema=None,
     """
     if schema is None:
         schema = readings_schema(family)
+    if misfits:
+        schema = with_misfits(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
     key = key_within(F.col("source_file"), root_of(spark, in_dir))
     return (
         spark.readStream.schema(schema)
         .option("header", True).option("enforceSchema", False)
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", MAX_FILE_AGE)
+        .option("maxFileAge", MAX_FILE_AGE).option("columnNameOfCorruptRecord", MISFIT)
         .csv(in_dir)
         .select("*", *file_columns())
         .filter(route_family(key) == family)
@@ -80,7 +83,7 @@ def start_ingest(spark: SparkSession, in_dir: str, family: str, dims: Dimensions
         run_family(family, numbered, dims, zones, first_batch + batch, owner=owner, **options)
 
     return (
-        file_stream(spark, in_dir, family, schema, files_per_batch).writeStream
+        file_stream(spark, in_dir, family, schema, files_per_batch, misfits=True).writeStream
         .foreachBatch(run).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )

@@ -267,6 +267,9 @@ def oracle() -> dict[str, str]:
             SELECT {PAIR_COLUMNS}, VELOCIDADE, 'S' || ID_SENSOR_ORIGEM AS sensor_id FROM segments
             WHERE 'S' || ID_SENSOR_ORIGEM NOT IN (
                 SELECT t.sensor_id FROM track t JOIN line l ON l.linha_id = t.linha_id AND l.cor <> 'ASIA')""",
+        "csv_rejects": """SELECT user_id AS sensor_id, CASE WHEN event_id % 7 = 0 THEN 'misfit' ELSE 'kept' END AS state,
+            2 * count(*) AS n_rows FROM events
+            WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2""",
         "batch_then_stream": """SELECT user_id AS sensor_id, 3 * count(*) AS rows_written FROM events
             WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL GROUP BY user_id""",
         "dht11_registry": f"""{with_(DHT11_CLEAN, METADATA)} SELECT m.trem_id, d."timestamp" AS datahora,

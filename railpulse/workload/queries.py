@@ -477,6 +477,19 @@ def stream_upsert(spark, sf_dir):
     return read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"])
 
 
+@query
+def csv_rejects(spark, sf_dir):
+    """Rows kept, and rows set aside because a value is no number, of a batch and an ingest of raw files."""
+    scratch = Scratch(spark)
+    zones, dims = Zones(scratch.place("zones")), T.dimensions(spark, sf_dir)
+    damaged = T.dht11_damaged(spark, sf_dir)
+    run_files(spark, "dht11", csv_of(spark, damaged, "dht11"), dims, zones, 1)
+    _finish(start_ingest(spark, _raw_files(spark, damaged, "timestamp", "dht11", scratch), "dht11", dims, zones, scratch.place("state")))
+    kept = spark.read.parquet(zones.trusted("dht11")).select("sensor_id", F.lit("kept").alias("state"))
+    aside = spark.read.parquet(zones.misfits("dht11")).select("sensor_id", F.lit("misfit").alias("state"))
+    return kept.unionAll(aside).groupBy("sensor_id", "state").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def batch_then_stream(spark, sf_dir):
     """Rows of a batch run and of two ingests into the same zones, none of which replaces another."""

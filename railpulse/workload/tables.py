@@ -39,6 +39,14 @@ def dht11_raw(spark, sf_dir) -> DataFrame:
         (F.col("value") / 7).alias("humidity_percent"))
 
 
+def dht11_damaged(spark, sf_dir) -> DataFrame:
+    """Every seventh event has a temperature that is no number."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("sensor_id"), F.lit(18).alias("min"), F.lit(24).alias("max"), F.col("ts").alias("timestamp"),
+        F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("temperature_c"),
+        (F.col("value") / 7).alias("humidity_percent"))
+
+
 def dps_raw(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("sensor_id"),

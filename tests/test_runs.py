@@ -221,6 +221,16 @@ def test_batches_and_ingests_do_not_replace_each_other(spark, dims, zones, tmp_p
         run_files(spark, "piezo", path, dims, zones, 2)
 
 
+def test_rows_that_do_not_fit_are_set_aside(spark, dims, zones, tmp_path):
+    path = put(f"{tmp_path}/piezo.csv", PIEZO + "x1,6,1,2024-01-01 10:00:00\n3,6,1,01/01/2024 10:00:00\n3,,1,2024-01-01 10:00:00\n" + BACK)
+    with pytest.raises(UnknownTrack):
+        run_files(spark, "piezo", path, dims, zones, 1)
+    assert spark.read.parquet(zones.misfits("piezo", 1)).count() == 2
+    assert run_files(spark, "piezo", path, dims, zones, 1, strict=False) == RowCounts(read=9, kept=6, misfits=2)
+    lines = [r[0] for r in spark.read.parquet(zones.misfits("piezo", 1)).select("_misfit").collect()]
+    assert sorted(lines) == ["3,6,1,01/01/2024 10:00:00", "x1,6,1,2024-01-01 10:00:00"]
+
+
 def test_another_time_zone_is_refused(spark, dims, zones, tmp_path):
     path = put(f"{tmp_path}/piezo.csv", PIEZO)
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
