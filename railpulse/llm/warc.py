@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow.fs as fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.session import Scratch
@@ -118,6 +118,11 @@ def _write(folder: str, roll_bytes: int):
     return run
 
 
+def _bucket(low: int, width: int) -> Column:
+    """The range of a page id; -1 without one. In decimals, since two ids may lie further apart than a long reaches."""
+    return F.coalesce(F.expr(f"(cast(page_id as decimal(20, 0)) - ({low})) div {width}"), F.lit(-1).cast("long"))
+
+
 def shard_bounds(narrow: DataFrame, shard_bytes: int | None = None) -> tuple[DataFrame, int, int, int]:
     """``(bucket, cut, parts)`` for each range of page ids; their width, the lowest id, the number of shards.
 
@@ -128,8 +133,7 @@ def shard_bounds(narrow: DataFrame, shard_bytes: int | None = None) -> tuple[Dat
     bytes_ = F.col("bytes") + 512
     low, high, total = narrow.agg(F.min("page_id"), F.max("page_id"), F.sum(bytes_)).first()
     width = max(1, -(-((high or 0) - (low or 0) + 1) // BUCKETS))
-    bucket = F.coalesce(F.floor((F.col("page_id") - F.lit(low or 0)) / width), F.lit(-1)).cast("long")
-    rows = sorted(map(tuple, narrow.groupBy(bucket.alias("bucket")).agg(F.sum(bytes_)).collect()))
+    rows = sorted(map(tuple, narrow.groupBy(_bucket(low or 0, width).alias("bucket")).agg(F.sum(bytes_)).collect()))
     most = shard_bytes or min(MOST_SHARD, max(LEAST_SHARD, (total or 0) // SHARDS))
     bounds, shard, size = [], 0, 0
     for number, held in rows:
@@ -155,11 +159,10 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes:
     full = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     narrow = scratch.save(full.select("page_id", "digest", F.octet_length("payload").cast("long").alias("bytes")), "narrow")
     bounds, width, low, shards = shard_bounds(narrow, shard_bytes)
-    bucket = F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / width), F.lit(-1)).cast("long")
 
     def dealt(rows: DataFrame) -> DataFrame:
         place = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.col("parts") / F.lit(1 << 32))
-        return rows.withColumn("bucket", bucket).join(F.broadcast(bounds), "bucket").withColumn("shard", F.col("cut") + place)
+        return rows.withColumn("bucket", _bucket(low, width)).join(F.broadcast(bounds), "bucket").withColumn("shard", F.col("cut") + place)
 
     shared = narrow.where(F.col("bytes") >= least_revisit).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).where("n > 1")
     told = narrow.join(shared, "digest").select("page_id", "digest", "original").distinct()
@@ -168,7 +171,9 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes:
         dealt(full).select("shard", "page_id", "digest", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("original")))
     store, path = storage(folder)
     store.create_dir(path, recursive=True)
-    parts = scratch.save(rows.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
+    # As text: pandas holds numbers with nulls among them as doubles, which round ids above 2^53.
+    ids = {name: F.col(name).cast("string") for name in ("page_id", "original")}
+    parts = scratch.save(rows.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url").withColumns(ids)
                          .mapInPandas(_write(folder, roll_bytes), PART), "parts")
     return commit(parts, folder, scratch)
 

@@ -124,3 +124,21 @@ def test_archives_of_odd_rows(spark, scratch):
     assert warc.report(pages.limit(0), scratch).collect() == []
     small = warc.report(pages, scratch, least_revisit=2)
     assert {r.record_type for r in small.collect()} == {"response"}
+
+
+def test_archives_keep_wide_ids(spark, scratch):
+    # As doubles, neighbours here are the same number.
+    top = 1 << 62
+    rows = [(top + i, f"page {i // 3}") for i in range(30)]
+    pages = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    assert sorted(tuple(r) for r in warc.report(pages, scratch).collect()) == slow_records(rows)
+    nulls = pages.unionAll(spark.createDataFrame([(None, None, "page 0"), (None, None, "no id")], pages.schema))
+    got = [tuple(r) for r in warc.report(nulls, scratch).collect()]
+    assert sorted(r for r in got if r[0] is not None) == slow_records(rows)
+    assert sorted((r[3], r[4] or 0) for r in got if r[0] is None) == [("response", 0), ("revisit", top + 2)]
+
+
+def test_archives_of_the_whole_id_range(spark, scratch):
+    rows = [(i, f"page {n % 4}") for n, i in enumerate([-(1 << 63), -(1 << 62) - 1, -1, 0, 1, (1 << 62) + 1, (1 << 63) - 2, (1 << 63) - 1])]
+    pages = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    assert sorted(tuple(r) for r in warc.report(pages, scratch).collect()) == slow_records(rows)
