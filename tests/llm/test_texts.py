@@ -48,6 +48,27 @@ def test_licence_edges(spark):
     assert licences.scan(docs.limit(0)).collect() == []
 
 
+def test_notices_among_other_words(spark):
+    mit = licences.TEMPLATES["MIT"][2]
+    words = mit.split()
+    wrapped = "\n".join(" ".join(words[i:i + 9]) for i in range(0, len(words), 9))
+    header = "\n#\n".join(f"# {x}" for x in ["A module that reads trains.", "Copyright 2024 Foo", *wrapped.split("\n"), "The end of the header, and of all else there is."])
+    given = {
+        1: ("Copyright 2024 Foo. Released under the MIT License.", [("passage", 3, "MIT", 1.0)]),
+        2: ("All of it is old. Licensed under CC BY 4.0. Parts are\nreleased under the MIT License, others not.", [("passage", 5, "CC-BY-4.0", 1.0), ("passage", 13, "MIT", 1.0)]),
+        3: ("Some words first that are long enough to be more than a third of it all, since else the paragraph is found by itself. "
+            "They go on for a while, as readers of such files know too well, and then there is still more of the same.\n" + wrapped + "\nand more", [("passage", 47, "MIT", 1.0)]),
+        4: ("This work is licensed under the GNU General Public License, version 2.", [("line", 0, "GPL-2.0", 1.0)]),
+        5: ("Released under the MIT License.\nSee also: licensed under the Apache License, Version 2.0, in parts.", [("line", 0, "MIT", 1.0), ("passage", 7, "Apache-2.0", 1.0)]),
+        6: ("released or licensed, under the sun, the MIT folk, a License", [])}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in given.items()] + [(7, header), (8, "Copyright 2024 Foo. Released under the MIT License.")] * 2, "doc_id long, text string")
+    got = [tuple(r) for r in licences.scan(docs).collect()]
+    for i, (_, rows) in given.items():
+        assert sorted(r[1:] for r in got if r[0] == i) == sorted(rows), i
+    assert {r[3] for r in got if r[0] == 7} == {"MIT"}
+    assert [r[1:] for r in got if r[0] == 8] == [("passage", 3, "MIT", 1.0)] * 2
+
+
 def test_control_strings_come_back(spark):
     rng = random.Random(4)
     bits = ["<", "[", "\\", "\\\\", "s>", "/s>", "INST]", "/INST]", "image>", "x", "\n", "", "é", "<s>", "</s>", "[INST]", "[/INST]", "<\\s>", "$1", "😀"]
