@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railpulse.llm.licence_texts import TEXTS
+
 LEAST = 0.8
 WORDS = r"[\p{L}\p{N}]+"
 
@@ -37,6 +39,7 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
 }
+ALL = {name: [*TEMPLATES.get(name, []), *TEXTS.get(name, [])] for name in {**TEMPLATES, **TEXTS}}
 
 
 def _let(value: Column, then) -> Column:
@@ -144,7 +147,7 @@ def _passages(docs: DataFrame, held: Column, any_: list[str], least: float) -> D
         "doc_id", F.lit("passage").alias("kind"), F.col("start").alias("unit_no"), "licence", (-F.col("less")).alias("dice"))
 
 
-def scan(docs: DataFrame, least: float = LEAST, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, least: float = LEAST, templates: dict[str, list[str]] = ALL) -> DataFrame:
     """``doc_id, kind, unit_no, licence, dice``: the best licence of every unit that reaches ``least``.
 
     ``least`` must be above 0. Ties go to the first licence by name. Null and empty texts give no

@@ -69,6 +69,20 @@ def test_notices_among_other_words(spark):
     assert [r[1:] for r in got if r[0] == 8] == [("passage", 3, "MIT", 1.0)] * 2
 
 
+def test_licence_texts(spark):
+    bsd = licences.TEXTS["BSD-3-Clause"][0]
+    given = {1: ("Copyright (c) 2024, Foo\n\n" + bsd.replace(". 2. ", ".\n\n2. ").replace(" 3. ", "\n\n3. ").replace(" THIS SOFTWARE IS", "\n\nTHIS SOFTWARE IS"), ("text", "BSD-3-Clause")),
+             2: ("Copyright (c) 2024, Foo\n\n" + licences.TEXTS["BSD-2-Clause"][0], ("text", "BSD-2-Clause")),
+             3: ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.", ("paragraph", "GPL-2.0")),
+             4: ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n1. Definitions.", ("passage", "Apache-2.0")),
+             5: ("/* " + licences.TEXTS["GPL-2.0"][2] + " */", ("line", "GPL-2.0")), 6: (licences.TEXTS["ISC"][0], ("text", "ISC"))}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in given.items()], "doc_id long, text string")
+    got = [tuple(r) for r in licences.scan(docs).collect()]
+    for i, (_, row) in given.items():
+        assert row in {(r[1], r[3]) for r in got if r[0] == i}, (i, got)
+        assert {r[3] for r in got if r[0] == i} == {row[1]}, (i, got)
+
+
 def test_control_strings_come_back(spark):
     rng = random.Random(4)
     bits = ["<", "[", "\\", "\\\\", "s>", "/s>", "INST]", "/INST]", "image>", "x", "\n", "", "é", "<s>", "</s>", "[INST]", "[/INST]", "<\\s>", "$1", "😀"]
