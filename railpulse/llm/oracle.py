@@ -119,3 +119,72 @@ scored AS (SELECT doc_id, kind, unit_no, licence, 2.0::DOUBLE * len(list_interse
 SELECT doc_id, kind, unit_no::INT AS unit_no, licence, dice FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, kind, unit_no ORDER BY dice DESC, licence) AS r FROM scored WHERE dice >= {LEAST}) WHERE r = 1
 """
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def centroids(rounds: int = 5) -> str:
+    """Each round as two tables: the nearest centroid of every vector, and the centroids after it."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT r, cl, dist FROM (
+    SELECT r, cl, list_sum(list_transform(range(1, 65), lambda d: (q[d] - c[d]) * (q[d] - c[d])))::BIGINT AS dist FROM v, c{i})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, cl) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} AS (
+  SELECT cl, d, sum(q[d])::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM near{i} JOIN v USING (r), (SELECT unnest(range(1, 65)) AS d) GROUP BY cl, d),
+c{i + 1} AS MATERIALIZED (
+  SELECT cl, coalesce(m.c, old.c) AS c FROM c{i} AS old
+  LEFT JOIN (SELECT cl, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY d) AS c FROM sums{i} GROUP BY cl) AS m USING (cl))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cl, q AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, q FROM v ORDER BY h LIMIT 40)),{",".join(steps)}
+SELECT vec_id, cl::INT AS cluster, dist AS distance, (sum(dist) OVER (PARTITION BY cl))::BIGINT AS cluster_inertia,
+       (sum(dist) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN v USING (r) JOIN c{rounds} USING (cl)"""
+
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+f AS MATERIALIZED (
+  SELECT lang, g, len(g) AS k, count(*) AS f FROM (
+    SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+    FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)
+  GROUP BY lang, g),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, g, k, f AS a FROM f WHERE k > 1 AND f >= 100),
+inside AS (
+  SELECT lang, g[i:i + m - 1] AS g, max(a) AS longer
+  FROM cand, (SELECT unnest([2, 3, 4]) AS m), (SELECT unnest([1, 2, 3, 4]) AS i)
+  WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT cand.* FROM cand LEFT JOIN inside ON cand.lang = inside.lang AND cand.g = inside.g
+  WHERE inside.g IS NULL OR 100 * longer < 100 * a),
+cuts AS (
+  SELECT kept.lang, kept.g, a, cut, l.f AS l, r.f AS r, totals.n AS n,
+         (1000::HUGEINT * a * totals.n) // (l.f::HUGEINT * r.f) AS score
+  FROM kept, (SELECT unnest([1, 2, 3, 4]) AS cut), f AS l, f AS r, totals
+  WHERE cut < kept.k AND l.lang = kept.lang AND l.g = kept.g[1:cut] AND r.lang = kept.lang AND r.g = kept.g[cut + 1:]
+    AND totals.lang = kept.lang),
+best AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+       l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM best QUALIFY rank <= 2000"""
+
+EXACT = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(t) AS text_sha256
+FROM (SELECT doc_id, {LOWERED} AS t FROM documents) WINDOW same AS (PARTITION BY t)"""

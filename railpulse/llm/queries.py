@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railpulse.llm import bpe, chat, licences, mixing, oracle, simhash, topk, toxicity, urls, vptree, warc
+from railpulse.llm import bpe, centroids, chat, collocations, licences, mixing, oracle, recipes, simhash, topk, toxicity, urls, vptree, warc
 from railpulse.llm.common import query_scratch, table
 
 
@@ -55,8 +55,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"), query_scratch(spark))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), query_scratch(spark))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.duplicates(table(spark, sf_dir, "documents"), query_scratch(spark))
+
+
 QUERIES = {f.__name__: f for f in [op1_toxicity, op2_mix_sources, op3_simhash_near_dedup, op4_url_filter, op5_exact_top_k, op6_vp_tree,
-                                 op7_license_scan, op8_chat_format, op9_warc, op10_byte_bpe]}
+                                 op7_license_scan, op8_chat_format, op9_warc, op10_byte_bpe, op11_walsh_clusters, op12_collocations, op13_exact_dedup]}
 ORACLE_SQL = {
     "op2_mix_sources": oracle.MIX, "op4_url_filter": oracle.URLS, "op5_exact_top_k": oracle.TOP_K, "op7_license_scan": oracle.licences(),
-    "op8_chat_format": oracle.CHAT}
+    "op8_chat_format": oracle.CHAT, "op11_walsh_clusters": oracle.centroids(), "op12_collocations": oracle.COLLOCATIONS,
+    "op13_exact_dedup": oracle.EXACT}
