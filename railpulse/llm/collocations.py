@@ -2,9 +2,10 @@
 
 Nodes are runs of four words, and an edge is a run of five that leads from its first four words to its
 last four. Every word of a piece begins one window of five words; near the end of a piece it is shorter.
-Windows are counted in the tasks, then over all by a range shuffle. Windows that begin with the same
-words stand together there, so the flow out of a node, the edges that begin with it and the shorter windows
-that end a piece there, is a sum over neighbours, and so are the counts of runs of three and two words.
+Windows are counted in the tasks, sorted, packed by ranges of windows, and each range goes to one task, which
+unpacks and sorts them (on disk, if need be). Windows that begin with the same words stand together there, so the
+flow out of a node, the edges that begin with it and the shorter windows that end a piece there, is a sum over
+neighbours, and so are the counts of runs of three and two words.
 
 Edges and nodes that occur often enough make up a much smaller graph. A node whose whole flow comes in
 by one edge and leaves by one is unary; chains of such nodes are compacted to paths, found by pointer
@@ -24,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,11 @@ DICTIONARY = 500_000
 # Words that a task holds before it counts and sends on their windows; bytes of a text cut at a time.
 FLUSH = 2_000_000
 BLOCK = 1 << 20
+BITS = 21
 ROWS = 100_000
+# Words for which there is a range of windows, the most ranges, and windows drawn for each to tell where it ends.
+# The draw decides only how evenly the ranges are filled.
+RANGE_WORDS, MOST_RANGES, DRAWN = 1_000_000, 20_000, 64
 
 GRAM = [f"w{i}" for i in range(1, LONGEST + 1)]
 NO_LANG = "und"
@@ -85,8 +91,8 @@ def _cut(data: bytes, size: int = BLOCK) -> Iterator[bytes]:
         at = end
 
 
-def _counted(numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The different windows that begin in ``numbers[:-4]``, in order, and how often each occurs."""
+def _counted(numbers: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The different windows that begin in ``numbers[:-4]``, in order and by the ranges between ``bounds``, and how often each occurs."""
     names, codes = np.unique(np.append(numbers, 0), return_inverse=True)
     ends = np.searchsorted(names, 0)
     n, columns, open_ = len(numbers) - LONGEST + 1, [], None
@@ -94,19 +100,52 @@ def _counted(numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         here = codes[i:i + n]
         open_ = here != ends if open_ is None else open_ & (here != ends)
         columns.append(np.where(open_, here, ends))
-    # A flush holds fewer than 2^21 different numbers, so three fit into one word.
-    high = columns[0] << 42 | columns[1] << 21 | columns[2]
-    low = columns[3] << 21 | columns[4]
+    high, low = _folded(columns)
     keep = columns[0] != ends
     high, low = high[keep], low[keep]
     order = np.lexsort((low, high))
     high, low = high[order], low[order]
     starts = np.flatnonzero(np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))) if len(high) else np.zeros(0, int)
     high, low, count = high[starts], low[starts], np.diff(np.append(starts, len(high)))
-    mask = (1 << 21) - 1
-    for at in range(0, len(starts), ROWS):
-        h, l = high[at:at + ROWS], low[at:at + ROWS]
-        yield np.stack([names[h >> 42], names[h >> 21 & mask], names[h & mask], names[l >> 21], names[l & mask]]), count[at:at + ROWS]
+    edges = [0, *_places(high, low, names, bounds), len(high)]
+    mask = (1 << BITS) - 1
+    for own, (first, last) in enumerate(zip(edges, edges[1:])):
+        for at in range(first, last, ROWS):
+            h, l = high[at:min(last, at + ROWS)], low[at:min(last, at + ROWS)]
+            yield own, np.stack([names[h >> 2 * BITS], names[h >> BITS & mask], names[h & mask], names[l >> BITS], names[l & mask]]), count[at:at + len(h)]
+
+
+def _folded(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Five codes in two numbers of the same order. A flush holds fewer than 2^21 different words, so three codes fit into one."""
+    return columns[0] << 2 * BITS | columns[1] << BITS | columns[2], columns[3] << BITS | columns[4]
+
+
+def _places(high: np.ndarray, low: np.ndarray, names: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where each of the ascending ``bounds`` stands among sorted windows."""
+    if not len(bounds):
+        return np.zeros(0, int)
+    codes = np.searchsorted(names, bounds)
+    met = names[np.minimum(codes, len(names) - 1)] == bounds
+    # A word that is not among the names lies before the next one, whatever follows.
+    after = np.cumsum(~met, axis=1) - ~met > 0
+    codes[after] = 0
+    bound_high, bound_low = _folded(list(codes.T))
+    first, last = np.searchsorted(high, bound_high, "left"), np.searchsorted(high, bound_high, "right")
+    for i in np.flatnonzero(first < last):
+        first[i] += np.searchsorted(low[first[i]:last[i]], bound_low[i], "left")
+    return first
+
+
+def _packed(grams: np.ndarray, count: np.ndarray) -> bytes:
+    """Sorted windows as bytes; like bytes of all numbers stand together, as few of them differ."""
+    numbers = np.vstack([np.diff(grams[:1], prepend=0), grams[1:], count[None]])
+    return zstandard.compress(np.ascontiguousarray(numbers.reshape(len(numbers), -1, 1).view(np.uint8).transpose(0, 2, 1)).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(LONGEST + 1, 8, -1)
+    numbers = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64)[:, :, 0]
+    return np.vstack([np.cumsum(numbers[:1], axis=1), numbers[1:]])
 
 
 def number_udf(seed: int):
@@ -129,10 +168,12 @@ def hashed_words(others: DataFrame, frequent: DataFrame, scratch: Scratch) -> tu
         seed += 1
 
 
-def windows(docs: DataFrame, sent: pd.DataFrame, seed: int | None, flush: int = FLUSH) -> DataFrame:
-    """``w1..w5, c``: windows counted in each task, 0 after the end of one."""
+def windows(docs: DataFrame, sent: pd.DataFrame, seed: int | None, bounds: np.ndarray | None = None, flush: int = FLUSH) -> DataFrame:
+    """``w1..w5, c``: windows counted in each task, 0 after the end of one; with ``bounds``, packed as ``range, packed``."""
     spark = docs.sparkSession
     told = spark.sparkContext.broadcast({lang: dict(zip(own["word"], own["id"].astype(int))) for lang, own in sent.groupby("lang")})
+    plain, bounds = bounds is None, np.zeros((0, LONGEST), np.int64) if bounds is None else bounds
+    parted = spark.sparkContext.broadcast(bounds)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_lang, held, size = {}, [], 0
@@ -145,8 +186,11 @@ def windows(docs: DataFrame, sent: pd.DataFrame, seed: int | None, flush: int =
                 held.append(numbers[1 - LONGEST:])
             else:
                 numbers = np.append(numbers, np.zeros(LONGEST - 1, np.int64))
-            for grams, counts in _counted(numbers):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*grams, counts)], names=[*GRAM, "c"])
+            for own, grams, counts in _counted(numbers, parted.value):
+                if plain:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*grams, counts)], names=[*GRAM, "c"])
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([_packed(grams, counts)])], names=["range", "packed"])
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
@@ -171,22 +215,48 @@ def windows(docs: DataFrame, sent: pd.DataFrame, seed: int | None, flush: int =
             yield from flushed(True)
 
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
-    return rows.mapInArrow(count, ", ".join(f"{c} long" for c in [*GRAM, "c"]))
+    return rows.mapInArrow(count, ", ".join(f"{c} long" for c in [*GRAM, "c"]) if plain else "range long, packed binary")
+
+
+def range_bounds(docs: DataFrame, sent: pd.DataFrame, seed: int | None, words: int, range_words: int) -> np.ndarray:
+    """Windows that part all windows into ranges of about ``range_words`` words, from those of a few texts drawn at random."""
+    ranges = max(1, min(MOST_RANGES, words // range_words))
+    if ranges == 1:
+        return np.zeros((0, LONGEST), np.int64)
+    drawn = min(1.0, 20 * DRAWN * ranges / words)
+    some = windows(docs.select("lang", "text").sample(drawn, 1), sent, seed)
+    some = some.sample(min(1.0, DRAWN * ranges / (words * drawn)), 1).select(*GRAM).distinct().orderBy(*GRAM).toPandas().to_numpy(np.int64)
+    return some[np.unique(np.linspace(0, len(some), ranges + 1).astype(int)[1:-1])] if len(some) else some.reshape(0, LONGEST)
+
+
+def sorted_windows(packed: DataFrame, ranges: int) -> DataFrame:
+    """``range, w1..w5, c`` of packed windows, each range in one task and in order there."""
+    columns = ["range", *GRAM, "c"]
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, data in zip(batch["range"].to_pylist(), batch["packed"]):
+                numbers = _unpacked(data.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(numbers.shape[1], own), *numbers)], names=columns)
+
+    rows = packed.repartition(ranges, "range").mapInArrow(unpack, ", ".join(f"{c} long" for c in columns))
+    return rows.sortWithinPartitions("range", *GRAM)
 
 
-def flows(counted: DataFrame, least: int) -> DataFrame:
-    """``k, w1..w5, f`` of every run of 2 to 5 words with ``f >= least``, from windows counted in part.
+def flows(ordered: DataFrame, least: int) -> DataFrame:
+    """``k, w1..w5, f`` of every run of 2 to 5 words with ``f >= least``, from windows counted in part, in order of their ranges.
 
-    A batch of the sorted windows knows the whole flow of all runs but those it begins and ends with;
-    these few are added up over batches.
+    A batch knows the whole flow of all runs but those that its part of a range begins and ends with; these
+    few are added up over batches.
     """
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             grams, c = np.stack([batch[w].to_numpy() for w in GRAM]), batch["c"].to_numpy()
-            new = np.zeros(batch.num_rows, bool)
-            new[0] = True
+            place = batch["range"].to_numpy()
+            new = np.append(True, place[1:] != place[:-1])
+            parts = np.flatnonzero(new)
             for k in range(1, LONGEST + 1):
                 new[1:] |= grams[k - 1, 1:] != grams[k - 1, :-1]
                 if k == 1:
@@ -195,12 +265,12 @@ def flows(counted: DataFrame, least: int) -> DataFrame:
                 f = np.add.reduceat(c, starts)
                 whole = grams[k - 1, starts] != 0
                 at_edge = np.zeros(len(starts), bool)
-                at_edge[[0, -1]] = True
+                first = np.searchsorted(starts, parts)
+                at_edge[first] = at_edge[first - 1] = True
                 kept = whole & (at_edge | (f >= least))
                 found = np.where(np.arange(LONGEST)[:, None] < k, grams[:, starts[kept]], 0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(kept.sum(), k, np.int32)), *map(pa.array, found), pa.array(f[kept])], names=["k", *GRAM, "f"])
 
-    ordered = counted.repartitionByRange(*GRAM).sortWithinPartitions(*GRAM)
     parts = ordered.mapInArrow(add, "k int, " + ", ".join(f"{c} long" for c in [*GRAM, "f"]))
     return parts.groupBy("k", *GRAM).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
@@ -269,7 +339,7 @@ def scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> DataF
 
 
 def collocations(docs: DataFrame, scratch: Scratch, least: int = LEAST_COUNT, reported: int = REPORTED,
-                 dictionary: int = DICTIONARY) -> DataFrame:
+                 dictionary: int = DICTIONARY, range_words: int = RANGE_WORDS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the first ``reported`` phrases of each language of ``docs(lang, text)``.
 
     A null lang is ``und``, a null or empty text has no words, repeated rows count each. Ties go to the larger
@@ -287,8 +357,9 @@ def collocations(docs: DataFrame, scratch: Scratch, least: int = LEAST_COUNT, re
         rest = frequent.join(ids, ["lang", "word"], "left_anti")
         rest, seed = hashed_words(vocabulary.join(ids.select("lang", "word"), ["lang", "word"], "left_anti"), rest, scratch)
         ids = ids.unionByName(rest)
-    counted = scratch.save(windows(docs, sent, seed), "windows")
-    grams = scratch.save(flows(counted, least), "grams")
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    bounds = range_bounds(docs, sent, seed, words, range_words)
+    grams = scratch.save(flows(sorted_windows(windows(docs, sent, seed, bounds), len(bounds) + 1), least), "grams")
     dropped = inside_longer(grams, paths(grams, scratch))
     gram = F.slice(run(1, 5), F.lit(1), F.col("k")).alias("gram")
     counts = grams.select(gram, "f").unionAll(ids.select(F.array("id").alias("gram"), "f"))

@@ -88,7 +88,25 @@ def test_against_all_runs(spark, scratch, seed, least):
 @pytest.mark.parametrize("dictionary", [1, 7])
 def test_words_beyond_the_dictionary(spark, scratch, dictionary):
     rows = corpus(4)
-    assert fast(spark, rows, scratch, 4, dictionary=dictionary) == slow(rows, 4, 2000)
+    assert fast(spark, rows, scratch, 4, dictionary=dictionary, range_words=200) == slow(rows, 4, 2000)
+
+
+@pytest.mark.parametrize("seed", [None, 0])
+def test_ranges_part_windows_and_keep_their_counts(spark, seed):
+    rows = frame(spark, corpus(6)).coalesce(2)
+    sent = pd.DataFrame({"lang": "en", "word": ["a", "b", "e", "le"], "id": [1, 2, 3, 4]})
+    bounds = C.range_bounds(rows, sent, seed, 2_000, 50)
+    assert len(bounds) > 20 and sorted(map(tuple, bounds)) == list(map(tuple, bounds))
+    packed = C.windows(rows, sent, seed, bounds, flush=300)
+    whole = C.windows(rows, sent, seed).groupBy(*C.GRAM).sum("c").collect()
+    parted = C.sorted_windows(packed, len(bounds) + 1)
+    assert sorted(parted.groupBy(*C.GRAM).sum("c").collect()) == sorted(whole)
+    for row in packed.collect():
+        grams = list(map(tuple, C._unpacked(row["packed"])[:5].T))
+        place = row["range"]
+        assert grams == sorted(grams)
+        assert place == 0 or grams[0] >= tuple(bounds[place - 1])
+        assert place == len(bounds) or grams[-1] < tuple(bounds[place])
 
 
 def test_a_hash_that_two_words_share_is_not_taken(spark, scratch, monkeypatch):
@@ -129,7 +147,7 @@ def test_paths_are_whole_chains(spark, scratch):
     rows = frame(spark, [(f"{head} {passage} {tail}", "en") for head, tail in (("a b", "c"), ("d", "e f"), ("g", ""))])
     words = C.words_counted(rows).where("f >= 3").toPandas()
     words["id"] = range(1, len(words) + 1)
-    grams = scratch.save(C.flows(C.windows(rows, words, None), 3), "grams")
+    grams = scratch.save(C.flows(C.windows(rows, words, None).withColumn("range", C.F.lit(0)).coalesce(1).sortWithinPartitions(*C.GRAM), 3), "grams")
     found = C.paths(grams, scratch)
     assert found.count() == 36 and found.select("path").distinct().count() == 1
     assert sorted(row.place for row in found.collect()) == list(range(36))
