@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +17,7 @@ from railpulse.plans.tof import run_tof
 from railpulse.session import Scratch
 from railpulse.sinks.files import Zones, claim_batch
 from railpulse.sources.dumps import Dimensions
-from railpulse.sources.readings import MISFIT, read_readings, with_arrival
+from railpulse.sources.readings import MISFIT, files_of, read_readings
 
 
 UTC = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
@@ -79,5 +80,12 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
 
 def run_files(spark: SparkSession, family: str, path: str | list[str], dims: Dimensions, zones: Zones,
               batch: int, **options) -> RowCounts:
-    """``run_family`` over raw files."""
-    return run_family(family, with_arrival(read_readings(spark, path, family, misfits=True)), dims, zones, batch, **options)
+    """``run_family`` over raw files, each by its own header. The batch is owned by the set of its files: the same
+    files may replace it, others may not."""
+    options.setdefault("owner", f"files {files_mark(spark, path)}")
+    return run_family(family, read_readings(spark, path, family, misfits=True, arrival=True), dims, zones, batch, **options)
+
+
+def files_mark(spark: SparkSession, path: str | list[str]) -> str:
+    """A digest of the names of all files in ``path``."""
+    return hashlib.sha256("\n".join(files_of(spark, path)).encode()).hexdigest()

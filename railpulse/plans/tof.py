@@ -11,6 +11,7 @@ from railpulse.operators.lookups import with_dimension
 from railpulse.session import Scratch
 from railpulse.sinks.files import Zones, write_client, write_csv, write_trusted
 from railpulse.sinks.keyed import put_batch
+from railpulse.sinks.versions import put_version
 
 OCCUPIED_BELOW_MM = 1750
 BLOCK = 4
@@ -88,7 +89,7 @@ def run_tof(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int,
     trusted, kept = write_trusted(clean_typed(readings), zones, "tof", batch)
     sums = scratch.save(tof_block_sums(trusted), "tof-blocks")
     occupancy = scratch.save(_occupancy(frame_counts_from_blocks(sums), metadata), "tof-occupancy")
-    write_csv(occupancy, zones.occupancy())
+    put_version(occupancy, zones.occupancy(), write=write_csv)
     put_batch(tof_records(occupancy), zones.table("TofData"), batch)
     write_client(by_block(_block_map(sums, metadata)), zones, "tof", batch)
     return kept

@@ -36,6 +36,9 @@ FACT_KEYS = {
     "TofData": ["sensor_id", "datahora"],
 }
 
+# The fact table of each family that has one.
+TABLE_OF = {"dht11": "DHT11Data", "dps": "DpsData", "piezo": "PiezoData", "tof": "TofData"}
+
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 

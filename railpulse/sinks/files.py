@@ -38,7 +38,7 @@ class Zones:
         return f"{self.root}/tables/{name}"
 
     def occupancy(self) -> str:
-        """The occupancy extract is one snapshot, replaced by every ToF run."""
+        """The occupancy extract is one snapshot, a versioned table of CSV that every ToF run replaces."""
         return f"{self.root}/client/ocupacao"
 
     def rejects(self, family: str, batch: int) -> str:
@@ -48,6 +48,10 @@ class Zones:
         """Rows with values that do not fit the family's types."""
         return _batch(f"{self.root}/misfits/{family}", batch)
 
+    def outcomes(self, batch: int | None = None) -> str:
+        """What became of each raw file that a routed ingest has met."""
+        return _batch(f"{self.root}/outcomes", batch)
+
     def owner(self, family: str, batch: int | None = None) -> str:
         """The small file that says who wrote a batch."""
         return _batch(f"{self.root}/owners/{family}", batch)
@@ -70,16 +74,24 @@ def claim_batch(spark: SparkSession, zones: Zones, family: str, batch: int, owne
 
 def next_batch(spark: SparkSession, zones: Zones, family: str) -> int:
     """The number after the highest that any writer of the family has taken."""
-    folder, store = _stored(spark, zones.owner(family))
+    folder, store = stored(spark, zones.owner(family))
     if not store.exists(folder):
         return 0
     names = [status.getPath().getName() for status in store.listStatus(folder)]
     return max((int(name.partition("=")[2]) + 1 for name in names if name.startswith("batch=")), default=0)
 
 
+def drop_batch(spark: SparkSession, zones: Zones, family: str, batch: int, table: str | None) -> None:
+    """Remove what a batch has written, but for its owner."""
+    places = [zones.trusted(family, batch), zones.client(family, batch), zones.rejects(family, batch), zones.misfits(family, batch)]
+    for path in [*places, *([_batch(zones.table(table), batch)] if table else [])]:
+        place, store = stored(spark, path)
+        store.delete(place, True)
+
+
 def read_note(spark: SparkSession, path: str) -> str | None:
     """The text of a small file, or None where there is none."""
-    place, store = _stored(spark, path)
+    place, store = stored(spark, path)
     if not store.exists(place):
         return None
     stream = store.open(place)
@@ -91,13 +103,13 @@ def read_note(spark: SparkSession, path: str) -> str | None:
 
 def write_note(spark: SparkSession, path: str, text: str) -> None:
     """A small new file; fails if it is there."""
-    place, store = _stored(spark, path)
+    place, store = stored(spark, path)
     stream = store.create(place, False)
     stream.writeUTF(text)
     stream.close()
 
 
-def _stored(spark: SparkSession, path: str):
+def stored(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType, StringType, StructField, StructType
 
-from railpulse.schemas import DIMENSIONS, dimension_schema
+from railpulse.schemas import dimension_schema
+from railpulse.sinks.versions import current, put_version, read_version
+
 
 def dump_schema(flat: StructType) -> StructType:
     """The nested schema of a dump that holds the attributes of ``flat``."""
@@ -56,22 +58,18 @@ def load_dimensions(spark: SparkSession, dumps: dict[str, str], table_dir: str)
     """Put dumps, given by table name, into one dimension table each, by the table's key.
 
     An item replaces the row of its key; rows of other keys stay. A key that a dump repeats keeps
-    its last item. A table is written beside the old one and only
-    then takes its place, so a damaged dump leaves the old table as it is.
+    its last item. A table is a versioned one: a damaged dump, or a load that stops anywhere, leaves the old
+    rows or the new ones whole, and of two loads at a time one gets ``VersionTaken`` and may be run again.
     """
-    jvm = spark.sparkContext._jvm
     for table, path in dumps.items():
         flat, place = dimension_schema(table), f"{table_dir.rstrip('/')}/{table}"
         dump = unwrap_items(last_of_each_key(_read_raw(spark, path, flat), flat), flat)
-        old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (place, f"{place}.new"))
-        store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if store.exists(old):
+        number, old = current(spark, place)
+        if old:
             key = flat[0].name
-            rest = spark.read.schema(flat).parquet(place).join(dump.select(key), key, "left_anti")
+            rest = spark.read.schema(flat).parquet(old).join(dump.select(key), key, "left_anti")
             dump = dump.unionByName(rest)
-        dump.write.mode("overwrite").parquet(f"{place}.new")
-        store.delete(old, True)
-        store.rename(new, old)
+        put_version(dump, place, after=number)
 
 
 @dataclass(frozen=True)
@@ -85,9 +83,13 @@ class Dimensions:
     lines: DataFrame
 
 
+def read_dimension(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
+    return read_version(spark, f"{table_dir.rstrip('/')}/{name}", dimension_schema(name))
+
+
 def read_dimensions(spark: SparkSession, table_dir: str) -> Dimensions:
     def table(name):
-        return spark.read.schema(DIMENSIONS[name]).parquet(f"{table_dir.rstrip('/')}/{name}")
+        return read_dimension(spark, table_dir, name)
 
     return Dimensions(table("SensorMetadata"), table("Circuito"), table("PiezoSensorDistancia"),
                       table("Trilho"), table("Linha"))

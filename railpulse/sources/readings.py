@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import functools
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, NumericType, StringType, StructField, StructType, TimestampType
@@ -12,6 +16,7 @@ from railpulse.schemas import TIME_FORMAT, readings_schema
 
 # The line of a row whose values do not fit the contract; null for all others.
 MISFIT = "_misfit"
+HEADERS_AT_A_TIME = 32
 
 
 def typed_header(header: list[str], family: str) -> StructType:
@@ -28,21 +33,77 @@ def with_misfits(schema: StructType) -> StructType:
     return StructType([*schema, StructField(MISFIT, StringType())])
 
 
-def read_readings(spark: SparkSession, path: str | list[str], family: str, misfits: bool = False) -> DataFrame:
-    """Files of one family. Columns go by name; their order is that of the first header.
+def files_of(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files that a read of ``path`` takes, in order of their names; their content is not read."""
+    jvm = spark.sparkContext._jvm
+    return sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString() for uri in spark.read.text(path).inputFiles())
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, packed or not, of a megabyte at most; None if it is empty."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        plain = jvm.org.apache.commons.io.input.BoundedInputStream(codec.createInputStream(stream) if codec else stream, 1 << 20)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The names in a file's header; none if the file is empty."""
+    line = first_line(spark, path)
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ())) if line else ()
+
+
+def headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, ...]]:
+    """The header of each file. Only first lines pass the driver, several at a time."""
+    with ThreadPoolExecutor(HEADERS_AT_A_TIME) as pool:
+        return list(pool.map(lambda path: header_of(spark, path), paths))
 
-    Types come from the contract, so the data is not scanned for them. A file whose header
-    differs from the first one fails the read: its columns would land in the wrong places. With
-    ``misfits`` the column ``MISFIT`` holds the lines of rows that do not fit.
+
+def read_readings(spark: SparkSession, path: str | list[str], family: str, misfits: bool = False, arrival: bool = False) -> DataFrame:
+    """Files of one family, each read by its own header: columns go by name.
+
+    Types come from the contract, so the data is not scanned for them. Files with the same header are one scan, and the
+    scans are put together by name: the order is that of the first file's header, and a column that the contract
+    does not ask for is empty text, not null, for files that lack it, so that cleaning keeps their rows. A file that lacks a column of the contract fails the read; an empty one has no
+    rows. With ``misfits`` the column ``MISFIT`` holds the lines of rows that do not fit, with ``arrival`` rows
+    carry the file they came from.
     """
     if family == "optical":
-        return read_optical(spark, path)
-    header = spark.read.option("header", True).csv(path).columns
-    schema = typed_header(header, family)
-    return (
-        spark.read.option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", MISFIT)
-        .schema(with_misfits(schema) if misfits else schema).csv(path)
-    )
+        rows = read_optical(spark, path)
+        return with_arrival(rows) if arrival else rows
+    files = files_of(spark, path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers(spark, files)):
+        by_header.setdefault(header, []).append(file)
+    by_header.pop((), None)
+    extra = list(dict.fromkeys(name for header in by_header for name in header if name not in readings_schema(family).names))
+
+    def scan(header, files):
+        try:
+            schema = typed_header(list(header), family)
+        except ValueError as lacking:
+            raise ValueError(f"{lacking}: {files if isinstance(files, str) else files[0]}") from None
+        rows = (spark.read.option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", MISFIT)
+                .schema(with_misfits(schema) if misfits else schema).csv(files))
+        rows = rows.select("*", *file_columns()) if arrival else rows
+        return rows.withColumns({name: F.lit("") for name in extra if name not in header})
+
+    if len(by_header) == 1:
+        (header, files), = by_header.items()
+        # As given, so that the files need not be named one by one; those without a line add nothing.
+        rows = scan(header, path if isinstance(path, str) else files)
+    elif by_header:
+        rows = functools.reduce(DataFrame.unionByName, [scan(*item) for item in by_header.items()])
+    else:
+        schema = readings_schema(family)
+        rows = spark.createDataFrame([], with_misfits(schema) if misfits else schema)
+        rows = rows.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in FILE_TYPES.items()]) if arrival else rows
+    return rows.withColumn("source_row", F.monotonically_increasing_id()) if arrival else rows
 
 
 def looks_like_id(name: str) -> bool:
@@ -75,6 +136,10 @@ FILE_KEY = ["source_time", "source_id", "source_id2"]
 ARRIVAL = [*FILE_KEY, "source_block", "source_row"]
 
 
+# All columns that ``file_columns`` makes.
+FILE_TYPES = {"source_file": "string", "source_time": "bigint", "source_id": "bigint", "source_id2": "bigint", "source_block": "bigint"}
+
+
 def file_columns() -> list[Column]:
     """The columns that name a row's file; for plain file reads and file streams."""
     path = F.col("_metadata.file_path")

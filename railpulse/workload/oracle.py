@@ -267,11 +267,21 @@ def oracle() -> dict[str, str]:
             SELECT {PAIR_COLUMNS}, VELOCIDADE, 'S' || ID_SENSOR_ORIGEM AS sensor_id FROM segments
             WHERE 'S' || ID_SENSOR_ORIGEM NOT IN (
                 SELECT t.sensor_id FROM track t JOIN line l ON l.linha_id = t.linha_id AND l.cor <> 'ASIA')""",
-        "csv_rejects": """SELECT user_id AS sensor_id, CASE WHEN event_id % 7 = 0 THEN 'misfit' ELSE 'kept' END AS state,
-            2 * count(*) AS n_rows FROM events
-            WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2""",
-        "batch_then_stream": """SELECT user_id AS sensor_id, 3 * count(*) AS rows_written FROM events
-            WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL GROUP BY user_id""",
+        "csv_rejects": f"""SELECT user_id AS sensor_id, {shown('ts')} AS "timestamp",
+            CASE WHEN event_id % 7 <> 0 THEN round(value, 5) END AS temperature_c,
+            CASE WHEN event_id % 7 <> 0 THEN round(value / 7, 5) ELSE value / 7 END AS humidity_percent,
+            CASE WHEN event_id % 7 = 0 THEN 'misfit' ELSE 'kept' END AS state
+            FROM events, range(2) WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL""",
+        "batch_then_stream": f"""{dht} SELECT sensor_id, "timestamp", temperature_c, humidity_percent FROM dht, range(3)""",
+        "batch_taken": f"""{dht} SELECT sensor_id, "timestamp", temperature_c, humidity_percent FROM dht""",
+        "stream_bad_file": f"""{dht} SELECT 'dht11' AS family, CAST(sensor_id AS DOUBLE) AS id, temperature_c AS value, 'taken' AS reason FROM dht
+            UNION ALL SELECT 'omron', CAST(l_suppkey AS DOUBLE), round(l_discount * l_tax / 3, 5), 'taken' FROM lineitem
+            UNION ALL SELECT 'dps', NULL, NULL, 'dps file lacks the columns correnteSurto_kA'""",
+        "csv_mixed_headers": f"""{pairs} SELECT trem_id, sensor_id, pressure_kpa, {shown('t')} AS dataHora FROM piezo""",
+        "dimension_load": f"{with_(METADATA)} SELECT * FROM meta",
+        "dimension_upsert": f"""{with_(METADATA)} SELECT sensor_id, trem_id,
+            CASE WHEN CAST(substr(sensor_id, 2) AS BIGINT) % 2 = 0 THEN carro_id ELSE 'C0' END AS carro_id
+            FROM meta WHERE CAST(substr(sensor_id, 2) AS BIGINT) % 2 = 0 OR CAST(substr(sensor_id, 2) AS BIGINT) % 3 <> 0""",
         "dht11_registry": f"""{with_(DHT11_CLEAN, METADATA)} SELECT m.trem_id, d."timestamp" AS datahora,
             m.carro_id, d.sensor_id, d.temperature_c AS temperatura, d.humidity_percent AS umidade
             FROM dht_keyed d JOIN meta m ON m.sensor_id = d.sensor_id""",
@@ -309,6 +319,7 @@ def oracle() -> dict[str, str]:
     sql["piezo_run"] = registry.replace("FROM segments)", """FROM segments
         QUALIFY row_number() OVER (PARTITION BY ID_TREM ORDER BY t1 DESC, ID_SENSOR_ORIGEM DESC,
             ID_SENSOR_DESTINO DESC, PRESSAO DESC, VELOCIDADE DESC NULLS LAST) = 1)""") + "SELECT * FROM registry"
+    sql["occupancy_snapshot"] = sql["tof_occupancy"]
     sql["tof_run"] = f"SELECT * RENAME (ocupacao_media AS ocupacao) FROM ({sql['tof_occupancy']})"
     sql["dps_run"] = f"""{sql['dps_registry']} QUALIFY row_number() OVER (
         PARTITION BY sensor_id, dataHora ORDER BY picoTensao_kV DESC) = 1"""

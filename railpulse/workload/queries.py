@@ -14,11 +14,12 @@ from railpulse.plans import dht11, dps, passthrough, piezo, tof
 from railpulse.plans.runs import run_family, run_files
 from railpulse.schemas import FACT_KEYS, dimension_schema
 from railpulse.session import Scratch
-from railpulse.sinks.files import Zones, write_csv
+from railpulse.sinks.files import BatchTaken, Zones, write_csv
 from railpulse.sinks.keyed import read_latest, upsert_latest
-from railpulse.sources.dumps import dump_schema, unwrap_items
+from railpulse.sinks.versions import current
+from railpulse.sources.dumps import dump_schema, load_dimensions, read_dimension, unwrap_items
 from railpulse.sources.readings import read_optical, read_readings, row_count, without_arrival
-from railpulse.streaming.ingest import file_stream, start_ingest
+from railpulse.streaming.ingest import file_stream, start_ingest, start_routed
 from railpulse.workload import tables as T
 
 QUERIES = {}
@@ -85,6 +86,54 @@ def typed_attr_unwrap(spark, sf_dir):
     return unwrap_items(parsed, flat)
 
 
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """Files of one family in three column orders, some with a column of their own, read as one."""
+    folder, rows = Scratch(spark).place("mixed"), T.piezo_raw(spark, sf_dir)
+    forms = [rows.columns, rows.columns[::-1], ["pressure_kpa", "note", "trem_id", "dataHora", "sensor_id"]]
+    for rest, columns in enumerate(forms):
+        own = rows.where(F.pmod(F.xxhash64("trem_id", "dataHora"), F.lit(3)) == rest).withColumn("note", F.lit("T1"))
+        write_csv(own.select(*columns), f"{folder}/{rest}")
+    read = read_readings(spark, [f"{folder}/{rest}" for rest in range(len(forms))], "piezo")
+    return cleaning.clean(read.drop("note"))
+
+
+def _dump(spark, items, path) -> str:
+    """Dimension rows as dump files of at most 1,000 items; ``piece`` parts them."""
+    attributes = [c for c in items.columns if c != "piece"]
+    item = F.struct(*[F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("S"))).alias(c) for c in attributes])
+    pieces = items.groupBy("piece").agg(F.to_json(F.struct(F.collect_list(item).alias("Items"))).alias("value"))
+    pieces.write.partitionBy("piece").text(path)
+    return path
+
+
+def _sensors(spark, sf_dir):
+    number = F.substring("sensor_id", 2, 20).cast("long")
+    return T.metadata(spark, sf_dir).withColumns({"number": number, "piece": F.floor(number / 1000)})
+
+
+@query
+def dimension_load(spark, sf_dir):
+    """Sensors dumped, loaded to a dimension table, and read from it."""
+    scratch = Scratch(spark)
+    path = _dump(spark, _sensors(spark, sf_dir).drop("number"), scratch.place("dump"))
+    tables = scratch.place("dims")
+    load_dimensions(spark, {"SensorMetadata": path}, tables)
+    return read_dimension(spark, tables, "SensorMetadata")
+
+
+@query
+def dimension_upsert(spark, sf_dir):
+    """Two thirds of the sensors loaded with another car, then every second sensor as it is."""
+    scratch, tables = Scratch(spark), Scratch(spark).place("dims")
+    sensors = _sensors(spark, sf_dir)
+    old = sensors.where("number % 3 <> 0").withColumn("carro_id", F.lit("C0")).drop("number")
+    new = sensors.where("number % 2 = 0").drop("number")
+    for rows in (old, new):
+        load_dimensions(spark, {"SensorMetadata": _dump(spark, rows, scratch.place("dump"))}, tables)
+    return read_dimension(spark, tables, "SensorMetadata")
+
+
 # Cleaning
 
 @query
@@ -203,7 +252,7 @@ def pair_sliced(spark, sf_dir):
 
 @query
 def pair_self_join(spark, sf_dir):
-    return _rendered(piezo.pair_by_self_join(cleaning.clean_typed(T.piezo_raw(spark, sf_dir))))
+    return _rendered(piezo.pairs_by_number(cleaning.clean_typed(T.piezo_raw(spark, sf_dir))))
 
 
 @query
@@ -409,6 +458,18 @@ def tof_run(spark, sf_dir):
     return _run(spark, sf_dir, "tof", T.tof_raw, "TofData")
 
 
+@query
+def occupancy_snapshot(spark, sf_dir):
+    """The occupancy extract that the second of two runs leaves."""
+    scratch = Scratch(spark)
+    zones, dims = Zones(scratch.place("zones")), T.dimensions(spark, sf_dir)
+    rows = T.tof_raw(spark, sf_dir)
+    for batch, part in enumerate((rows.where("y < 0"), rows)):
+        run_files(spark, "tof", csv_of(spark, part, "tof"), dims, zones, batch)
+    extract = spark.read.option("header", True).csv(current(spark, zones.occupancy())[1])
+    return extract.withColumn("ocupacao_media", F.col("ocupacao_media").cast("double"))
+
+
 @query
 def dps_run(spark, sf_dir):
     return _run(spark, sf_dir, "dps", T.dps_raw, "DpsData")
@@ -477,6 +538,9 @@ def stream_upsert(spark, sf_dir):
     return read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"])
 
 
+READING = ["sensor_id", "timestamp", "temperature_c", "humidity_percent"]
+
+
 @query
 def csv_rejects(spark, sf_dir):
     """Rows kept, and rows set aside because a value is no number, of a batch and an ingest of raw files."""
@@ -485,9 +549,9 @@ def csv_rejects(spark, sf_dir):
     damaged = T.dht11_damaged(spark, sf_dir)
     run_files(spark, "dht11", csv_of(spark, damaged, "dht11"), dims, zones, 1)
     _finish(start_ingest(spark, _raw_files(spark, damaged, "timestamp", "dht11", scratch), "dht11", dims, zones, scratch.place("state")))
-    kept = spark.read.parquet(zones.trusted("dht11")).select("sensor_id", F.lit("kept").alias("state"))
-    aside = spark.read.parquet(zones.misfits("dht11")).select("sensor_id", F.lit("misfit").alias("state"))
-    return kept.unionAll(aside).groupBy("sensor_id", "state").agg(F.count(F.lit(1)).alias("n_rows"))
+    kept = spark.read.parquet(zones.trusted("dht11")).select(*READING, F.lit("kept").alias("state"))
+    aside = spark.read.parquet(zones.misfits("dht11")).select(*READING, F.lit("misfit").alias("state"))
+    return _rendered(kept.unionAll(aside))
 
 
 @query
@@ -499,8 +563,40 @@ def batch_then_stream(spark, sf_dir):
     run_files(spark, "dht11", csv_of(spark, rows, "dht11"), dims, zones, 0)
     for _ in range(2):
         _finish(start_ingest(spark, _raw_files(spark, rows, "timestamp", "dht11", scratch), "dht11", dims, zones, scratch.place("state")))
-    trusted = spark.read.parquet(zones.trusted("dht11"))
-    return trusted.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("rows_written"))
+    return _rendered(spark.read.parquet(zones.trusted("dht11")).select(*READING))
+
+
+@query
+def batch_taken(spark, sf_dir):
+    """Rows of two batch runs over different files, the second of which asks for the number of the first and is refused it."""
+    scratch = Scratch(spark)
+    zones, dims = Zones(scratch.place("zones")), T.dimensions(spark, sf_dir)
+    rows = T.dht11_raw(spark, sf_dir)
+    even, odd = (csv_of(spark, rows.where(F.col("sensor_id") % 2 == rest), "dht11") for rest in (0, 1))
+    run_files(spark, "dht11", even, dims, zones, 1)
+    try:
+        run_files(spark, "dht11", odd, dims, zones, 1)
+    except BatchTaken:
+        run_files(spark, "dht11", odd, dims, zones, 2)
+    run_files(spark, "dht11", even, dims, zones, 1)
+    return _rendered(spark.read.parquet(zones.trusted("dht11")).select(*READING))
+
+
+@query
+def stream_bad_file(spark, sf_dir):
+    """One ingest of three families: files in another column order are taken, files that lack a column set aside."""
+    scratch = Scratch(spark)
+    zones, dims = Zones(scratch.place("zones")), T.dimensions(spark, sf_dir)
+    raw = _raw_files(spark, T.dht11_raw(spark, sf_dir), "timestamp", "dht11", scratch)
+    omron = T.omron_raw(spark, sf_dir)
+    write_csv(omron.select(*omron.columns[::-1]), f"{raw}/omron")
+    write_csv(T.dps_raw(spark, sf_dir).drop("correnteSurto_kA"), f"{raw}/a/dps")
+    _finish(start_routed(spark, raw, dims, zones, scratch.place("state")))
+    temperature = spark.read.parquet(zones.trusted("dht11")).select(F.lit("dht11").alias("family"), F.col("sensor_id").alias("id"), F.col("temperature_c").alias("value"))
+    matrix = spark.read.parquet(zones.trusted("omron")).select(F.lit("omron"), F.col("plataforma"), F.col("valor-matriz"))
+    aside = spark.read.parquet(zones.outcomes()).where("outcome = 'set aside'").select("family", "reason").distinct()
+    taken = temperature.unionAll(matrix).withColumn("reason", F.lit("taken"))
+    return taken.unionByName(aside, allowMissingColumns=True).withColumn("id", F.col("id").cast("double"))
 
 
 @query

@@ -99,7 +99,7 @@ def test_client_headers_and_unknown_tracks(spark, distances):
 def test_both_forms_of_pairing_agree_within_files(spark):
     df = events(spark, [(t, s, float(s), at(f"10:{m:02d}:00"), f) for f in "ab" for t in (1, 2)
                         for s, m in ((6, 1), (9, 2), (7, 3), (6, 3), (6, 4))], ", source_id string")
-    assert rows_of(piezo.pair_by_self_join(df)) == rows_of(piezo.pair_events(df)) != []
+    assert rows_of(piezo.pairs_by_number(df)) == rows_of(piezo.pair_events(df)) != []
 
 
 def test_tracks_are_labelled_in_sql(spark):

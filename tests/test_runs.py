@@ -1,5 +1,6 @@
 """Whole runs per family from raw CSV, as batches and as a stream."""
 
+import gzip
 import os
 
 import pytest
@@ -12,8 +13,9 @@ from railpulse.schemas import FACT_KEYS
 from railpulse.session import Scratch, shared_folder
 from railpulse.sinks.files import BatchTaken, Zones
 from railpulse.sinks.keyed import compact, last_written, put_batch, read_latest, upsert_latest
+from railpulse.sinks.versions import current
 from railpulse.sources.dumps import Dimensions, dimension_from_rows
-from railpulse.streaming.ingest import start_all, start_ingest
+from railpulse.streaming.ingest import start_all, start_ingest, start_routed
 from tests.test_sources import put
 
 
@@ -49,7 +51,7 @@ def test_tof(spark, dims, zones, tmp_path):
     points = "".join(f"1,2024-01-01 10:00:00,{y},{x},{1750 if x == 0 else 1000}\n" for y in range(4) for x in range(8))
     path = put(f"{tmp_path}/tof.csv", head + points + "3,2024-01-01 10:00:00,-1,0,10\n,2024-01-01 10:00:00,0,0,1\n")
     assert run_files(spark, "tof", path, dims, zones, 1) == RowCounts(read=34, kept=33)
-    assert csv(spark, zones.occupancy()) == (
+    assert csv(spark, current(spark, zones.occupancy())[1]) == (
         ["sensor_id", "trem_id", "carro_id", "datahora", "ocupacao_media"],
         [("S1", "T1", "C1", "2024-01-01 10:00:00", "87.5"), ("S3", None, None, "2024-01-01 10:00:00", "100.0")])
     assert csv(spark, zones.client("tof", 1)) == (
@@ -302,3 +304,86 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     folder = shared_folder(spark)
     assert Scratch(spark).path.startswith(folder)
     assert folder == shared_folder(spark)
+
+
+# One ingest for all families
+
+DHT = "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n1,18,24,2024-01-01 10:00:00,20.5,40\n"
+
+
+def routed(spark, tmp_path, dims, zones, state="state", **options):
+    stream = start_routed(spark, f"{tmp_path}/in", dims, zones, f"{tmp_path}/{state}", **options)
+    assert stream.awaitTermination(300)
+    rows = spark.read.parquet(zones.outcomes()).collect()
+    return {row.path.rsplit("/in/")[1]: (row.family, row.outcome, row.reason) for row in rows}
+
+
+def test_a_bad_file_is_set_aside_and_the_others_go_on(spark, dims, zones, tmp_path):
+    inbox = f"{tmp_path}/in"
+    put(f"{inbox}/piezo 1.csv", PIEZO)
+    put(f"{inbox}/piezo_back.csv", PIEZO.splitlines()[0] + "\n" + BACK)
+    put(f"{inbox}/piezo_lacking.csv", "trem_id,sensor_id,dataHora\n1,6,2024-01-01 10:00:00\n")
+    put(f"{inbox}/piezo_twice.csv", "trem_id,trem_id,sensor_id,pressure_kpa,dataHora\n1,1,6,5,2024-01-01 10:00:00\n")
+    put(f"{inbox}/piezo_empty.csv", "")
+    put(f"{inbox}/deep/piezo_turned.csv", "dataHora,pressure_kpa,sensor_id,trem_id\n2024-01-01 10:00:00,1,6,5\n2024-01-01 10:00:50,2,9,5\n")
+    put(f"{inbox}/piezo_damaged.csv.gz", "no gzip")
+    with gzip.open(f"{inbox}/dht11_cut.csv.gz", "wb") as out:
+        out.write((DHT + DHT.splitlines()[1] + "\n" * 3).encode() + os.urandom(100_000))
+    with open(f"{inbox}/dht11_cut.csv.gz", "r+b") as file:
+        file.truncate(60_000)
+    put(f"{inbox}/dht11_good.csv", DHT)
+    put(f"{inbox}/notes.csv", "a,b\n1,2\n")
+    got = routed(spark, tmp_path, dims, zones)
+    taken = {name for name, (_, outcome, _) in got.items() if outcome == "taken"}
+    assert taken == {"piezo 1.csv", "deep/piezo_turned.csv", "dht11_good.csv"} and "piezo_empty.csv" not in got
+    assert got["notes.csv"] == (None, "no family", None)
+    assert got["piezo_back.csv"][1:] == ("set aside", "segments at unknown tracks: 1")
+    assert got["piezo_lacking.csv"][1:] == ("set aside", "piezo file lacks the columns pressure_kpa")
+    assert "repeats the columns trem_id" in got["piezo_twice.csv"][2]
+    assert "cannot be read" in got["piezo_damaged.csv.gz"][2] and "cannot be read" in got["dht11_cut.csv.gz"][2]
+    assert [row[0] for row in latest(spark, zones, "PiezoData")] == ["T1", "T2", "T5"]
+    assert spark.read.parquet(zones.trusted("piezo")).count() == 6 and spark.read.parquet(zones.trusted("dht11")).count() == 1
+    put(f"{inbox}/piezo_late.csv", PIEZO.replace("\n1,", "\n8,"))
+    assert routed(spark, tmp_path, dims, zones)["piezo_late.csv"][1] == "taken"
+    assert spark.read.parquet(zones.trusted("piezo")).count() == 10 and len(routed(spark, tmp_path, dims, zones)) == 10
+
+
+def test_only_bad_files_leave_nothing_behind(spark, dims, zones, tmp_path):
+    put(f"{tmp_path}/in/piezo_back.csv", PIEZO.splitlines()[0] + "\n" + BACK)
+    assert routed(spark, tmp_path, dims, zones)["piezo_back.csv"][1] == "set aside"
+    assert not os.path.exists(zones.trusted("piezo", 0)) and not os.path.exists(f"{zones.table('PiezoData')}/batch=000000000")
+    put(f"{tmp_path}/in/piezo_good.csv", PIEZO)
+    routed(spark, tmp_path, dims, zones)
+    assert latest(spark, zones, "PiezoData") == SEGMENTS
+
+
+def test_a_micro_batch_that_is_repeated_replaces_itself(spark, dims, zones, tmp_path, monkeypatch):
+    """Outcomes fail to be written once, after the families have run."""
+    put(f"{tmp_path}/in/piezo.csv", PIEZO)
+    put(f"{tmp_path}/in/dht11.csv", DHT)
+    place = zones.outcomes
+    monkeypatch.setattr(Zones, "outcomes", lambda self, batch=None: "nowhere://x" if batch is not None else place())
+    with pytest.raises(Exception):
+        routed(spark, tmp_path, dims, zones)
+    monkeypatch.undo()
+    assert {outcome for _, outcome, _ in routed(spark, tmp_path, dims, zones).values()} == {"taken"}
+    assert spark.read.parquet(zones.trusted("piezo")).count() == 4 and spark.read.parquet(zones.trusted("dht11")).count() == 1
+
+
+def test_a_failure_of_no_file_stops_the_ingest(spark, dims, zones, tmp_path):
+    put(f"{tmp_path}/in/piezo.csv", PIEZO)
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        with pytest.raises(Exception, match="UTC"):
+            routed(spark, tmp_path, dims, zones)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_batch_belongs_to_its_files(spark, dims, zones, tmp_path):
+    first, other = put(f"{tmp_path}/piezo_a.csv", PIEZO), put(f"{tmp_path}/piezo_b.csv", PIEZO.replace("\n1,", "\n3,"))
+    run_files(spark, "piezo", first, dims, zones, 1)
+    with pytest.raises(BatchTaken):
+        run_files(spark, "piezo", other, dims, zones, 1)
+    run_files(spark, "piezo", [first], dims, zones, 1)
+    assert latest(spark, zones, "PiezoData") == SEGMENTS

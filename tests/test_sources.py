@@ -1,10 +1,11 @@
+import gzip
 import json
 import os
 
 import pytest
 
 from railpulse.schemas import dimension_schema
-from railpulse.sources.dumps import load_dimensions, read_dimensions, read_typed_dump
+from railpulse.sources.dumps import load_dimensions, read_dimension, read_dimensions, read_typed_dump
 from railpulse.sources.readings import ARRIVAL, raw_keys, read_optical, read_readings, row_count, with_arrival
 
 
@@ -37,11 +38,29 @@ def test_a_missing_column_is_named(spark, tmp_path):
         read_readings(spark, put(f"{tmp_path}/a.csv", "trem_id,sensor_id,pressure_kpa\n1,6,1\n"), "piezo")
 
 
-def test_a_file_with_another_header_fails_instead_of_shifting_columns(spark, tmp_path):
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
     put(f"{tmp_path}/in/a.csv", PIEZO)
-    put(f"{tmp_path}/in/b.csv", "sensor_id,trem_id,pressure_kpa,dataHora\n6,1,10.5,2024-01-01 10:00:00\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_readings(spark, f"{tmp_path}/in", "piezo").collect()
+    put(f"{tmp_path}/in/b b.csv", "sensor_id,trem_id,pressure_kpa,dataHora\n6,1,10.5,2024-01-01 10:00:00\n")
+    put(f"{tmp_path}/in/c.csv", "note,\"sensor_id\",trem_id,pressure_kpa,dataHora\nx,6,1,10.5,2024-01-01 10:00:00\nlost,6,1,10.5\n")
+    put(f"{tmp_path}/in/empty.csv", "")
+    with gzip.open(f"{tmp_path}/in/d.csv.gz", "wt") as out:
+        out.write("dataHora,sensor_id,trem_id,pressure_kpa\n2024-01-01 10:00:00,6,1,10.5\n")
+    rows = read_readings(spark, f"{tmp_path}/in", "piezo", misfits=True, arrival=True)
+    assert rows.columns[:6] == ["trem_id", "sensor_id", "pressure_kpa", "dataHora", "_misfit", "source_file"]
+    good = rows.where("_misfit is null")
+    assert {tuple(r) for r in good.select("trem_id", "sensor_id", "pressure_kpa").collect()} == {(1, 6, 10.5)} and len(good.collect()) == 4
+    assert sorted(r.note for r in good.collect()) == ["", "", "", "x"]
+    assert [r._misfit for r in rows.collect() if r._misfit] == ["lost,6,1,10.5"]
+    assert len({r.source_file for r in good.collect()}) == 4 == len({(r.source_id, r.source_id2) for r in good.collect()})
+
+
+def test_only_empty_files_give_no_rows(spark, tmp_path):
+    rows = read_readings(spark, put(f"{tmp_path}/in/a.csv", ""), "piezo", misfits=True, arrival=True)
+    assert rows.count() == 0 and rows.columns == [*dimension_columns(PIEZO), "_misfit", "source_file", *ARRIVAL]
+
+
+def dimension_columns(text):
+    return text.splitlines()[0].split(",")
 
 
 def test_values_that_do_not_fit_become_null(spark, tmp_path):
@@ -78,7 +97,7 @@ def test_a_second_dump_adds_and_corrects(spark, tmp_path):
     for n, lines in enumerate(({"L1": "Azul", "L2": "Verde"}, {"L2": "Rubi", "L3": "Prata"})):
         items = [{"linha_id": {"S": k}, "cor": {"S": v}} for k, v in lines.items()]
         load_dimensions(spark, {"Linha": put(f"{tmp_path}/{n}.json", json.dumps({"Items": items}))}, tables)
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tables}/Linha").collect()) == [
+    assert sorted(tuple(r) for r in read_dimension(spark, tables, "Linha").collect()) == [
         ("L1", "Azul"), ("L2", "Rubi"), ("L3", "Prata")]
 
 
@@ -148,8 +167,8 @@ def test_damaged_and_repeating_dumps(spark, tmp_path):
     items = [{"linha_id": {"S": "L1"}, "cor": {"S": c}} for c in ("Azul", "Verde")]
     dump.write_text(json.dumps({"Items": items}))
     load_dimensions(spark, {"Linha": str(dump)}, tables)
-    assert [tuple(r) for r in spark.read.parquet(f"{tables}/Linha").collect()] == [("L1", "Verde")]
+    assert [tuple(r) for r in read_dimension(spark, tables, "Linha").collect()] == [("L1", "Verde")]
     dump.write_text(json.dumps({"Items": items})[:40])
     with pytest.raises(Exception):
         load_dimensions(spark, {"Linha": str(dump)}, tables)
-    assert [tuple(r) for r in spark.read.parquet(f"{tables}/Linha").collect()] == [("L1", "Verde")]
+    assert [tuple(r) for r in read_dimension(spark, tables, "Linha").collect()] == [("L1", "Verde")]
