@@ -2,7 +2,7 @@
 
 ``Window.partitionBy(group)`` puts a whole group in one task. A line has few sensors and a busy
 train or sensor may hold a third of all rows, so that task would not end at scale. Groups of a
-checked size take the plain window. Beyond it the rows are range-cut by (group, order) into
+checked size take the plain window, with one shuffle. The rows of larger groups are range-cut by (group, order) into
 slices of bounded size, each slice is numbered by itself, and one extra row per (group, slice)
 carries the running count and the last row on from slice to slice. Both ways give the same result.
 """
@@ -18,7 +18,6 @@ from railpulse.session import Scratch
 
 MAX_GROUP_ROWS = 10_000_000
 ROWS_PER_SLICE = 10_000_000
-MAX_SLICES = 50_000
 
 TIE, SLICE, POS, REAL, BEFORE = "_tie", "_slice", "_pos", "_real", "_before"
 
@@ -29,6 +28,11 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
+def heavy_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame:
+    """The keys of groups above the limit, at most one for every ``max_group_rows`` rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group_rows).select(*keys)
+
+
 def number_and_lag(
     df: DataFrame,
     keys: list[str],
@@ -43,19 +47,29 @@ def number_and_lag(
     """Add ``number`` (1, 2, … per group) and, for each ``new: old`` in ``lag``, the previous
     row's ``old`` as ``new`` (null on the first row of a group).
 
-    ``order`` should name enough columns to tell rows apart; rows equal in all of them are taken
-    in any order. One job counts the group sizes, so ``df`` should be a written table where it is
-    dear to compute. With ``max_group_rows=0`` that job is skipped and the sliced way is taken.
-    ``written`` says that ``df`` reads straight from files and need not be written once more.
+    Rows equal in all of ``order`` are told apart by their other columns, so only equal rows are taken in any
+    order. One job counts the group sizes, at the time of the call, so ``df`` should be a written table where it is
+    dear to compute. Only if a group is above ``max_group_rows`` are rows written to ``scratch`` (one of its own, if none is given,
+    which stays in the checkpoint folder), and only the rows of such groups take the sliced way. With ``max_group_rows=0``
+    nothing is counted and all rows take it. ``written`` says that ``df`` reads straight from files and
+    need not be written once more.
     """
     lag = lag or {}
     if set(lag.values()) & set(keys):
         raise ValueError("a group's keys are the same on the previous row")
+    order = [*order, *(c for c, kind in df.dtypes if c not in {*keys, *order} and "map<" not in kind)]
     if max_group_rows and largest_group(df, keys) <= max_group_rows:
         return _whole_groups(df, keys, order, lag, number)
     scratch = scratch or Scratch(df.sparkSession)
     rows = df if written else scratch.save(df, "rows")
-    return _sliced(rows, keys, order, lag, number, scratch, rows_per_slice)
+    if not max_group_rows:
+        return _sliced(rows, keys, order, lag, number, scratch, rows_per_slice)
+    # Written, so that the planner sees how small it is; beyond a broadcast both sides are sorted and merged.
+    heavy = scratch.save(heavy_groups(rows, keys, max_group_rows).select(*[F.col(k).alias(f"_heavy_{k}") for k in keys]), "heavy-groups")
+    same = [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys]
+    hot = scratch.save(rows.join(heavy, same, "left_semi"), "heavy-rows")
+    cold = rows.join(heavy, same, "left_anti")
+    return _sliced(hot, keys, order, lag, number, scratch, rows_per_slice).unionByName(_whole_groups(cold, keys, order, lag, number))
 
 
 def _whole_groups(df, keys, order, lag, number):
@@ -85,7 +99,7 @@ def cut_in_slices(rows, keys, order, scratch, rows_per_slice) -> DataFrame:
     The tie column lets even copies of one row spread over slices. It numbers rows of written
     files, so a repeated task numbers them the same way again.
     """
-    slices = min(MAX_SLICES, max(2, math.ceil(rows.count() / rows_per_slice)))
+    slices = max(2, math.ceil(rows.count() / rows_per_slice))
     cut = (
         rows.withColumn(TIE, F.monotonically_increasing_id())
         .repartitionByRange(slices, *keys, *order, TIE)

@@ -216,6 +216,8 @@ def oracle() -> dict[str, str]:
             WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.sensor_id = d.sensor_id)""",
         "pair_lag": all_pairs,
         "pair_sliced": all_pairs,
+        "pair_mixed": f"""{with_(piezo_clean().replace('SELECT user_id AS trem_id', 'SELECT CASE WHEN value < 10 THEN 0 ELSE user_id END AS trem_id', 1))}
+            SELECT {PAIR_COLUMNS} FROM pairs""",
         "pair_self_join": f"""{pairs} SELECT e.trem_id AS ID_TREM, o.sensor_id AS ID_SENSOR_ORIGEM,
             e.sensor_id AS ID_SENSOR_DESTINO, (o.pressure_kpa + e.pressure_kpa) / 2 AS PRESSAO,
             {shown('o.t')} AS DATAHORA_INICIO, {shown('e.t')} AS DATAHORA_FIM

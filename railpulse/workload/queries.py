@@ -250,6 +250,14 @@ def pair_sliced(spark, sf_dir):
     return _rendered(_pairs(spark, sf_dir, **SLICED))
 
 
+@query
+def pair_mixed(spark, sf_dir):
+    """A third of all events belong to one train: its rows are sliced, those of all other trains take the plain window."""
+    hot = F.when(F.col("pressure_kpa") < 10, 0).otherwise(F.col("trem_id"))
+    rows = cleaning.clean_typed(T.piezo_raw(spark, sf_dir).withColumn("trem_id", hot.cast("long")))
+    return _rendered(piezo.pair_events(rows, max_group_rows=rows.count() // 10, rows_per_slice=2500))
+
+
 @query
 def pair_self_join(spark, sf_dir):
     return _rendered(piezo.pairs_by_number(cleaning.clean_typed(T.piezo_raw(spark, sf_dir))))

@@ -62,6 +62,33 @@ def test_slices_are_joined_to_nothing(spark, scratch):
     assert "Join" not in plan and "SortAggregate" not in plan
 
 
+def test_only_hot_groups_are_sliced(spark, scratch):
+    """Keys 1 and 2 hold a third of the rows each; all others are shuffled once, by a plain window."""
+    rows = scratch.save(spark.createDataFrame(hot_rows(), SCHEMA), "rows")
+    out = number_and_lag(rows, ["k"], ["t", "v"], lag={"prev": "v"}, number="n", scratch=scratch, written=True,
+                         max_group_rows=100, rows_per_slice=60)
+    assert sorted([tuple(r) for r in out.select("k", "t", "v", "n", "prev").collect()], key=str) == brute(hot_rows())
+    tables = sorted(os.listdir(scratch.path.removeprefix("file:")))
+    assert tables == ["001-rows", "002-heavy-groups", "003-heavy-rows", "004-slices"]
+    read = lambda name: spark.read.parquet(f"{scratch.path}/{name}")
+    assert sorted(r[0] for r in read(tables[1]).collect()) == [1, 2]
+    assert {r.k for r in read(tables[3]).select("k").distinct().collect()} == {1, 2} and read(tables[3]).count() == 800
+    cold = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("LeftAnti")[0].rsplit("Union", 1)[-1].rsplit("Window", 1)[-1]
+    assert cold.count("Exchange") - cold.count("BroadcastExchange") == 1
+
+
+def test_heavy_groups_with_null_keys_and_ties(spark):
+    """A null key is a group like any other, and rows equal in the order go by their other columns either way."""
+    rows = [(None, 1, float(i % 7)) for i in range(60)] + [(3, 1, float(i % 5)) for i in range(40)] + [(None, 2, 0.0)]
+
+    def both(**sizes):
+        df = spark.createDataFrame(rows, SCHEMA)
+        return sorted([tuple(r) for r in number_and_lag(df, ["k"], ["t"], lag={"prev": "v"}, number="n", **sizes).collect()], key=str)
+
+    assert both() == both(max_group_rows=50, rows_per_slice=9) == both(max_group_rows=0, rows_per_slice=9)
+    assert run(spark, rows, max_group_rows=50, rows_per_slice=9) == brute(rows)
+
+
 def test_null_keys_form_a_group(spark):
     rows = [(None, 3, 1.0), (None, 1, 2.0), (4, 1, 3.0), (None, 2, 4.0)] * 5
     assert run(spark, rows, max_group_rows=0, rows_per_slice=3) == brute(rows)
