@@ -180,8 +180,9 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     """``docs`` with a column ``ids`` for the whole of ``text``; a null text counts as empty.
 
     Long texts are encoded once for all their copies and joined back by a digest; all other rows stay
-    where they are. All columns and repeated rows are kept; ``ids`` must not be among them.
+    where they are. All columns and repeated rows are kept; a column ``ids`` is replaced.
     """
+    docs = docs.drop("ids")
     long = F.length("text") > chunk
     short = docs.where(~F.coalesce(long, F.lit(False))).withColumn("ids", encode_udf(path, pattern)("text"))
     key = f"key-{uuid.uuid4().hex[:8]}"
@@ -192,9 +193,12 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
 
 
 def encode_and_decode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``docs`` without ``text``, with ``coded``: a struct of the ``ids`` of each text and the bytes they decode to."""
+    """``docs`` without ``text``, with ``coded``: a struct of the ``ids`` of each text and the bytes they decode to.
+
+    Columns ``ids`` and ``coded`` are replaced.
+    """
     coded = encode(docs, path, pattern, chunk, overlap)
-    return coded.select(*[c for c in docs.columns if c != "text"], with_decoded_udf(path)("ids").alias("coded"))
+    return coded.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("text", "ids", "coded")], with_decoded_udf(path)("ids").alias("coded"))
 
 
 def token_count(ids: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 PREFIX_DIGITS = 8
 
+RESULT = ("host", "path", "rule", "verdict", "#url")
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -34,7 +35,7 @@ def _keyed(frame: DataFrame, expression: Column) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
-    """``pages`` (all columns) with ``host, path, rule, verdict`` of ``url``; those names must be free.
+    """``pages`` (all columns) with ``host, path, rule, verdict`` of ``url``; columns of those names, in any case, are replaced.
 
     ``rules(verdict, host, path)``: of equal rules, ``block`` goes before ``allow``; rules without a
     host or path (null or empty host, null path) fit nothing. A null URL and one without ``://`` have
@@ -42,6 +43,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     labels times the number of different path lengths among the rules. Hot URLs and hot
     expressions only meet in equi-joins, which AQE splits; no side is broadcast but by its size.
     """
+    pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in RESULT])
     rules = rules.where("host <> '' and path is not null").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
     urls = pages.select("url").where("url is not null").distinct().select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -58,6 +60,5 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     found = made.join(known, "short").where("digest = full")
     best = found.groupBy("url").agg(F.max(F.struct("host_length", "path_length", "rule", "verdict")).alias("best"))
     best = best.select(F.col("url").alias("#url"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
-    return (pages.join(best, F.col("url") == F.col("#url"), "left").drop("#url", "verdict_")
-            .withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-            .withColumn("verdict", F.coalesce("verdict", F.lit(default))))
+    return (pages.join(best, F.col("url") == F.col("#url"), "left").drop("#url")
+            .withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "verdict": F.coalesce("verdict", F.lit(default))}))

@@ -48,6 +48,17 @@ def test_chunks_are_stitched_exactly(spark, library, chunk, overlap):
     assert got == {i: library.encode_ordinary(t or "") for i, t in enumerate([*texts, *texts[:5]])}
 
 
+def test_columns_with_the_names_of_results_are_replaced(spark, library):
+    docs = spark.createDataFrame([(1, "some text", 5, "c"), (2, "x" * 90, 6, "d")], "doc_id long, text string, ids int, Coded string")
+    got = bpe.encode(docs, PATH, PATTERN, 40, 20)
+    assert got.columns == ["doc_id", "text", "Coded", "ids"]
+    both = bpe.encode_and_decode(docs, PATH, PATTERN, 40, 20)
+    assert both.columns == ["doc_id", "coded"]
+    for row in both.collect():
+        text = {1: "some text", 2: "x" * 90}[row.doc_id]
+        assert np.frombuffer(row.coded.ids, "<u4").tolist() == library.encode_ordinary(text) and row.coded.decoded == text.encode()
+
+
 def test_every_character_is_classed_alike(library):
     chars = [chr(c) for c in range(0x2FFFF) if not 0xD800 <= c < 0xE000]
     wrong = []

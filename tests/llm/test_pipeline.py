@@ -1,9 +1,15 @@
 """The pipeline against its parts."""
 
 import collections
+import hashlib
+import re
 
 import corpus_pipeline
-from railpulse.llm import mixing, simhash, toxicity
+import numpy as np
+import public_tokenizers
+import tiktoken
+
+from railpulse.llm import bpe, mixing, simhash, toxicity
 from railpulse.llm.common import query_scratch, table
 from tests.conftest import SF
 from tests.llm.test_simhash import slow_groups, slow_print
@@ -24,6 +30,20 @@ def test_stages_and_their_whole(spark):
     assert {r.doc_id for r in rows} == {i for i, n in taken.items() if n}
     assert max(collections.Counter(r.doc_id for r in rows).values()) == 2
     assert all(r.n_tokens > 0 and len(r.ids) == 4 * r.n_tokens for r in rows)
+    # Ids are those of the library, and what they decode to are runs of the document's own words, as many as the mix takes.
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                mergeable_ranks=bpe._ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    whole, words = {r.doc_id: r.text for r in kept}, collections.Counter()
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        data = library.decode_bytes(ids)
+        assert ids == library.encode_ordinary(data.decode())
+        assert r.decoded_sha256 == hashlib.sha256(data).hexdigest()
+        own = re.findall(r"[^\x20\x09-\x0D]+", data.decode())
+        every = re.findall(r"[^\x20\x09-\x0D]+", whole[r.doc_id])
+        assert data.decode() in whole[r.doc_id] and any(every[i:i + len(own)] == own for i in range(len(every)) if every[i] == own[0])
+        words[r.doc_id] += len(own)
+    assert words == {i: n for i, n in taken.items() if n}
 
 
 def test_every_stage_takes_odd_rows(spark):

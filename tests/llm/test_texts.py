@@ -31,6 +31,14 @@ def test_url_rules(spark):
     assert {(r.rule, r.verdict) for r in none.collect()} == {(None, "block")}
 
 
+def test_columns_with_the_names_of_results_are_replaced(spark):
+    pages = spark.createDataFrame([(1, "http://x.com/de/", "r", 2, "h", "p", "#", "kept")],
+                                  "page_id long, url string, rule string, Verdict int, host string, path string, `#url` string, `a.b` string")
+    got = urls.judge(pages, urls.rules_table(spark))
+    assert got.columns == ["page_id", "url", "a.b", "rule", "verdict", "host", "path"]
+    assert tuple(got.first()) == (1, "http://x.com/de/", "kept", "com/de/", "block", "x.com", "/de/")
+
+
 def test_longest_host_before_longest_path(spark):
     rules = spark.createDataFrame([("allow", "org", "/aaaaaaaaaa"), ("block", "b.org", "/"), ("allow", "b.org", "/"), ("block", None, "/"), ("block", "c.org", None)],
                                   "verdict string, host string, path string")
@@ -115,6 +123,23 @@ def test_parts_become_placeholders(spark):
     assert chat.report(chat.format_conversations(rows.limit(0))).collect() == []
 
 
+def test_odd_conversations(spark):
+    """Null and very long texts, tied turns, repeated rows, null ids, and columns named like results."""
+    long = "word </s> " * 60_000
+    rows = [(1, 0, "user", None), (1, 1, "assistant", long), (2, 5, "user", "b"), (2, 5, "user", "a"), (2, None, "assistant", "first"), (2, 5, "user", "a"),
+            (None, 1, "assistant", "x"), (None, 1, "assistant", "x"), (3, 1, None, ""), (4, 1, "assistant", None)]
+    df = spark.createDataFrame([(*row, "f", 1, "h", "t") for row in rows],
+                               "conv_id long, turn long, role string, text string, formatted string, loss_spans int, head string, turns string")
+    made = chat.format_conversations(df.withColumn("parts", chat.text_parts(F.col("text"))))
+    assert made.columns == ["conv_id", "formatted", "loss_spans", "attachments", "attachment_tokens"]
+    back = {r.conv_id: [tuple(t) for t in r.back] for r in made.select("conv_id", chat.read_turns(F.col("formatted")).alias("back")).collect()}
+    assert back == {1: [("user", ""), ("assistant", long)], 2: [("assistant", "first"), ("user", "a"), ("user", "a"), ("user", "b")],
+                    None: [("assistant", "x")] * 2, 3: [("", "")], 4: [("assistant", "")]}
+    report = {r.conv_id: r for r in chat.report(made).collect()}
+    assert report[1].loss_chars == len(long) and report[1].loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+    assert report[None].loss_chars == 2 and report[4].loss_chars == report[3].loss_chars == 0
+
+
 def slow_records(rows):
     out, best = [], {}
     for page, html in rows:
