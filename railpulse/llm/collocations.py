@@ -13,7 +13,7 @@ doubling. Runs inside a path occur in something longer just as often, so they ar
 nodes and shorter runs are held against the runs that extend them by one word.
 
 A word that is rarer than a candidate must be ends a window, as the end of a piece does, since no
-candidate holds it. Words travel as numbers: those of the ``DICTIONARY`` most frequent words go to every
+candidate holds it. Words travel as numbers: those of the most frequent words, ``DICTIONARY`` at most, go to every
 task; where more words are frequent, all others travel as 63 bits of a hash, which is checked to tell them apart.
 """
 
@@ -29,6 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from railpulse.llm.common import most_met
 from railpulse.session import Scratch
 
 LONGEST = 5
@@ -349,13 +350,14 @@ def collocations(docs: DataFrame, scratch: Scratch, least: int = LEAST_COUNT, re
     vocabulary = scratch.save(words_counted(docs), "vocabulary")
     totals = scratch.save(vocabulary.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = vocabulary.where(F.col("f") >= least)
-    sent = frequent.orderBy(F.desc("f"), "lang", "word").limit(dictionary).toPandas()
+    told, complete = most_met(frequent, "f", dictionary)
+    # At most as many rows as the dictionary holds.
+    sent = frequent.where(told).toPandas().sort_values(["f", "lang", "word"], ascending=[False, True, True])
     sent["id"] = np.arange(1, len(sent) + 1)
     ids = docs.sparkSession.createDataFrame(sent[["lang", "word", "f", "id"]], "lang string, word string, f long, id long")
     ids, seed = scratch.save(ids, "dictionary"), None
-    if len(sent) == dictionary:
-        rest = frequent.join(ids, ["lang", "word"], "left_anti")
-        rest, seed = hashed_words(vocabulary.join(ids.select("lang", "word"), ["lang", "word"], "left_anti"), rest, scratch)
+    if not complete:
+        rest, seed = hashed_words(vocabulary.where((F.col("f") < least) | ~told), frequent.where(~told), scratch)
         ids = ids.unionByName(rest)
     words = totals.agg(F.sum("n")).first()[0] or 0
     bounds = range_bounds(docs, sent, seed, words, range_words)

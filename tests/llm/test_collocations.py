@@ -85,7 +85,7 @@ def test_against_all_runs(spark, scratch, seed, least):
     assert fast(spark, rows, scratch, least) == slow(rows, least, 2000) != []
 
 
-@pytest.mark.parametrize("dictionary", [1, 7])
+@pytest.mark.parametrize("dictionary", [0, 1, 7])
 def test_words_beyond_the_dictionary(spark, scratch, dictionary):
     rows = corpus(4)
     assert fast(spark, rows, scratch, 4, dictionary=dictionary, range_words=200) == slow(rows, 4, 2000)
