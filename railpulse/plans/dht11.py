@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from railpulse.functions.columns import rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed, render_times
 from railpulse.operators.lookups import with_dimension
+from railpulse.schemas import FACT_KEYS
 from railpulse.sinks.files import Zones, write_client, write_trusted
 from railpulse.sinks.keyed import last_written, put_batch
 from railpulse.sources.readings import without_arrival
@@ -31,7 +32,7 @@ def dht11_client(df: DataFrame, metadata: DataFrame) -> DataFrame:
 def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int) -> int:
     trusted, kept = write_trusted(clean_typed(readings), zones, "dht11", batch)
     latest = last_written(trusted, ["sensor_id", "timestamp"])
-    put_batch(dht11_registry(latest, metadata), zones.table("DHT11Data"), batch)
+    put_batch(dht11_registry(latest, metadata), zones.table("DHT11Data"), batch, FACT_KEYS["DHT11Data"], zones.buckets)
     client = dht11_client(without_arrival(trusted), metadata)
     write_client(client, zones, "dht11", batch)
     return kept

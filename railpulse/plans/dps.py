@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from railpulse.functions.columns import rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed
 from railpulse.operators.lookups import known, with_dimension
+from railpulse.schemas import FACT_KEYS
 from railpulse.sinks.files import Zones, write_client, write_trusted
 from railpulse.sinks.keyed import last_written, put_batch
 
@@ -35,6 +36,6 @@ def dps_client(df: DataFrame, metadata: DataFrame, circuits: DataFrame) -> DataF
 def run_dps(readings: DataFrame, metadata: DataFrame, circuits: DataFrame, zones: Zones, batch: int) -> int:
     trusted, kept = write_trusted(clean_typed(readings), zones, "dps", batch)
     latest = last_written(trusted, ["sensor_id", "dataHora"])
-    put_batch(dps_registry(latest, metadata), zones.table("DpsData"), batch)
+    put_batch(dps_registry(latest, metadata), zones.table("DpsData"), batch, FACT_KEYS["DpsData"], zones.buckets)
     write_client(dps_client(trusted, metadata, circuits), zones, "dps", batch)
     return kept

@@ -9,6 +9,7 @@ from railpulse.functions.columns import below, block_of, rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed
 from railpulse.operators.lookups import with_dimension
 from railpulse.session import Scratch
+from railpulse.schemas import FACT_KEYS
 from railpulse.sinks.files import Zones, write_client, write_csv, write_trusted
 from railpulse.sinks.keyed import put_batch
 from railpulse.sinks.versions import put_version
@@ -90,6 +91,6 @@ def run_tof(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int,
     sums = scratch.save(tof_block_sums(trusted), "tof-blocks")
     occupancy = scratch.save(_occupancy(frame_counts_from_blocks(sums), metadata), "tof-occupancy")
     put_version(occupancy, zones.occupancy(), write=write_csv)
-    put_batch(tof_records(occupancy), zones.table("TofData"), batch)
+    put_batch(tof_records(occupancy), zones.table("TofData"), batch, FACT_KEYS["TofData"], zones.buckets)
     write_client(by_block(_block_map(sums, metadata)), zones, "tof", batch)
     return kept

@@ -23,10 +23,12 @@ class Zones:
     """Folders of a deployment: ``trusted/<family>``, ``client/<family>``, ``tables/<name>``.
 
     Each run writes to a folder of its own batch, so running a batch again replaces its output.
+    ``buckets`` is the number of key buckets that new fact tables get.
     """
 
-    def __init__(self, root: str):
+    def __init__(self, root: str, buckets: int = 16):
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def trusted(self, family: str, batch: int | None = None) -> str:
         return _batch(f"{self.root}/trusted/family={family}", batch)

@@ -318,6 +318,8 @@ def oracle() -> dict[str, str]:
     }
     registry = with_(piezo_clean(), DISTANCES, WITH_DISTANCE, REGISTRY)
     sql["upsert_latest_by_key"] = f"{registry}{LATEST}"
+    sql["compact_by_bucket"] = """SELECT user_id AS sensor_id, count(*) AS n_rows, max(high) AS high, CAST(max(day(ts) % 3) AS INTEGER) AS last_batch
+        FROM (SELECT user_id, ts, max(value) AS high FROM events WHERE ts IS NOT NULL GROUP BY ALL) GROUP BY ALL"""
     sql["piezo_run"] = registry.replace("FROM segments)", """FROM segments
         QUALIFY row_number() OVER (PARTITION BY ID_TREM ORDER BY t1 DESC, ID_SENSOR_ORIGEM DESC,
             ID_SENSOR_DESTINO DESC, PRESSAO DESC, VELOCIDADE DESC NULLS LAST) = 1)""") + "SELECT * FROM registry"

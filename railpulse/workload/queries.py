@@ -15,7 +15,7 @@ from railpulse.plans.runs import run_family, run_files
 from railpulse.schemas import FACT_KEYS, dimension_schema
 from railpulse.session import Scratch
 from railpulse.sinks.files import BatchTaken, Zones, write_csv
-from railpulse.sinks.keyed import read_latest, upsert_latest
+from railpulse.sinks.keyed import compact, put_batch, read_latest, upsert_latest
 from railpulse.sinks.versions import current
 from railpulse.sources.dumps import dump_schema, load_dimensions, read_dimension, unwrap_items
 from railpulse.sources.readings import read_optical, read_readings, row_count, without_arrival
@@ -500,6 +500,20 @@ def upsert_latest_by_key(spark, sf_dir):
                          ["datahora_inicio", "sensor_id_origem", "sensor_id_destino", "pressao", "velocidade"])
 
 
+@query
+def compact_by_bucket(spark, sf_dir):
+    """All readings and two later batches of some days in key buckets, folded a few buckets at a time into a table with more of them."""
+    place, keys = Scratch(spark).place, ["sensor_id", "timestamp"]
+    old, new = place("facts"), place("folded")
+    rows = T.dht11_raw(spark, sf_dir)
+    for batch in range(3):
+        part = rows.where(F.dayofmonth("timestamp") % 3 >= batch)
+        put_batch(part.groupBy(*keys).agg(F.max("temperature_c").alias("high"), F.lit(batch).alias("n")), old, batch, keys, buckets=4)
+    compact(spark, old, new, keys, buckets=8, at_once=2)
+    return read_latest(spark, new, keys).groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("high").alias("high"),
+                                                                  F.max("n").alias("last_batch"))
+
+
 @query
 def route_family_query(spark, sf_dir):
     return T.route_keys(spark, sf_dir).select("event_id", "key", route_family(F.col("key")).alias("family"))

@@ -252,9 +252,9 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
         return spark.createDataFrame(list(rows), "k int, v int")
 
     first = last_written(batch((1, 10), (1, 11), (2, 20)), keys)
-    put_batch(first, table, 1)
-    put_batch(batch((1, 5)), table, 2)
-    put_batch(first, table, 1)
+    put_batch(first, table, 1, keys)
+    put_batch(batch((1, 5)), table, 2, keys)
+    put_batch(first, table, 1, keys)
     want = [(1, 5), (2, 20)]
     assert sorted(tuple(r) for r in read_latest(spark, table, keys).collect()) == want
     by_value = read_latest(spark, table, keys, ["v"])
@@ -263,7 +263,7 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == want
     compact(spark, table, f"{tmp_path}/t3", keys, ["v"])
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t3", keys, ["v"]).collect()) == [(1, 11), (2, 20)]
-    put_batch(batch((2, 1)), f"{tmp_path}/t2", 3)
+    put_batch(batch((2, 1)), f"{tmp_path}/t2", 3, keys)
     assert sorted(tuple(r) for r in read_latest(spark, f"{tmp_path}/t2", keys).collect()) == [(1, 5), (2, 1)]
 
 
