@@ -50,6 +50,10 @@ class Zones:
         """Rows with values that do not fit the family's types."""
         return _batch(f"{self.root}/misfits/{family}", batch)
 
+    def kinds(self, family: str, batch: int | None = None) -> str:
+        """The kinds of the columns of a batch whose files may have any header."""
+        return _batch(f"{self.root}/kinds/{family}", batch)
+
     def outcomes(self, batch: int | None = None) -> str:
         """What became of each raw file that a routed ingest has met."""
         return _batch(f"{self.root}/outcomes", batch)
@@ -85,7 +89,8 @@ def next_batch(spark: SparkSession, zones: Zones, family: str) -> int:
 
 def drop_batch(spark: SparkSession, zones: Zones, family: str, batch: int, table: str | None) -> None:
     """Remove what a batch has written, but for its owner."""
-    places = [zones.trusted(family, batch), zones.client(family, batch), zones.rejects(family, batch), zones.misfits(family, batch)]
+    places = [zones.trusted(family, batch), zones.client(family, batch), zones.rejects(family, batch), zones.misfits(family, batch),
+              zones.kinds(family, batch)]
     for path in [*places, *([_batch(zones.table(table), batch)] if table else [])]:
         place, store = stored(spark, path)
         store.delete(place, True)

@@ -8,10 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, NumericType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from railpulse.functions.routing import key_within, root_of, route_family
-from railpulse.schemas import TIME_FORMAT, readings_schema
+from railpulse.schemas import readings_schema
+from railpulse.sources.optical import read_optical
 
 
 # The line of a row whose values do not fit the contract; null for all others.
@@ -106,29 +107,6 @@ def read_readings(spark: SparkSession, path: str | list[str], family: str, misfi
     return rows.withColumn("source_row", F.monotonically_increasing_id()) if arrival else rows
 
 
-def looks_like_id(name: str) -> bool:
-    name = name.lower()
-    return name == "id" or name.endswith("_id") or name.startswith(("id_", "num_"))
-
-
-def read_optical(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
-                 time_columns: tuple[str, ...] = (), time_format: str = TIME_FORMAT) -> DataFrame:
-    """Files with any header. Without a schema one more scan of the files finds which columns hold
-    numbers: all of them doubles, so that batches with and without fractions fit together. Times
-    are never guessed, as Spark would take ``T1`` for one: those named in ``time_columns`` are
-    read by ``time_format``. All else, and every id, is text."""
-    if schema is None:
-        found = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
-        number = {f.name for f in found if isinstance(f.dataType, NumericType) and not looks_like_id(f.name)}
-        schema = StructType([
-            StructField(f.name, TimestampType() if f.name in time_columns else DoubleType() if f.name in number else StringType())
-            for f in found])
-    return (
-        spark.read.option("header", True).option("enforceSchema", False).option("timestampFormat", time_format)
-        .schema(schema).csv(path)
-    )
-
-
 # The file a row came from, by its time and a 128-bit hash of its path: rows are grouped by these,
 # and whole paths would be carried through every shuffle.
 FILE_KEY = ["source_time", "source_id", "source_id2"]

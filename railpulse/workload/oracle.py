@@ -184,6 +184,10 @@ def oracle() -> dict[str, str]:
             CAST(humidity_percent AS VARCHAR) AS humidity_percent FROM dht""",
         "optical_scan": """SELECT * REPLACE (CAST(c_custkey AS DOUBLE) AS c_custkey, CAST(c_nationkey AS DOUBLE) AS c_nationkey)
             FROM customer""",
+        "optical_batches": """SELECT CAST(c_custkey AS VARCHAR) AS level, CAST(c_custkey AS BIGINT) AS serie, CAST(c_custkey AS DOUBLE) AS share,
+            CAST(0 AS BIGINT) AS batch FROM customer
+            UNION ALL SELECT c_name, c_custkey + 9007199254740992, c_custkey / 4, 1 FROM customer WHERE c_name IS NOT NULL
+            UNION ALL SELECT CAST(c_custkey + 9007199254740992 AS VARCHAR), c_custkey + 9007199254740992, NULL, 2 FROM customer""",
         "row_count": "SELECT count(*) AS rows_read FROM events",
         "typed_attr_unwrap": """SELECT 'S' || c_custkey AS sensor_id,
             CASE WHEN c_acctbal >= 0 THEN 'S' || c_nationkey END AS sensor_id_2,

@@ -18,7 +18,8 @@ from railpulse.sinks.files import BatchTaken, Zones, write_csv
 from railpulse.sinks.keyed import compact, put_batch, read_latest, upsert_latest
 from railpulse.sinks.versions import current
 from railpulse.sources.dumps import dump_schema, load_dimensions, read_dimension, unwrap_items
-from railpulse.sources.readings import read_optical, read_readings, row_count, without_arrival
+from railpulse.sources.optical import read_optical, read_trusted
+from railpulse.sources.readings import read_readings, row_count, without_arrival
 from railpulse.streaming.ingest import file_stream, start_ingest, start_routed
 from railpulse.workload import tables as T
 
@@ -63,6 +64,18 @@ def optical_scan(spark, sf_dir):
     return read_optical(spark, csv_of(spark, T.table(spark, sf_dir, "customer"), "optical"))
 
 
+@query
+def optical_batches(spark, sf_dir):
+    """Three batches of files with any header: numbers, then text, then long numbers, read together from the trusted zone."""
+    scratch, dims = Scratch(spark), T.dimensions(spark, sf_dir)
+    zones, rows = Zones(scratch.place("zones")), T.table(spark, sf_dir, "customer")
+    key, big = F.col("c_custkey"), F.lit(9007199254740992)
+    for batch, (level, series, share) in enumerate([(key, key, key), (F.col("c_name"), key + big, key / 4), (key + big, key + big, F.lit(None))]):
+        lines = rows.select(level.alias("level"), series.alias("serie"), *([] if batch == 2 else [share.alias("share")]))
+        run_files(spark, "optical", csv_of(spark, lines, "optical"), dims, zones, batch)
+    return read_trusted(spark, zones, "optical")
+
+
 @query
 def row_count_query(spark, sf_dir):
     return row_count(T.piezo_raw(spark, sf_dir))

@@ -6,7 +6,8 @@ import pytest
 
 from railpulse.schemas import dimension_schema
 from railpulse.sources.dumps import load_dimensions, read_dimension, read_dimensions, read_typed_dump
-from railpulse.sources.readings import ARRIVAL, raw_keys, read_optical, read_readings, row_count, with_arrival
+from railpulse.sources.optical import read_optical
+from railpulse.sources.readings import ARRIVAL, raw_keys, read_readings, row_count, with_arrival
 
 
 def put(path, text, encoding="utf-8"):
