@@ -28,6 +28,8 @@ from railpulse.session import Scratch
 ROLL_BYTES = 256 << 20
 LEAST_SHARD, MOST_SHARD, SHARDS = 16 << 20, 1 << 30, 1_000
 BUCKETS = 4_096
+# Rows of a shard: directory rows for a payload whose response may be here, and for one whose is not, come before records.
+FOLLOW, LEAD, RECORD = -1, 0, 1
 LEVEL = 6
 PART = "shard long, no int, temporary string, final string, records long, bytes long, sha1 string"
 
@@ -104,8 +106,8 @@ def _write(folder: str, roll_bytes: int):
                         yield pd.DataFrame(files.parts, columns=[c.split()[0] for c in PART.split(", ")])
                     files = _Files(folder, int(shard), roll_bytes)
                 page = None if pd.isna(page) else int(page)
-                if kind == 0:
-                    about, original, first = (page, digest), None if pd.isna(refers) else int(refers), True
+                if kind != RECORD:
+                    about, original, first = (page, digest), None if pd.isna(refers) else int(refers), kind == LEAD
                     continue
                 revisit = about == (page, digest) and not (page == original and first)
                 if about == (page, digest):
@@ -123,27 +125,42 @@ def _bucket(low: int, width: int) -> Column:
     return F.coalesce(F.expr(f"(cast(page_id as decimal(20, 0)) - ({low})) div {width}"), F.lit(-1).cast("long"))
 
 
-def shard_bounds(narrow: DataFrame, shard_bytes: int | None = None) -> tuple[DataFrame, int, int, int]:
-    """``(bucket, cut, parts)`` for each range of page ids; their width, the lowest id, the number of shards.
+def shard_bounds(narrow: DataFrame, shard_bytes: int | None = None) -> tuple[DataFrame, DataFrame | None, int, int, int]:
+    """``(bucket, cut, parts)`` for each range of page ids, and ``(page_id, digest, h_cut, h_parts)`` for each hot
+    group or None without one; the width of a range, the lowest id, the number of shards.
 
     Ranges of equal width are counted exactly and put together up to ``shard_bytes``; a range that is
-    larger by itself is parted by digest. By default about ``SHARDS`` shards, none below
+    larger by itself is parted by page_id and digest. Rows alike in both that are together larger than a shard are a hot group
+    and get shards of their own; only ranges too large for one shard are looked through for them, and there are no more
+    of them than shards. By default about ``SHARDS`` shards, none below
     ``LEAST_SHARD`` or above ``MOST_SHARD``.
     """
     bytes_ = F.col("bytes") + 512
     low, high, total = narrow.agg(F.min("page_id"), F.max("page_id"), F.sum(bytes_)).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // BUCKETS))
-    rows = sorted(map(tuple, narrow.groupBy(_bucket(low or 0, width).alias("bucket")).agg(F.sum(bytes_)).collect()))
+    low, width = low or 0, max(1, -(-((high or 0) - (low or 0) + 1) // BUCKETS))
+    held = dict(map(tuple, narrow.groupBy(_bucket(low, width).alias("bucket")).agg(F.sum(bytes_)).collect()))
     most = shard_bytes or min(MOST_SHARD, max(LEAST_SHARD, (total or 0) // SHARDS))
+    hot = []
+    if wide := [number for number, size in held.items() if size > most]:
+        groups = narrow.withColumn("bucket", _bucket(low, width)).where(F.col("bucket").isin(wide)).groupBy("page_id", "digest", "bucket")
+        hot = groups.agg(F.sum(bytes_).alias("held")).where(F.col("held") > most).orderBy("page_id", "digest").collect()
+    for row in hot:
+        held[row.bucket] -= row.held
     bounds, shard, size = [], 0, 0
-    for number, held in rows:
-        parts = -(-held // most)
-        if size and (size + held > most or parts > 1):
+    for number, own in sorted(held.items()):
+        parts = max(1, -(-own // most))
+        if size and (size + own > most or parts > 1):
             shard, size = shard + 1, 0
         bounds.append((number, shard, parts))
-        shard, size = (shard + parts, 0) if parts > 1 else (shard, size + held)
+        shard, size = (shard + parts, 0) if parts > 1 else (shard, size + own)
+    shard += 1 if size or not shard else 0
+    lone = []
+    for row in hot:
+        lone.append((row.page_id, row.digest, shard, -(-row.held // most)))
+        shard += lone[-1][-1]
     spark = narrow.sparkSession
-    return spark.createDataFrame(bounds, "bucket long, cut long, parts long"), width, low or 0, shard + 1
+    return (spark.createDataFrame(bounds, "bucket long, cut long, parts long"),
+            spark.createDataFrame(lone, "page_id long, digest string, h_cut long, h_parts long") if lone else None, width, low, max(1, shard))
 
 
 def write_archives(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: int = ROLL_BYTES, shard_bytes: int | None = None,
@@ -152,28 +169,50 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes:
 
     Of rows with equal payloads of at least ``least_revisit`` bytes, that with the largest page_id is
     the response, the others revisit it; equal rows too, of which the first is the response. A null
-    html is an empty payload; a null page_id sorts first, and is the response only among its like. The
+    html is an empty payload; a null page_id sorts first, and is the response only among its like; in a group larger than a shard the first is that of one of its
+    shards. A task writes one shard. The
     folder must be shared and new. An empty table gives an empty manifest. Other columns are ignored.
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
     full = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     narrow = scratch.save(full.select("page_id", "digest", F.octet_length("payload").cast("long").alias("bytes")), "narrow")
-    bounds, width, low, shards = shard_bounds(narrow, shard_bytes)
+    bounds, hot, width, low, shards = shard_bounds(narrow, shard_bytes)
 
     def dealt(rows: DataFrame) -> DataFrame:
-        place = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.col("parts") / F.lit(1 << 32))
+        place = F.pmod(F.xxhash64("page_id", "digest"), F.col("parts"))
         return rows.withColumn("bucket", _bucket(low, width)).join(F.broadcast(bounds), "bucket").withColumn("shard", F.col("cut") + place)
 
+    def of_group(rows: DataFrame, how: str) -> DataFrame:
+        groups = F.broadcast(hot.withColumnRenamed("page_id", "h_page").withColumnRenamed("digest", "h_digest"))
+        return rows.join(groups, F.col("page_id").eqNullSafe(F.col("h_page")) & (F.col("digest") == F.col("h_digest")), how)
+
     shared = narrow.where(F.col("bytes") >= least_revisit).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).where("n > 1")
     told = narrow.join(shared, "digest").select("page_id", "digest", "original").distinct()
     binary, text = F.lit(None).cast("binary"), F.lit(None).cast("string")
-    rows = dealt(told).select("shard", "page_id", "digest", F.lit(0).alias("kind"), text.alias("url"), binary.alias("payload"), "original").unionAll(
-        dealt(full).select("shard", "page_id", "digest", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("original")))
+    directory = [F.col("shard"), F.col("page_id"), F.col("digest"), F.lit(LEAD).alias("kind"), text.alias("url"), binary.alias("payload"), F.col("original")]
+    records = [F.col("shard"), F.col("page_id"), F.col("digest"), F.lit(RECORD).alias("kind"), F.col("url"), F.col("payload"),
+               F.lit(None).cast("long").alias("original")]
+    if hot is None:
+        rows = dealt(told).select(directory).unionAll(dealt(full).select(records))
+    else:
+        # Hot rows are written down once, so that their numbers stay; they go round the shards of their group. The shard of
+        # its first row has the response, if any, and the directory rows of the others say so.
+        numbered = scratch.save(of_group(full, "inner").withColumn("number", F.monotonically_increasing_id()), "hot")
+        numbered = numbered.withColumn("turn", F.pmod(F.col("number"), F.col("h_parts")))
+        first = numbered.groupBy("page_id", "digest").agg(F.min_by("turn", "number").alias("first"))
+        first = F.broadcast(first.withColumnRenamed("page_id", "f_page").withColumnRenamed("digest", "f_digest"))
+        turns = of_group(told, "inner").join(first, F.col("page_id").eqNullSafe(F.col("f_page")) & (F.col("digest") == F.col("f_digest")))
+        turns = turns.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h_parts") - 1))).withColumn("shard", F.col("h_cut") + F.col("turn"))
+        kind = F.when(F.col("turn") == F.col("first"), LEAD).otherwise(FOLLOW).alias("kind")
+        rows = (dealt(of_group(told, "left_anti")).select(directory)
+                .unionAll(dealt(of_group(full, "left_anti")).select(records))
+                .unionAll(turns.select([kind if i == 3 else c for i, c in enumerate(directory)]))
+                .unionAll(numbered.withColumn("shard", F.col("h_cut") + F.col("turn")).select(records)))
     store, path = storage(folder)
     store.create_dir(path, recursive=True)
     # As text: pandas holds numbers with nulls among them as doubles, which round ids above 2^53.
     ids = {name: F.col(name).cast("string") for name in ("page_id", "original")}
-    parts = scratch.save(rows.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url").withColumns(ids)
+    parts = scratch.save(rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "digest", "kind", "url").withColumns(ids)
                          .mapInPandas(_write(folder, roll_bytes), PART), "parts")
     return commit(parts, folder, scratch)
 

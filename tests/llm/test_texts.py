@@ -5,6 +5,8 @@ import hashlib
 import os
 import random
 
+import pytest
+
 from railpulse.llm import chat, licences, urls, warc
 from railpulse.llm.common import table
 from railpulse.llm.queries import op9_warc
@@ -202,3 +204,34 @@ def test_archives_of_the_whole_id_range(spark, scratch):
     rows = [(i, f"page {n % 4}") for n, i in enumerate([-(1 << 63), -(1 << 62) - 1, -1, 0, 1, (1 << 62) + 1, (1 << 63) - 2, (1 << 63) - 1])]
     pages = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in warc.report(pages, scratch).collect()) == slow_records(rows)
+
+
+@pytest.mark.parametrize("least", [0, 5_000])
+def test_hot_payloads_are_spread_over_shards(spark, scratch, least):
+    size = 1_000
+    rows = [(None, None, "h" * size)] * 200 + [(7, f"u{i}", "g" * size) for i in range(150)]
+    rows += [(1_000_000 + i % 5, None, "c" * size) for i in range(100)] + [(2_000_000, None, f"{i:0{size}}") for i in range(60)]
+    rows += [(10**9 * i, None, "alone") for i in range(1, 9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    folder = scratch.place("warc").replace("file:", "")
+    files = warc.write_archives(pages, folder, scratch, shard_bytes=20_000, least_revisit=least)
+    held = {r.shard: r.n for r in files.groupBy("shard").agg(F.sum("records").alias("n")).collect()}
+    # 13 of these rows fill a shard; parts by hash or turn may hold some more, but none what a group holds.
+    assert sum(held.values()) == len(rows) and max(held.values()) <= 40
+    got = warc.read_archives(spark, folder).collect()
+    assert sorted((r.page_id or 0, r.payload_bytes) for r in got) == sorted((p or 0, len(h)) for p, _, h in rows)
+    responses = sorted((r.page_id or 0, r.payload_digest) for r in got if r.record_type == "response")
+    top = {}
+    for page, _, html in rows:
+        top[html] = max(top.get(html, 0), page or 0)
+    want = [(page, warc.base32_sha1(html.encode())) for html, page in top.items()] if not least else [(p or 0, warc.base32_sha1(h.encode())) for p, _, h in rows]
+    assert responses == sorted(want)
+    assert all((r.refers_to or 0) == top[next(h for h in top if warc.base32_sha1(h.encode()) == r.payload_digest)] for r in got if r.record_type == "revisit")
+
+
+def test_each_task_writes_one_shard(spark, scratch):
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.repeat(F.sha1(F.col("id").cast("string")), 25).alias("html"))
+    folder = scratch.place("warc").replace("file:", "")
+    files = warc.write_archives(pages, folder, scratch, shard_bytes=20_000)
+    records = [r.n for r in files.groupBy("shard").agg(F.sum("records").alias("n")).collect()]
+    assert sum(records) == 400 and len(records) >= 30 and max(records) <= 13
