@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Blocks of vectors are dealt to so many slots at most; each slot meets all queries.
-MOST_SLOTS = 1_024
+# Blocks of vectors and blocks of queries meet in so many cells at most.
+MOST_CELLS = 1_024
 
 
 def usable(vector: Column) -> Column:
@@ -50,17 +50,39 @@ def pack(rows: DataFrame, size: int, kind: str, extra: tuple[str, ...] = (), fin
     return rows.mapInPandas(run, columns + (", " + schema if schema else ""))
 
 
+def grid(blocks: int, rows: int, query_blocks: int, queries: int) -> tuple[int, int]:
+    """How many bands of vectors and of queries make the cells in which they meet.
+
+    A vector is sent to every band of queries and a query to every band of vectors. For a given number of cells that is
+    least where both sides send as much: the number of vector bands over that of query bands is
+    the number of vectors over that of queries.
+    """
+    cells = min(MOST_CELLS, blocks * query_blocks)
+    bands = max(1, min(blocks, round((cells * rows / max(1, queries)) ** 0.5)))
+    return bands, max(1, min(query_blocks, cells // bands))
+
+
 def meet(blocks: DataFrame, queries: DataFrame) -> DataFrame:
     """Every block with every block of queries of the same length, query columns prefixed ``q_``.
 
-    Blocks stay in at most ``MOST_SLOTS`` slots; the blocks of queries are sent to each. Both are
-    tables of few rows; the join is on the slot.
+    Both are written tables of few rows, dealt to the bands of a grid; the join is on its cells.
     """
-    slots = max(1, min(MOST_SLOTS, blocks.count()))
-    dealt = blocks.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)))
-    asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns]).withColumn(
-        "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
-    return dealt.join(asked, (dealt["slot"] == asked["slot"]) & (F.col("dims") == F.col("q_dims"))).drop("slot")
+    def size(table: DataFrame) -> tuple[int, int]:
+        return tuple(table.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first())
+
+    bands, q_bands = grid(*size(blocks), *size(queries))
+
+    def each(number: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long")))
+
+    def band(ids: str, number: int):
+        return F.pmod(F.xxhash64(ids), F.lit(number).cast("long"))
+
+    dealt = blocks.withColumn("band", band("ids", bands)).withColumn("q_band", each(q_bands))
+    asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns])
+    asked = asked.withColumn("to_q_band", band("q_ids", q_bands)).withColumn("to_band", each(bands))
+    cell = (F.col("band") == F.col("to_band")) & (F.col("q_band") == F.col("to_q_band")) & (F.col("dims") == F.col("q_dims"))
+    return dealt.join(asked, cell).drop("band", "q_band", "to_band", "to_q_band")
 
 
 def rows_of(batch: pd.DataFrame) -> Iterator:

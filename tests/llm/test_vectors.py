@@ -6,6 +6,7 @@ import pytest
 from railpulse.llm import topk, vptree
 from railpulse.llm.common import table
 from railpulse.llm.queries import op6_vp_tree
+from railpulse.llm.vectors import MOST_CELLS, grid, meet
 from tests.conftest import SF
 
 SCHEMA = "vec_id long, embedding array<float>, label int, slot long"
@@ -77,3 +78,42 @@ def test_few_rows_and_none(spark, scratch):
     assert vptree.nearest(df, lambda i: i % 100 == 0, scratch).count() == 4
     assert topk.top_k(df.limit(0), lambda i: i % 100 == 0, scratch).collect() == []
     assert vptree.nearest(df.limit(0), lambda i: i % 100 == 0, scratch).collect() == []
+
+
+def test_most_pairs_are_never_summed():
+    rng = np.random.default_rng(2)
+    slices, k, depth = topk.SLICES, 10, topk.DEPTH * 10
+    vectors_, asked = rng.integers(-1024, 1024, (8_000, 64)), rng.integers(-1024, 1024, (20, 64))
+    parts = [a @ v.T for a, v in zip(np.split(asked, slices, axis=1), np.split(vectors_, slices, axis=1))]
+    self_ = np.zeros(parts[0].shape, bool)
+    self_[0, 5] = True
+    whole = np.where(self_, topk.LOWEST, sum(parts))
+    cols = topk.heads(parts, self_, depth)
+    assert cols.shape == (20, slices * depth)
+    # As phase one: the heads alone, each once.
+    cut = np.array([sorted(set(zip(whole[q, own], own)))[-k][0] for q, own in enumerate(cols)])
+    best = np.sort(whole, axis=1)[:, -k]
+    assert (cut <= best).all()
+    q, v = topk.sufficient(parts, self_, cut)
+    assert len(q) < 0.1 * whole.size and (0, 5) not in set(zip(q, v))
+    assert (topk.resolved(parts, q, v) == whole[q, v]).all()
+    for query in range(20):
+        kept = np.sort(whole[query, v[q == query]])[-k:]
+        assert (kept == np.sort(whole[query])[-k:]).all()
+
+
+@pytest.mark.parametrize("blocks, rows, query_blocks, queries", [(1, 5, 1, 1), (12_000, 10**8, 1_000, 10**6), (12_000, 10**8, 5_000, 5 * 10**6), (3, 20_000, 400, 400_000), (0, 0, 0, 0)])
+def test_neither_side_is_sent_to_every_cell(blocks, rows, query_blocks, queries):
+    bands, q_bands = grid(blocks, rows, query_blocks, queries)
+    assert 1 <= bands <= max(1, blocks) and 1 <= q_bands <= max(1, query_blocks) and bands * q_bands <= MOST_CELLS
+    if blocks > MOST_CELLS:
+        sent = rows * q_bands + queries * bands
+        assert bands * q_bands > MOST_CELLS / 2 and sent < 0.6 * (rows + queries * MOST_CELLS)
+
+
+def test_every_block_meets_every_query_block_once(spark, scratch):
+    kind = "dims int, n int, ids binary"
+    mine = scratch.save(spark.createDataFrame([(d, 3, bytes([i, d])) for i in range(9) for d in (2, 3)], kind), "mine")
+    asked = scratch.save(spark.createDataFrame([(d, 2, bytes([i, d])) for i in range(5) for d in (3, 4)], kind), "asked")
+    met = sorted((bytes(r.ids), bytes(r.q_ids)) for r in meet(mine, asked).collect())
+    assert met == sorted((bytes([i, 3]), bytes([j, 3])) for i in range(9) for j in range(5))
