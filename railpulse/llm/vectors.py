@@ -55,9 +55,10 @@ def grid(blocks: int, rows: int, query_blocks: int, queries: int) -> tuple[int,
 
     A vector is sent to every band of queries and a query to every band of vectors. For a given number of cells that is
     least where both sides send as much: the number of vector bands over that of query bands is
-    the number of vectors over that of queries.
+    the number of vectors over that of queries. There are as many cells as the longer side has blocks, since more would
+    only be sent more.
     """
-    cells = min(MOST_CELLS, blocks * query_blocks)
+    cells = min(MOST_CELLS, max(blocks, query_blocks))
     bands = max(1, min(blocks, round((cells * rows / max(1, queries)) ** 0.5)))
     return bands, max(1, min(query_blocks, cells // bands))
 

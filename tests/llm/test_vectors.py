@@ -102,13 +102,15 @@ def test_most_pairs_are_never_summed():
         assert (kept == np.sort(whole[query])[-k:]).all()
 
 
-@pytest.mark.parametrize("blocks, rows, query_blocks, queries", [(1, 5, 1, 1), (12_000, 10**8, 1_000, 10**6), (12_000, 10**8, 5_000, 5 * 10**6), (3, 20_000, 400, 400_000), (0, 0, 0, 0)])
+@pytest.mark.parametrize("blocks, rows, query_blocks, queries", [(1, 5, 1, 1), (12_000, 10**8, 1_000, 10**6), (12_000, 10**8, 5_000, 5 * 10**6), (3, 20_000, 400, 400_000), (7, 51_000, 6, 2_565), (0, 0, 0, 0)])
 def test_neither_side_is_sent_to_every_cell(blocks, rows, query_blocks, queries):
     bands, q_bands = grid(blocks, rows, query_blocks, queries)
     assert 1 <= bands <= max(1, blocks) and 1 <= q_bands <= max(1, query_blocks) and bands * q_bands <= MOST_CELLS
     if blocks > MOST_CELLS:
         sent = rows * q_bands + queries * bands
         assert bands * q_bands > MOST_CELLS / 2 and sent < 0.6 * (rows + queries * MOST_CELLS)
+    elif blocks >= query_blocks:
+        assert q_bands == 1
 
 
 def test_every_block_meets_every_query_block_once(spark, scratch):
