@@ -192,6 +192,8 @@ def oracle() -> dict[str, str]:
         "typed_attr_unwrap": """SELECT 'S' || c_custkey AS sensor_id,
             CASE WHEN c_acctbal >= 0 THEN 'S' || c_nationkey END AS sensor_id_2,
             c_acctbal AS distancia FROM customer""",
+        "dump_split": """SELECT 'S' || c_custkey AS sensor_id, concat_ws('}, {"', c_mktsegment, c_name) AS sensor_id_2,
+            c_acctbal AS distancia FROM customer WHERE c_custkey IS NOT NULL""",
         "clean_drop_nulls": """SELECT event_id, et, u FROM (
             SELECT event_id, nullif(event_type, 'error') AS et, nullif(user_id % 5, 3) AS u, value
             FROM events) WHERE et IS NOT NULL AND u IS NOT NULL AND value IS NOT NULL""",

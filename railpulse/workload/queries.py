@@ -17,7 +17,7 @@ from railpulse.session import Scratch
 from railpulse.sinks.files import BatchTaken, Zones, write_csv
 from railpulse.sinks.keyed import compact, put_batch, read_latest, upsert_latest
 from railpulse.sinks.versions import current
-from railpulse.sources.dumps import dump_schema, load_dimensions, read_dimension, unwrap_items
+from railpulse.sources.dumps import dump_schema, load_dimensions, read_dimension, read_typed_dump, unwrap_items
 from railpulse.sources.optical import read_optical, read_trusted
 from railpulse.sources.readings import read_readings, row_count, without_arrival
 from railpulse.streaming.ingest import file_stream, start_ingest, start_routed
@@ -99,6 +99,29 @@ def typed_attr_unwrap(spark, sf_dir):
     return unwrap_items(parsed, flat)
 
 
+@query
+def dump_split(spark, sf_dir):
+    """Customers as dumps of one array of 100,000 items each, cut at item boundaries by tasks of 64 KB each."""
+    scratch, s = Scratch(spark), (lambda c: F.struct(F.col(c).alias("S")))
+    rows = T.table(spark, sf_dir, "customer").where("c_custkey IS NOT NULL").select(
+        F.floor(F.col("c_custkey") / 100_000).alias("piece"), F.concat(F.lit("S"), "c_custkey").alias("key"),
+        F.concat_ws('}, {"', "c_mktsegment", "c_name").alias("other"), "c_acctbal")
+    item = F.to_json(F.struct(s("key").alias("sensor_id"), s("other").alias("sensor_id_2"),
+                              F.struct(F.col("c_acctbal").cast("string").alias("N")).alias("distancia")))
+    # Every item ends with a comma, and the array with one more item that is the customer of no key.
+    items = rows.select("piece", F.lit(1).alias("at"), F.concat(item, F.lit(",")).alias("value"))
+    ends = rows.select("piece").distinct().select("piece", F.explode(F.map_from_arrays(
+        F.array(F.lit(0), F.lit(2)), F.array(F.lit('{"Items": ['), F.lit('{"sensor_id": {"S": "none"}}]}')))).alias("at", "value"))
+    path, limit = scratch.place("dump"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    lines = items.unionByName(ends).repartitionByRange("piece").sortWithinPartitions("piece", "at")
+    lines.select("piece", "value").write.partitionBy("piece").text(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 16)
+    try:
+        return read_typed_dump(spark, path, "PiezoSensorDistancia", scratch).where("sensor_id <> 'none'")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+
+
 @query
 def csv_mixed_headers(spark, sf_dir):
     """Files of one family in three column orders, some with a column of their own, read as one."""
