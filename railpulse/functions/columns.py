@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from railpulse.schemas import TIME_FORMAT
+from railpulse.schemas import COMPUTED, TIME_FORMAT
 
 
 def sensor_key(sensor_id) -> Column:
@@ -50,6 +50,16 @@ def rendered(time) -> Column:
     return F.date_format(time, TIME_FORMAT)
 
 
-def as_decimal(number) -> Column:
-    """The sink form of a double, digit for digit as it prints."""
-    return F.col(number).cast("decimal(38,18)")
+# What a decimal may differ from its double: less than any place but the last of ``COMPUTED``.
+ROUNDED_OFF = 1e-20
+
+
+def as_decimal(number, kind: str = COMPUTED) -> Column:
+    """The sink form of a double, digit for digit as it prints; null stays null.
+
+    A number that ``kind`` does not hold fails the write; only digits beyond the 24th place are rounded off.
+    """
+    value, digits = F.col(number), F.col(number).try_cast(kind)
+    lost = value.isNotNull() & (digits.isNull() | (F.abs(digits.cast("double") - value) > ROUNDED_OFF))
+    failed = F.raise_error(F.concat(F.lit(f"{number} does not fit {kind}: "), value.cast("string")))
+    return F.when(lost, failed.cast(kind)).otherwise(digits)

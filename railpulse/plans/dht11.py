@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from railpulse.functions.columns import rendered, sensor_key
+from railpulse.functions.columns import as_decimal, rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed, render_times
 from railpulse.operators.lookups import with_dimension
-from railpulse.schemas import FACT_KEYS
+from railpulse.schemas import FACT_KEYS, MEASURED
 from railpulse.sinks.files import Zones, write_client, write_trusted
 from railpulse.sinks.keyed import last_written, put_batch
 from railpulse.sources.readings import without_arrival
@@ -19,7 +18,7 @@ def dht11_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
     keyed = df.withColumn("sensor_id", sensor_key("sensor_id"))
     return with_dimension(keyed, metadata, "sensor_id").select(
         "trem_id", rendered("timestamp").alias("datahora"), "carro_id", "sensor_id",
-        F.col("temperature_c").alias("temperatura"), F.col("humidity_percent").alias("umidade"))
+        as_decimal("temperature_c", MEASURED).alias("temperatura"), as_decimal("humidity_percent", MEASURED).alias("umidade"))
 
 
 def dht11_client(df: DataFrame, metadata: DataFrame) -> DataFrame:

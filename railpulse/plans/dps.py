@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railpulse.functions.columns import rendered, sensor_key
+from railpulse.functions.columns import as_decimal, rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed
 from railpulse.operators.lookups import known, with_dimension
-from railpulse.schemas import FACT_KEYS
+from railpulse.schemas import FACT_KEYS, MEASURED
 from railpulse.sinks.files import Zones, write_client, write_trusted
 from railpulse.sinks.keyed import last_written, put_batch
 
@@ -18,7 +18,7 @@ def dps_registry(df: DataFrame, metadata: DataFrame) -> DataFrame:
     keyed = df.withColumn("sensor_id", sensor_key("sensor_id"))
     return known(keyed, metadata, "sensor_id").select(
         F.col("statusDPS").alias("status"), rendered("dataHora").alias("datahora"),
-        F.col("picoTensao_kV").alias("tensao"), F.col("correnteSurto_kA").alias("corrente"), "sensor_id")
+        as_decimal("picoTensao_kV", MEASURED).alias("tensao"), as_decimal("correnteSurto_kA", MEASURED).alias("corrente"), "sensor_id")
 
 
 def dps_client(df: DataFrame, metadata: DataFrame, circuits: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import operator
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.functions.routing import MARK_OF
@@ -14,10 +16,11 @@ from railpulse.plans.dps import run_dps
 from railpulse.plans.passthrough import run_passthrough
 from railpulse.plans.piezo import UnknownTrack, run_piezo
 from railpulse.plans.tof import run_tof
+from railpulse.schemas import MEASURES, TOO_LARGE
 from railpulse.session import Scratch
 from railpulse.sinks.files import Zones, claim_batch
 from railpulse.sources.dumps import Dimensions
-from railpulse.sources.readings import MISFIT, files_of, read_readings
+from railpulse.sources.readings import FILE_TYPES, MISFIT, files_of, read_readings
 
 
 UTC = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
@@ -47,6 +50,8 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
     if family not in MARK_OF:
         raise ValueError(f"no such family: {family}")
     claim_batch(spark, zones, family, batch, owner)
+    if MISFIT in readings.columns:
+        readings = readings.withColumn(MISFIT, F.coalesce(MISFIT, beyond_facts(readings, family)))
     counted = Observation()
     misfits = F.count(MISFIT) if MISFIT in readings.columns else F.sum(F.lit(0))
     raw, readings = readings, readings.observe(counted, F.count(F.lit(1)).alias("rows_read"), misfits.alias("misfits"))
@@ -78,6 +83,14 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
     return RowCounts(counted.get["rows_read"], kept, set_aside())
 
 
+def beyond_facts(readings: DataFrame, family: str) -> Column:
+    """A row as text where a measure is too large for the decimals of the fact tables, else null."""
+    large = [F.abs(F.col(name)) >= TOO_LARGE for name in MEASURES.get(family, [])]
+    own = [F.col(f"`{name}`").cast("string") for name in readings.columns if name not in (MISFIT, "source_row", *FILE_TYPES)]
+    found = functools.reduce(operator.or_, large, F.lit(False))
+    return F.when(found, F.concat_ws(",", *[F.coalesce(value, F.lit("")) for value in own]))
+
+
 def run_files(spark: SparkSession, family: str, path: str | list[str], dims: Dimensions, zones: Zones,
               batch: int, **options) -> RowCounts:
     """``run_family`` over raw files, each by its own header. The batch is owned by the set of its files: the same

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railpulse.functions.columns import below, block_of, rendered, sensor_key
+from railpulse.functions.columns import as_decimal, below, block_of, rendered, sensor_key
 from railpulse.operators.cleaning import clean_typed
 from railpulse.operators.lookups import with_dimension
 from railpulse.session import Scratch
@@ -83,7 +83,8 @@ def by_block(block_map: DataFrame) -> DataFrame:
 
 
 def tof_records(occupancy: DataFrame) -> DataFrame:
-    return occupancy.withColumnRenamed("ocupacao_media", "ocupacao")
+    """Fact rows."""
+    return occupancy.withColumn("ocupacao_media", as_decimal("ocupacao_media")).withColumnRenamed("ocupacao_media", "ocupacao")
 
 
 def run_tof(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int, scratch: Scratch) -> int:

@@ -39,6 +39,15 @@ FACT_KEYS = {
 # The fact table of each family that has one.
 TABLE_OF = {"dht11": "DHT11Data", "dps": "DpsData", "piezo": "PiezoData", "tof": "TofData"}
 
+# Fact tables hold numbers as decimals of the digits they print: measures as cleaning rounds them, to five places, and
+# what is computed from them with room for all digits of a double from 1e-8 on.
+MEASURED = "decimal(20,5)"
+COMPUTED = "decimal(38,24)"
+
+# The measures that go to fact tables, by family, and the least size that these do not take.
+MEASURES = {"dht11": ["temperature_c", "humidity_percent"], "dps": ["picoTensao_kV", "correnteSurto_kA"], "piezo": ["pressure_kpa"]}
+TOO_LARGE = 1e14
+
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 

@@ -335,5 +335,18 @@ def oracle() -> dict[str, str]:
         PARTITION BY sensor_id, dataHora ORDER BY picoTensao_kV DESC) = 1"""
     sql["stream_upsert"] = f"""{sql['dht11_registry']} QUALIFY row_number() OVER (
         PARTITION BY d.sensor_id, d."timestamp" ORDER BY d.temperature_c DESC) = 1"""
+    measured, computed = (lambda c: f"CAST(CAST({c} AS DECIMAL(20,5)) AS VARCHAR)"), (lambda c: f"CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,24)) AS VARCHAR)")
+
+    def facts(table, key, time, form, rows, **columns):
+        return "".join(f""" UNION ALL SELECT '{table}' AS fact_table, {key} AS id, {time} AS "time", '{name}' AS attribute, {form(c)} AS digits
+            FROM {rows} WHERE {c} IS NOT NULL""" for name, c in columns.items())
+
+    all_facts = (
+        facts("DHT11Data", "sensor_id", '"timestamp"', measured, "dht_keyed JOIN meta USING (sensor_id)", temperatura="temperature_c", umidade="humidity_percent")
+        + facts("DpsData", "sensor_id", "dataHora", measured, "dps JOIN meta USING (sensor_id)", tensao="picoTensao_kV", corrente="correnteSurto_kA")
+        + facts("PiezoData", "trem_id", "datahora_inicio", computed, "registry", pressao="pressao", velocidade="velocidade")
+        + facts("TofData", "'S' || sensor_id", shown("t"), computed, "shares", ocupacao="ocupacao_media"))
+    parts = with_(DHT11_CLEAN, DPS_CLEAN, METADATA, TOF_CLEAN, piezo_clean(), DISTANCES, WITH_DISTANCE, REGISTRY)
+    sql["fact_digits"] = f"{parts}{all_facts.removeprefix(' UNION ALL')}"
     sql["stream_nested_keys"] = sql["file_stream_ingest"]
     return sql

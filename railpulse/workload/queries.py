@@ -6,6 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from railpulse.functions import columns as C
 from railpulse.functions.routing import rejected, route_family
@@ -134,6 +135,11 @@ def csv_mixed_headers(spark, sf_dir):
     return cleaning.clean(read.drop("note"))
 
 
+def _doubles(df):
+    """Fact rows with their decimals as the doubles they were made from; a lost digit would show."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else f.name for f in df.schema])
+
+
 def _dump(spark, items, path) -> str:
     """Dimension rows as dump files of at most 1,000 items; ``piece`` parts them."""
     attributes = [c for c in items.columns if c != "piece"]
@@ -241,6 +247,25 @@ def fact_decimals(spark, sf_dir):
                        C.as_decimal("temperature_c").cast("double").alias("temperatura"))
 
 
+@query
+def fact_digits(spark, sf_dir):
+    """The digits that the decimals of the four fact tables hold."""
+    known, clean = T.metadata(spark, sf_dir), cleaning.clean_typed
+    tables = {
+        "DHT11Data": (dht11.dht11_registry(clean(T.dht11_raw(spark, sf_dir)), known), "sensor_id", "datahora"),
+        "DpsData": (dps.dps_registry(clean(T.dps_raw(spark, sf_dir)), known), "sensor_id", "datahora"),
+        "PiezoData": (piezo.piezo_registry(_segments(spark, sf_dir)), "trem_id", "datahora_inicio"),
+        "TofData": (tof.tof_records(tof.tof_occupancy(clean(T.tof_raw(spark, sf_dir)), known)), "sensor_id", "datahora")}
+
+    def digits(name, rows, key, time):
+        numbers = [f.name for f in rows.schema if isinstance(f.dataType, DecimalType)]
+        rows = rows.select(F.col(key).alias("id"), F.col(time).alias("time"), *[F.col(c).cast("string").alias(c) for c in numbers])
+        long = rows.unpivot(["id", "time"], numbers, "attribute", "digits")
+        return long.select(F.lit(name).alias("fact_table"), "*").where("digits IS NOT NULL")
+
+    return functools.reduce(DataFrame.unionByName, [digits(name, *form) for name, form in tables.items()])
+
+
 @query
 def block_ids(spark, sf_dir):
     return T.tof_raw(spark, sf_dir).select("y", "x", C.block_of("y", 4).alias("y_block"),
@@ -435,7 +460,7 @@ def piezo_segments(spark, sf_dir):
 
 @query
 def piezo_registry(spark, sf_dir):
-    return piezo.piezo_registry(_segments(spark, sf_dir))
+    return _doubles(piezo.piezo_registry(_segments(spark, sf_dir)))
 
 
 @query
@@ -457,7 +482,7 @@ def piezo_unknown_lines(spark, sf_dir):
 
 @query
 def dht11_registry(spark, sf_dir):
-    return dht11.dht11_registry(cleaning.clean_typed(T.dht11_raw(spark, sf_dir)), T.metadata(spark, sf_dir))
+    return _doubles(dht11.dht11_registry(cleaning.clean_typed(T.dht11_raw(spark, sf_dir)), T.metadata(spark, sf_dir)))
 
 
 @query
@@ -467,7 +492,7 @@ def dht11_client(spark, sf_dir):
 
 @query
 def dps_registry(spark, sf_dir):
-    return dps.dps_registry(cleaning.clean_typed(T.dps_raw(spark, sf_dir)), T.metadata(spark, sf_dir))
+    return _doubles(dps.dps_registry(cleaning.clean_typed(T.dps_raw(spark, sf_dir)), T.metadata(spark, sf_dir)))
 
 
 @query
@@ -494,7 +519,7 @@ def _run(spark, sf_dir, family, raw, table):
     readings = read_readings(spark, csv_of(spark, raw(spark, sf_dir), family), family)
     options = {"strict": False} if family == "piezo" else {}
     run_family(family, readings, T.dimensions(spark, sf_dir), zones, 1, **options)
-    return read_latest(spark, zones.table(table), FACT_KEYS[table])
+    return _doubles(read_latest(spark, zones.table(table), FACT_KEYS[table]))
 
 
 @query
@@ -532,8 +557,8 @@ def upsert_latest_by_key(spark, sf_dir):
     """Segments that start before mid-January put over by the later ones."""
     rows = piezo.piezo_registry(_written_segments(spark, sf_dir))
     early = F.col("datahora_inicio") < "2024-01-15"
-    return upsert_latest(rows.filter(early), rows.filter(~early), FACT_KEYS["PiezoData"],
-                         ["datahora_inicio", "sensor_id_origem", "sensor_id_destino", "pressao", "velocidade"])
+    return _doubles(upsert_latest(rows.filter(early), rows.filter(~early), FACT_KEYS["PiezoData"],
+                                  ["datahora_inicio", "sensor_id_origem", "sensor_id_destino", "pressao", "velocidade"]))
 
 
 @query
@@ -593,7 +618,7 @@ def stream_upsert(spark, sf_dir):
     stream = start_ingest(spark, raw, "dht11", T.dimensions(spark, sf_dir), zones, scratch.place("state"),
                           files_per_batch=20)
     _finish(stream)
-    return read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"])
+    return _doubles(read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"]))
 
 
 READING = ["sensor_id", "timestamp", "temperature_c", "humidity_percent"]

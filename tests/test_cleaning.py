@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import pytest
 from railpulse.functions.columns import block_of, km_per_hour, as_decimal, bare_sensor, below
 from railpulse.operators.cleaning import clean, clean_typed, drop_nulls, render_times, rounded
 from pyspark.sql import functions as F
@@ -89,6 +90,15 @@ def test_expressions(spark):
     assert str(df.select(as_decimal("d")).first()[0]).startswith("1750.000")
 
 
+def test_decimals_hold_all_digits_or_fail(spark):
+    values = [0.1 + 0.2, 1e-7 / 3, -0.0, 2.0 ** 46 + 0.25, -99999999999999.98, 100 / 3, 23.40001, None]
+    df = spark.createDataFrame([(v,) for v in values], "d double")
+    assert [r[0] if r[0] is None else float(r[0]) for r in df.select(as_decimal("d")).collect()] == [v if v else v and 0.0 for v in values]
+    for value, kind in [(1e14, "decimal(38,24)"), (float("inf"), "decimal(20,5)"), (0.123456, "decimal(20,5)")]:
+        with pytest.raises(Exception, match="does not fit"):
+            spark.createDataFrame([(value,)], "d double").select(as_decimal("d", kind)).collect()
+
+
 def test_typed_times_group_like_their_text(spark):
     df = spark.createDataFrame(
         [(dt.datetime(2024, 1, 1, 0, 0, 1, 5),), (dt.datetime(2024, 1, 1, 0, 0, 1, 900000),)], "t timestamp")

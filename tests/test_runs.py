@@ -2,6 +2,7 @@
 
 import gzip
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,7 +39,11 @@ def zones(tmp_path):
 
 
 def latest(spark, zones, name):
-    return sorted([tuple(r) for r in read_latest(spark, zones.table(name), FACT_KEYS[name]).collect()], key=str)
+    def plain(value):
+        return float(value) if isinstance(value, Decimal) else value
+
+    rows = read_latest(spark, zones.table(name), FACT_KEYS[name]).collect()
+    return sorted([tuple(map(plain, r)) for r in rows], key=str)
 
 
 def csv(spark, path):
@@ -46,6 +51,16 @@ def csv(spark, path):
     return df.columns, sorted([tuple(r) for r in df.collect()], key=str)
 
 
+def test_measures_too_large_for_the_fact_tables_are_misfits(spark, dims, zones, tmp_path):
+    path = put(f"{tmp_path}/dht11.csv", "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n"
+               "1,18,24,2024-01-01 10:00:00,23.4000001,50.123456\n1,18,24,2024-01-01 10:00:01,1e300,50\n1,18,24,2024-01-01 10:00:02,5,-Infinity\n")
+    assert run_files(spark, "dht11", path, dims, zones, 1) == RowCounts(read=3, kept=1, misfits=2)
+    fact = read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"]).first()
+    assert (str(fact.temperatura), str(fact.umidade)) == ("23.40000", "50.12346")
+    lines = sorted(r[0] for r in spark.read.parquet(zones.misfits("dht11", 1)).select("_misfit").collect())
+    assert [line.split(",")[4:] for line in lines] == [["1.0E300", "50.0"], ["5.0", "-Infinity"]]
+
+
 def test_tof(spark, dims, zones, tmp_path):
     head = "sensor_id,timestamp,y,x,dist_mm\n"
     points = "".join(f"1,2024-01-01 10:00:00,{y},{x},{1750 if x == 0 else 1000}\n" for y in range(4) for x in range(8))
