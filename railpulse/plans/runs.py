@@ -18,7 +18,7 @@ from railpulse.plans.piezo import UnknownTrack, run_piezo
 from railpulse.plans.tof import run_tof
 from railpulse.schemas import MEASURES, TOO_LARGE
 from railpulse.session import Scratch
-from railpulse.sinks.files import Zones, claim_batch
+from railpulse.sinks.files import Zones, claim_batch, observed
 from railpulse.sources.dumps import Dimensions
 from railpulse.sources.readings import FILE_TYPES, MISFIT, files_of, read_readings
 
@@ -58,9 +58,12 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
     if MISFIT in readings.columns:
         readings = readings.where(F.col(MISFIT).isNull()).drop(MISFIT)
 
+    def seen() -> dict:
+        return observed(counted, raw, rows_read=F.count(F.lit(1)), misfits=misfits)
+
     def set_aside() -> int:
         """Rows that do not fit; only where there are any are the raw files read once more."""
-        found = counted.get["misfits"] or 0
+        found = seen()["misfits"] or 0
         if found:
             raw.where(F.col(MISFIT).isNotNull()).write.mode("overwrite").parquet(zones.misfits(family, batch))
         return found
@@ -80,7 +83,7 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
                 raise
         else:
             kept = run_passthrough(readings, family, zones, batch)
-    return RowCounts(counted.get["rows_read"], kept, set_aside())
+    return RowCounts(seen()["rows_read"], kept, set_aside())
 
 
 def beyond_facts(readings: DataFrame, family: str) -> Column:

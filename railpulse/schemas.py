@@ -39,6 +39,9 @@ FACT_KEYS = {
 # The fact table of each family that has one.
 TABLE_OF = {"dht11": "DHT11Data", "dps": "DpsData", "piezo": "PiezoData", "tof": "TofData"}
 
+# The column by whose day trusted rows may be laid out, of the families that have one.
+EVENT_TIME = {"dht11": "timestamp", "dps": "dataHora", "piezo": "dataHora", "tof": "timestamp"}
+
 # Fact tables hold numbers as decimals of the digits they print: measures as cleaning rounds them, to five places, and
 # what is computed from them with room for all digits of a double from 1e-8 on.
 MEASURED = "decimal(20,5)"

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from railpulse.schemas import TIME_FORMAT
+from railpulse.schemas import EVENT_TIME, TIME_FORMAT
+
+# The day folders of trusted rows.
+DAY = "trusted_day"
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -23,12 +28,14 @@ class Zones:
     """Folders of a deployment: ``trusted/<family>``, ``client/<family>``, ``tables/<name>``.
 
     Each run writes to a folder of its own batch, so running a batch again replaces its output.
-    ``buckets`` is the number of key buckets that new fact tables get.
+    ``buckets`` is the number of key buckets that new fact tables get. With ``days`` trusted rows of families with an
+    event time lie in folders of its day within their batch; a zone is laid out one way from its first batch on.
     """
 
-    def __init__(self, root: str, buckets: int = 16):
+    def __init__(self, root: str, buckets: int = 16, days: bool = False):
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.days = days
 
     def trusted(self, family: str, batch: int | None = None) -> str:
         return _batch(f"{self.root}/trusted/family={family}", batch)
@@ -127,12 +134,50 @@ def _batch(folder: str, batch: int | None) -> str:
 
 def write_trusted(df: DataFrame, zones: Zones, family: str, batch: int) -> tuple[DataFrame, int]:
     """Cleaned rows as parquet; returns them as read back, with the timestamps still typed, and
-    their number."""
+    their number.
+
+    Day folders cost one shuffle, which gathers the rows of a day and splits a large one, so that a batch of any order
+    writes few files. Only this batch's files are replaced.
+    """
     path = zones.trusted(family, batch)
     counted = Observation()
-    (df.observe(counted, F.count(F.lit(1)).alias("rows_kept"))
-       .write.mode("overwrite").parquet(path))
-    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows_kept"]
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows_kept"))
+    if not by_day(zones, family):
+        rows.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows_kept"]
+    if DAY in df.columns:
+        raise ValueError(f"{DAY} is the name of the day folders, and of a column of the {family} readings")
+    dealt = rows.withColumn(DAY, F.to_date(F.col(EVENT_TIME[family]))).hint("rebalance", F.col(DAY))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
+    schema = StructType([*df.schema, StructField(DAY, DateType())])
+    written = df.sparkSession.read.schema(schema).parquet(path).drop(DAY)
+    return written, observed(counted, written, rows_kept=F.count(F.lit(1)))["rows_kept"]
+
+
+def observed(counted: Observation, rows: DataFrame, **measures: Column) -> dict:
+    """What an observation has counted. Where a shuffle turns out to carry no rows, Spark drops what lies before it from
+    the plan, and with it the figures: then they are taken from ``rows``."""
+    try:
+        return counted.get
+    except Py4JJavaError:
+        # All columns are used, since a raw file cannot be read for its misfits alone.
+        whole = F.max(F.xxhash64(*[F.col(f"`{name}`") for name in rows.columns])).alias("_whole")
+        return rows.agg(whole, *[measure.alias(name) for name, measure in measures.items()]).first().asDict()
+
+
+def by_day(zones: Zones, family: str) -> bool:
+    return zones.days and family in EVENT_TIME
+
+
+def read_days(spark: SparkSession, zones: Zones, family: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Trusted rows of the days from ``first`` to ``last`` (``yyyy-MM-dd``, both included; None: no bound), with ``batch``
+    and ``trusted_day``. Folders of other days are not listed as files to read."""
+    if not by_day(zones, family):
+        raise ValueError(f"{family} is not laid out by day")
+    rows, day = spark.read.parquet(zones.trusted(family)), F.col(DAY)
+    if first is not None:
+        rows = rows.where(day >= F.lit(first).cast("date"))
+    return rows if last is None else rows.where(day <= F.lit(last).cast("date"))
 
 
 def write_client(df: DataFrame, zones: Zones, family: str, batch: int) -> None:

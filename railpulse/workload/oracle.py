@@ -281,6 +281,8 @@ def oracle() -> dict[str, str]:
             CASE WHEN event_id % 7 = 0 THEN 'misfit' ELSE 'kept' END AS state
             FROM events, range(2) WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL""",
         "batch_then_stream": f"""{dht} SELECT sensor_id, "timestamp", temperature_c, humidity_percent FROM dht, range(3)""",
+        "trusted_day": f"""{dht} SELECT sensor_id, "timestamp", temperature_c, humidity_percent, substr("timestamp", 1, 10) AS trusted_day
+            FROM dht""",
         "batch_taken": f"""{dht} SELECT sensor_id, "timestamp", temperature_c, humidity_percent FROM dht""",
         "stream_bad_file": f"""{dht} SELECT 'dht11' AS family, CAST(sensor_id AS DOUBLE) AS id, temperature_c AS value, 'taken' AS reason FROM dht
             UNION ALL SELECT 'omron', CAST(l_suppkey AS DOUBLE), round(l_discount * l_tax / 3, 5), 'taken' FROM lineitem

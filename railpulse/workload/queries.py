@@ -15,7 +15,7 @@ from railpulse.plans import dht11, dps, passthrough, piezo, tof
 from railpulse.plans.runs import run_family, run_files
 from railpulse.schemas import FACT_KEYS, dimension_schema
 from railpulse.session import Scratch
-from railpulse.sinks.files import BatchTaken, Zones, write_csv
+from railpulse.sinks.files import BatchTaken, Zones, read_days, write_csv
 from railpulse.sinks.keyed import compact, put_batch, read_latest, upsert_latest
 from railpulse.sinks.versions import current
 from railpulse.sources.dumps import dump_schema, load_dimensions, read_dimension, read_typed_dump, unwrap_items
@@ -649,6 +649,18 @@ def batch_then_stream(spark, sf_dir):
     return _rendered(spark.read.parquet(zones.trusted("dht11")).select(*READING))
 
 
+@query
+def trusted_day(spark, sf_dir):
+    """All trusted rows of two batches, the second of which was run twice, with the day folder they lie in."""
+    scratch, dims = Scratch(spark), T.dimensions(spark, sf_dir)
+    zones, rows = Zones(scratch.place("zones"), days=True), T.dht11_raw(spark, sf_dir)
+    odd = F.col("sensor_id") % 2 == 1
+    paths = [csv_of(spark, part, "dht11") for part in (rows.where(odd), rows.where(~F.coalesce(odd, F.lit(False))))]
+    for batch in (0, 1, 1):
+        run_files(spark, "dht11", paths[batch], dims, zones, batch)
+    return _rendered(read_days(spark, zones, "dht11").select(*READING, F.col("trusted_day").cast("string").alias("trusted_day")))
+
+
 @query
 def batch_taken(spark, sf_dir):
     """Rows of two batch runs over different files, the second of which asks for the number of the first and is refused it."""

@@ -12,7 +12,7 @@ from railpulse.plans.piezo import UnknownTrack
 from railpulse.plans.runs import RowCounts, run_family, run_files
 from railpulse.schemas import FACT_KEYS
 from railpulse.session import Scratch, shared_folder
-from railpulse.sinks.files import BatchTaken, Zones
+from railpulse.sinks.files import BatchTaken, Zones, read_days
 from railpulse.sinks.keyed import compact, last_written, put_batch, read_latest, upsert_latest
 from railpulse.sinks.versions import current
 from railpulse.sources.dumps import Dimensions, dimension_from_rows
@@ -61,6 +61,33 @@ def test_measures_too_large_for_the_fact_tables_are_misfits(spark, dims, zones,
     assert [line.split(",")[4:] for line in lines] == [["1.0E300", "50.0"], ["5.0", "-Infinity"]]
 
 
+def test_days_are_pruned_and_a_batch_replaces_its_own(spark, dims, tmp_path):
+    zones = Zones(f"{tmp_path}/lake", days=True)
+
+    def readings(name, *times):
+        rows = "".join(f"1,18,24,{t},{n},50\n" for n, t in enumerate(times))
+        return put(f"{tmp_path}/{name}.csv", "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n" + rows)
+
+    one = readings("a", "2024-01-01 23:59:59", "2024-01-02 00:00:00", "2024-01-02 09:00:00", "2024-01-03 00:00:00")
+    for _ in range(2):
+        assert run_files(spark, "dht11", one, dims, zones, 0).kept == 4
+    assert run_files(spark, "dht11", readings("b", "2024-01-02 10:00:00", "2024-02-01 00:00:00"), dims, zones, 1).kept == 2
+    assert run_files(spark, "dht11", readings("none"), dims, zones, 2) == RowCounts(0, 0)
+    assert run_files(spark, "dht11", readings("bad", "no time", ""), dims, zones, 3) == RowCounts(read=2, kept=0, misfits=1)
+    assert run_files(spark, "tof", put(f"{tmp_path}/tof.csv", "sensor_id,timestamp,y,x,dist_mm\n,2024-01-01 10:00:00,0,0,1\n"), dims, zones, 0) == RowCounts(1, 0)
+    day = read_days(spark, zones, "dht11", "2024-01-02", "2024-01-02")
+    assert sorted((str(r.timestamp), r.batch) for r in day.collect()) == [
+        ("2024-01-02 00:00:00", 0), ("2024-01-02 09:00:00", 0), ("2024-01-02 10:00:00", 1)]
+    plan = day._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(trusted_day" in plan
+    read = {r.f for r in day.select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    assert len(read) == 2 and all("trusted_day=2024-01-02" in f for f in read)
+    assert read_days(spark, zones, "dht11").count() == 6 and read_days(spark, zones, "dht11", first="2024-01-03").count() == 2
+    assert len(csv(spark, zones.client("dht11", 0))[1]) == 4
+    with pytest.raises(ValueError, match="not laid out by day"):
+        read_days(spark, Zones(zones.root), "dht11")
+
+
 def test_tof(spark, dims, zones, tmp_path):
     head = "sensor_id,timestamp,y,x,dist_mm\n"
     points = "".join(f"1,2024-01-01 10:00:00,{y},{x},{1750 if x == 0 else 1000}\n" for y in range(4) for x in range(8))
