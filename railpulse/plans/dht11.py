@@ -28,9 +28,11 @@ def dht11_client(df: DataFrame, metadata: DataFrame) -> DataFrame:
     return render_times(with_dimension(keyed, dim, "_key").drop("_key"))
 
 
-def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int) -> int:
+def run_dht11(readings: DataFrame, metadata: DataFrame, zones: Zones, batch: int, sequence: list[str] | None = None) -> int:
+    """Of rows with one key that highest in ``sequence`` is the batch's fact row, by default that written last. Readers of
+    the table name the same sequence in its columns, since only they compare batches."""
     trusted, kept = write_trusted(clean_typed(readings), zones, "dht11", batch)
-    latest = last_written(trusted, ["sensor_id", "timestamp"])
+    latest = last_written(trusted, ["sensor_id", "timestamp"], sequence)
     put_batch(dht11_registry(latest, metadata), zones.table("DHT11Data"), batch, FACT_KEYS["DHT11Data"], zones.buckets)
     client = dht11_client(without_arrival(trusted), metadata)
     write_client(client, zones, "dht11", batch)

@@ -36,13 +36,13 @@ class RowCounts(NamedTuple):
 
 
 def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones, batch: int,
-               scratch_folder: str | None = None, owner: str = "batch run", **options) -> RowCounts:
+               scratch_folder: str | None = None, owner: str = "batch run", dht11_sequence: list[str] | None = None, **options) -> RowCounts:
     """Clean a batch of readings and write its trusted rows, fact rows and client extract.
 
     Only the trusted write reads the raw files, and it counts their rows on the way; the rest
     starts from the trusted rows. Running a batch number again replaces what the same ``owner``
     wrote before; a number of another owner's raises. The session's zone must be UTC.
-    Options go to the piezo run.
+    ``dht11_sequence`` goes to the DHT11 run, all other options to the piezo run.
     """
     spark = readings.sparkSession
     if spark.conf.get("spark.sql.session.timeZone") not in UTC:
@@ -72,7 +72,7 @@ def run_family(family: str, readings: DataFrame, dims: Dimensions, zones: Zones,
         if family == "tof":
             kept = run_tof(readings, dims.metadata, zones, batch, scratch)
         elif family == "dht11":
-            kept = run_dht11(readings, dims.metadata, zones, batch)
+            kept = run_dht11(readings, dims.metadata, zones, batch, dht11_sequence)
         elif family == "dps":
             kept = run_dps(readings, dims.metadata, dims.circuits, zones, batch)
         elif family == "piezo":

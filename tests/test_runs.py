@@ -4,6 +4,7 @@ import gzip
 import os
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,10 @@ from railpulse.sinks.keyed import compact, last_written, put_batch, read_latest,
 from railpulse.sinks.versions import current
 from railpulse.sources.dumps import Dimensions, dimension_from_rows
 from railpulse.streaming.ingest import start_all, start_ingest, start_routed
+from railpulse.workload.oracle import oracle
+from railpulse.workload.queries import QUERIES
+from tests.compare import duck_rows, spark_rows
+from tests.conftest import SF
 from tests.test_sources import put
 
 
@@ -51,6 +56,32 @@ def csv(spark, path):
     return df.columns, sorted([tuple(r) for r in df.collect()], key=str)
 
 
+@pytest.mark.parametrize("files", [1, 2])
+def test_the_highest_in_a_named_sequence_wins_a_key(spark, dims, zones, tmp_path, files):
+    """The lower temperature comes later, in the same file or in a later micro-batch."""
+    header, rows = "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n", ["1,18,24,2024-01-01 10:00:00,27.1,2\n", "1,18,24,2024-01-01 10:00:00,17.5,3\n"]
+    for at in range(files):
+        path = put(f"{tmp_path}/raw/dht11_{at}.csv", header + "".join(rows if files == 1 else rows[at:at + 1]))
+        os.utime(path, (at + 1, at + 1))
+    start_ingest(spark, f"{tmp_path}/raw", "dht11", dims, zones, f"{tmp_path}/state", files_per_batch=1,
+                 dht11_sequence=["temperature_c", "humidity_percent"]).awaitTermination(120)
+    got = read_latest(spark, zones.table("DHT11Data"), FACT_KEYS["DHT11Data"], ["temperatura", "umidade"])
+    assert [(float(r.temperatura), float(r.umidade)) for r in got.collect()] == [(27.1, 2.0)]
+
+
+def test_stream_upsert_of_events_with_one_key(spark, tmp_path):
+    """A sensor's second holds several events, of which the first in the table is the highest."""
+    con = duckdb.connect()
+    for name in ("supplier", "part", "nation", "region"):
+        os.symlink(f"{SF}/{name}.parquet", f"{tmp_path}/{name}.parquet")
+    con.execute(f"""COPY (SELECT * REPLACE (event_id // 3 % 5 + 1 AS user_id, date_trunc('minute', ts) AS ts, 500.25 - event_id AS value)
+        FROM '{SF}/events.parquet' WHERE event_id < 400 AND value IS NOT NULL AND ts IS NOT NULL ORDER BY event_id) TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
+    for name in ("supplier", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    ours, theirs = spark_rows(QUERIES["stream_upsert"](spark, str(tmp_path))), duck_rows(con, oracle()["stream_upsert"])
+    assert ours == theirs and 0 < len(ours[1]) < con.execute("SELECT count(*) FROM events").fetchone()[0]
+
+
 def test_measures_too_large_for_the_fact_tables_are_misfits(spark, dims, zones, tmp_path):
     path = put(f"{tmp_path}/dht11.csv", "sensor_id,min,max,timestamp,temperature_c,humidity_percent\n"
                "1,18,24,2024-01-01 10:00:00,23.4000001,50.123456\n1,18,24,2024-01-01 10:00:01,1e300,50\n1,18,24,2024-01-01 10:00:02,5,-Infinity\n")
