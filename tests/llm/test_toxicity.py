@@ -111,6 +111,30 @@ def test_scores_by_brute_force(spark, scratch, monkeypatch, entries):
     assert [s for _, s in got] == pytest.approx([s for _, s in slow], abs=1e-7)
 
 
+def rare_words(n=600):
+    """Every text of ``made_up`` with five of 4,000 rare words, of which toxic texts have some to themselves."""
+    rows = [(i, text + "".join(f" r{(i * 13 + j * j * 7 + (i % 6 == 0) * 1000) % 4000}" for j in range(5)), y) for i, text, y in made_up(n)]
+    return rows + [(7000, None, 0), (7001, "", 0), (7002, "r1 r2 never-met", 0), (7003, "r1001 r1002 r1001", 0)]
+
+
+@pytest.mark.parametrize("marks", [1 << 26, 1 << 15])
+def test_words_that_are_not_sent_keep_their_own_ratios(spark, scratch, monkeypatch, marks):
+    """Twenty words are sent, thousands joined; many have one hash modulo 65,536 with another one."""
+    rows = rare_words()
+    labels = {i: y for i, _, y in rows if i % 11 and i < 7000}
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(7003, rows[-1][1])], "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(toxicity, "MAX_ENTRIES", 20)
+    monkeypatch.setattr(toxicity, "MARKS", marks)
+    marked = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    ratios = toxicity.train(docs, marked, scratch).ratios
+    assert len(ratios) <= 20 and ratios.rest.rows.count() > 100
+    got = toxicity.score_documents(docs, marked, scratch)
+    got, slow = sorted((r.doc_id, r.score) for r in got.collect()), slow_scores([(i, t) for i, t, _ in rows] + [(7003, rows[-1][1])], labels)
+    assert [i for i, _ in got] == [i for i, _ in slow]
+    assert [s for _, s in got] == pytest.approx([s for _, s in slow], abs=1e-7)
+    assert got[-1][1] == got[-2][1]
+
+
 def test_the_curve_is_at_its_best():
     """The slope of the damped likelihood is zero there in every direction."""
     draw = np.random.default_rng(2)
