@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType
@@ -91,7 +92,7 @@ class Ratios(dict):
 
     def __init__(self, words: dict[str, float], other: float, rest: Rest | None = None, marks: bytes = b""):
         super().__init__(words)
-        self.other, self.rest, self.marks = other, rest, marks
+        self.other, self.rest, self.marks, self._sent = other, rest, marks, None
 
     def __missing__(self, word: str) -> float:
         return self.other
@@ -99,6 +100,12 @@ class Ratios(dict):
     def __reduce__(self):
         return Ratios, (dict(self), self.other, self.rest and Rest(None, self.rest.least, self.rest.highest), self.marks)
 
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """These ratios as one broadcast for all that ask for it, since workers keep each that they have met."""
+        if self._sent is None:
+            self._sent = spark.sparkContext.broadcast(self)
+        return self._sent
+
     def marked(self, word: str) -> bool:
         mark = zlib.crc32(word.encode()) % (8 * len(self.marks))
         return bool(self.marks[mark >> 3] >> (mark & 7) & 1)
@@ -206,7 +213,8 @@ def marks_of(words: DataFrame) -> bytes:
 
 def sums(words: list[str], ratios: Ratios) -> tuple[float, float]:
     """What words say together: up to ``MILD``, and beyond. Words that are not sent count with the ratio of all others."""
-    said = np.fromiter(map(ratios.__getitem__, words), float, len(words))
+    get, other = ratios.get, ratios.other
+    said = np.fromiter((get(word, other) for word in words), float, len(words))
     mild = np.clip(said, -MILD, MILD)
     return float(mild.sum()), float((said - mild).sum())
 
@@ -223,7 +231,7 @@ SAID = "struct<mild: double, strong: double, n: long, open: array<struct<word: s
 
 def said_udf(spark: SparkSession, ratios: Ratios):
     """``sums``, number of words and ``open_words`` of a text; the ratios are sent once to each executor."""
-    sent = spark.sparkContext.broadcast(ratios)
+    sent = ratios.sent(spark)
 
     @F.arrow_udf(SAID)
     def said(texts: pa.Array) -> pa.Array:
@@ -276,14 +284,13 @@ def score_of(model: Model) -> Column:
 
 def verdict_udf(spark: SparkSession, model: Model):
     """For a text: 1 if its score is 0.5 or more, 0 if less, null where that depends on ratios that are not sent."""
-    sent = spark.sparkContext.broadcast(model)
+    sent, (a, b, offset) = model.ratios.sent(spark), model.curve
 
-    def moves(model: Model) -> tuple[float, float]:
+    def moves(ratios: Ratios) -> tuple[float, float]:
         """How far down and up one open word may move a text's logit, times the number of its words."""
-        a, b, _ = model.curve
-        rest, told = model.ratios.rest, lambda said: a * max(-MILD, min(MILD, said)) + b * (said - max(-MILD, min(MILD, said)))
+        rest, told = ratios.rest, lambda said: a * max(-MILD, min(MILD, said)) + b * (said - max(-MILD, min(MILD, said)))
         ends = [x for x in (rest.least, -MILD, MILD, rest.highest) if rest.least <= x <= rest.highest]
-        shifts = [told(x) - told(model.ratios.other) for x in ends]
+        shifts = [told(x) - told(ratios.other) for x in ends]
         return min(0.0, *shifts), max(0.0, *shifts)
 
     def squeezed(logit: float) -> float:
@@ -291,13 +298,12 @@ def verdict_udf(spark: SparkSession, model: Model):
 
     @F.arrow_udf(IntegerType())
     def verdicts(texts: pa.Array) -> pa.Array:
-        model, found = sent.value, []
-        a, b, offset = model.curve
-        down, up = moves(model) if model.ratios.rest else (0.0, 0.0)
+        found, ratios = [], sent.value
+        down, up = moves(ratios) if ratios.rest else (0.0, 0.0)
         for text in texts:
             words = tokens(text.as_py())
-            mild, strong = sums(words, model.ratios)
-            m, n = sum(open_words(words, model.ratios).values()), max(1, len(words))
+            mild, strong = sums(words, ratios)
+            m, n = sum(open_words(words, ratios).values()), max(1, len(words))
             logit = mild / n * a + strong / n * b + offset
             # Sums of the two ways may differ in their last digits.
             slack = 1e-9 * (1 + abs(logit)) if m else 0.0

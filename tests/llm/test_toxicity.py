@@ -135,6 +135,19 @@ def test_words_that_are_not_sent_keep_their_own_ratios(spark, scratch, monkeypat
     assert got[-1][1] == got[-2][1]
 
 
+def test_rows_kept_are_those_scored_below_a_half(spark, scratch, monkeypatch):
+    """Few words are sent, so some rows are only settled by joined ratios."""
+    rows = rare_words()
+    docs = spark.createDataFrame([(i, t, "s") for i, t, _ in rows], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "MAX_ENTRIES", 5)
+    want = sorted(r.doc_id for r in toxicity.score_documents(docs, labels, scratch).where("predicted = 0").collect())
+    kept = toxicity.without_toxic(docs, labels, scratch)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == want and 0 < len(want) < len(rows)
+    verdict = toxicity.verdict_udf(spark, toxicity.train(docs, labels, scratch))
+    assert {r[0] for r in docs.select(verdict("text")).distinct().collect()} >= {0, None}
+
+
 def test_the_curve_is_at_its_best():
     """The slope of the damped likelihood is zero there in every direction."""
     draw = np.random.default_rng(2)
