@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railpulse.functions.columns import as_decimal, below, block_of, rendered, sensor_key
-from railpulse.operators.cleaning import clean_typed
+from railpulse.operators.cleaning import clean_typed, render_times
 from railpulse.operators.lookups import with_dimension
 from railpulse.session import Scratch
 from railpulse.schemas import FACT_KEYS
@@ -57,7 +57,7 @@ def _occupancy(counts: DataFrame, metadata: DataFrame) -> DataFrame:
 def _block_map(blocks: DataFrame, metadata: DataFrame) -> DataFrame:
     keyed = blocks.withColumn("sensor_id", sensor_key("sensor_id"))
     return with_dimension(keyed, metadata, "sensor_id").select(
-        "y_block", "x_block", "dist", rendered("timestamp").alias("timestamp"), "trem_id", "carro_id")
+        "y_block", "x_block", "dist", "timestamp", "trem_id", "carro_id")
 
 
 def tof_occupancy(df: DataFrame, metadata: DataFrame, threshold_mm: int = OCCUPIED_BELOW_MM) -> DataFrame:
@@ -74,12 +74,14 @@ def tof_block_mean(df: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def tof_block_map(df: DataFrame, metadata: DataFrame, block: int = BLOCK) -> DataFrame:
     """Block means of known sensors with train and car."""
-    return _block_map(tof_block_mean(df, block), metadata)
+    return render_times(_block_map(tof_block_mean(df, block), metadata))
 
 
 def by_block(block_map: DataFrame) -> DataFrame:
-    """Sink order. The columns after the block let the range sort split a block over tasks."""
-    return block_map.orderBy("y_block", "x_block", "timestamp", "trem_id", "carro_id", "dist")
+    """Sink order, which is by block. The columns after it let the ranges split a block over tasks; only blocks are sorted
+    within a range, as text and doubles take long to compare."""
+    ranges = block_map.repartitionByRange("y_block", "x_block", "timestamp", "trem_id", "carro_id", "dist")
+    return ranges.sortWithinPartitions("y_block", "x_block")
 
 
 def tof_records(occupancy: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import contextlib
 from pyspark.sql import functions as F
 
 from railpulse.plans.dps import dps_client
-from railpulse.plans.tof import tof_block_map, tof_occupancy
+from railpulse.plans.tof import by_block, tof_block_map, tof_occupancy
 from railpulse.sinks.keyed import put_batch, read_latest
 from railpulse.sources.dumps import dimension_from_rows
 
@@ -51,6 +51,21 @@ def test_a_hot_sensor_is_split_when_dimensions_are_too_large_to_broadcast(spark,
         assert large.agg(F.count("*"), F.sum(F.hash(*large.columns).cast("long"))).first() == want
 
 
+def test_a_block_extract_is_in_order_and_compares_blocks_only(spark):
+    """One block holds half of all rows and is split over tasks."""
+    y, x = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") * 7 % 5 - 2).cast("int"), F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") * 3 % 4).cast("int")
+    blocks = spark.range(0, 20000, 1, 4).select(y.alias("y_block"), x.alias("x_block"), F.col("id").cast("double").alias("dist"),
+                                                F.timestamp_seconds("id").alias("timestamp"), F.lit("T1").alias("trem_id"), F.lit("C1").alias("carro_id"))
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        ordered = by_block(blocks)
+        rows = ordered.select("y_block", "x_block", "dist", F.spark_partition_id().alias("part")).collect()
+        places = [(r.y_block, r.x_block) for r in rows]
+        assert places == sorted(places) and sorted(r.dist for r in rows) == [float(i) for i in range(20000)]
+        assert len({r.part for r in rows if (r.y_block, r.x_block) == (0, 1)}) > 1
+        sort = next(line for line in final_plan(ordered).splitlines() if "Sort [" in line)
+        assert "y_block" in sort and "x_block" in sort and "dist" not in sort and "carro_id" not in sort
+
+
 def test_aggregates_are_combined_before_the_shuffle(spark):
     meta = dimension_from_rows(spark, [("S1", "T1", "C1")], "SensorMetadata")
     points = spark.range(10).select(
