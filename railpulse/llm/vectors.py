@@ -66,7 +66,8 @@ def grid(blocks: int, rows: int, query_blocks: int, queries: int) -> tuple[int,
 def meet(blocks: DataFrame, queries: DataFrame) -> DataFrame:
     """Every block with every block of queries of the same length, query columns prefixed ``q_``.
 
-    Both are written tables of few rows, dealt to the bands of a grid; the join is on its cells.
+    Both are written tables of few rows, dealt to the bands of a grid; the join is on its cells. The planner knows a
+    side's size before it is dealt, not how often each row then comes, so it may not choose a broadcast by it.
     """
     def size(table: DataFrame) -> tuple[int, int]:
         return tuple(table.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first())
@@ -83,7 +84,7 @@ def meet(blocks: DataFrame, queries: DataFrame) -> DataFrame:
     asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns])
     asked = asked.withColumn("to_q_band", band("q_ids", q_bands)).withColumn("to_band", each(bands))
     cell = (F.col("band") == F.col("to_band")) & (F.col("q_band") == F.col("to_q_band")) & (F.col("dims") == F.col("q_dims"))
-    return dealt.join(asked, cell).drop("band", "q_band", "to_band", "to_q_band")
+    return dealt.join(asked.hint("merge"), cell).drop("band", "q_band", "to_band", "to_q_band")
 
 
 def rows_of(batch: pd.DataFrame) -> Iterator:

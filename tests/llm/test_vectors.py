@@ -119,3 +119,13 @@ def test_every_block_meets_every_query_block_once(spark, scratch):
     asked = scratch.save(spark.createDataFrame([(d, 2, bytes([i, d])) for i in range(5) for d in (3, 4)], kind), "asked")
     met = sorted((bytes(r.ids), bytes(r.q_ids)) for r in meet(mine, asked).collect())
     assert met == sorted((bytes([i, 3]), bytes([j, 3])) for i in range(9) for j in range(5))
+
+
+def test_what_is_dealt_to_many_bands_is_never_broadcast(spark, scratch):
+    kind = "dims int, n int, ids binary"
+    mine = scratch.save(spark.createDataFrame([(2, 8_000, bytes([i])) for i in range(60)], kind), "mine")
+    asked = scratch.save(spark.createDataFrame([(2, 500, bytes([i])) for i in range(50)], kind), "asked")
+    met = meet(mine, asked)
+    assert len(met.collect()) == 60 * 50
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
